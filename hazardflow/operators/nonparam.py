@@ -18,6 +18,11 @@ from hazardflow.functions.stats import Z95, chi2_sf, chi2_sf_col1
 from hazardflow.operators.scan import prefix_scan
 
 
+# A product that is exactly 1/2 in rational arithmetic comes out of the log-space sum a few ulps
+# either side of 0.5; crossings are taken with this tolerance.
+HALF_TOL = 1e-12
+
+
 def _groups(group_cols: str | Sequence[str] | None) -> list[str]:
     if group_cols is None:
         return []
@@ -108,32 +113,43 @@ def loglog_band(s: Column, var: Column, z: float = Z95) -> list[Column]:
     return [lower.alias("lower"), upper.alias("upper")]
 
 
-def value_at(curve: DataFrame, times: Sequence[float], value_col: str = "survival",
-             group_cols=None, before_first: float = 1.0, out_col: str | None = None) -> DataFrame:
+def value_at(curve: DataFrame, times: Sequence[float], value_cols=None, group_cols=None,
+             before_first=None) -> DataFrame:
     """NP-5/6: right-continuous step lookup at a few requested times (as-of, t_curve <= q).
 
-    The request list is small and literal: it is exploded onto the curve rows, no join.
+    ``value_cols`` maps output column -> curve column; ``before_first`` maps output column -> value
+    before the first curve time (survival 1, cumulative hazard 0). The request list is small and
+    literal: it is exploded onto the curve rows, no join.
     """
     g = _groups(group_cols)
-    out_col = out_col or value_col
+    value_cols = value_cols or {"survival": "survival"}
+    if isinstance(value_cols, str):
+        value_cols = {value_cols: value_cols}
+    before_first = before_first or {}
     qs = F.array(*[F.lit(float(t)) for t in times])
-    long = curve.select(*g, "time", value_col, F.explode(qs).alias("q"))
+    long = curve.select(*g, "time", *set(value_cols.values()), F.explode(qs).alias("q"))
+    upto = F.when(F.col("time") <= F.col("q"), F.col("time"))
     hit = long.groupBy(*g, "q").agg(
-        F.max_by(F.col(value_col), F.when(F.col("time") <= F.col("q"), F.col("time"))).alias("_v"),
+        *[F.max_by(F.col(src), upto).alias(f"_v_{out}") for out, src in value_cols.items()],
         F.min("time").alias("_first"))
-    return hit.select(*g, F.col("q").alias("time"),
-                      F.when(F.col("q") < F.col("_first"), F.lit(float(before_first)))
-                      .otherwise(F.col("_v")).alias(out_col))
+    default = {"survival": 1.0, "cum_hazard": 0.0}
+    outs = []
+    for out, src in value_cols.items():
+        before = before_first.get(out, default.get(src, 1.0))
+        outs.append(F.when(F.col("q") < F.col("_first"), F.lit(float(before)))
+                    .otherwise(F.col(f"_v_{out}")).alias(out))
+    return hit.select(*g, F.col("q").alias("time"), *outs)
 
 
 def median_survival(curve: DataFrame, group_cols=None) -> DataFrame:
     """NP-7/8: first time with S <= 0.5 (inf if never) and its band crossings, in the right order."""
     g = _groups(group_cols)
     inf = F.lit(float("inf"))
+    half = F.lit(0.5 + HALF_TOL)
     return curve.groupBy(*g).agg(
-        F.coalesce(F.min(F.when(F.col("survival") <= 0.5, F.col("time"))), inf).alias("median"),
-        F.coalesce(F.min(F.when(F.col("lower") <= 0.5, F.col("time"))), inf).alias("ci_lower"),
-        F.coalesce(F.min(F.when(F.col("upper") <= 0.5, F.col("time"))), inf).alias("ci_upper"),
+        F.coalesce(F.min(F.when(F.col("survival") <= half, F.col("time"))), inf).alias("median"),
+        F.coalesce(F.min(F.when(F.col("lower") <= half, F.col("time"))), inf).alias("ci_lower"),
+        F.coalesce(F.min(F.when(F.col("upper") <= half, F.col("time"))), inf).alias("ci_upper"),
     )
 
 
@@ -238,7 +254,8 @@ def pairwise_logrank_stats(cohort: DataFrame, group_col: str, *, time_col: str =
     pairs = list(combinations(range(len(levels)), 2))
     if not pairs:
         spark = cohort.sparkSession
-        return spark.createDataFrame([], "group_a string, group_b string, test_statistic double")
+        return spark.createDataFrame(
+            [], "group_a string, group_b string, o_minus_e double, variance double, test_statistic double")
     structs = [F.struct(F.lit(str(levels[a])).alias("a"), F.lit(str(levels[b])).alias("b"),
                         F.col(f"n_{a}").alias("na"), F.col(f"d_{a}").alias("da"),
                         F.col(f"n_{b}").alias("nb"), F.col(f"d_{b}").alias("db"))
@@ -251,9 +268,11 @@ def pairwise_logrank_stats(cohort: DataFrame, group_col: str, *, time_col: str =
     e_a = F.when(live, d * na / n).otherwise(0.0)
     v = F.when(n > 1, d * (n - d) / (n - 1) * (na / n) * (F.lit(1.0) - na / n)).otherwise(0.0)
     agg = long.groupBy("a", "b").agg(F.sum(F.col("da").cast("double") - e_a).alias("o_minus_e"),
-                                     F.sum(v).alias("var"))
-    return agg.select(F.col("a").alias("group_a"), F.col("b").alias("group_b"),
-                      F.when(F.col("var") > 0, F.col("o_minus_e") * F.col("o_minus_e") / F.col("var"))
+                                     F.sum(v).alias("variance"))
+    return agg.select(F.col("a").alias("group_a"), F.col("b").alias("group_b"), "o_minus_e",
+                      "variance",
+                      F.when(F.col("variance") > 0,
+                             F.col("o_minus_e") * F.col("o_minus_e") / F.col("variance"))
                       .otherwise(F.lit(0.0)).alias("test_statistic"))
 
 

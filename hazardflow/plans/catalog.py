@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from hazardflow.operators import nonparam as np_ops
+from hazardflow.operators.competing import cumulative_incidence
+from hazardflow.operators.quantiles import exact_percentiles
+from hazardflow.plans import reports
 from hazardflow.sources.cohorts import custlife, gap, lineqty, reorder
 
 DIGITS = 6
@@ -89,3 +92,71 @@ def q_km_custlife(spark, sf):
 def q_km_lineqty_by_status(spark, sf):
     curve = np_ops.km_curve(lineqty(spark, sf), ["grp"], small_groups=True)
     return finish(_km_cols(curve, ["grp"]))
+
+
+# ---------------------------------------------------------------- lookups, medians, log-rank
+
+@register("km_lookup_reorder")
+def q_km_lookup_reorder(spark, sf):
+    curve = np_ops.km_curve(reorder(spark, sf), ["grp"], small_groups=True)
+    got = np_ops.value_at(curve, CURVE_TIMES, {"survival": "survival", "cum_hazard": "cum_hazard"},
+                          ["grp"])
+    return finish(got)
+
+
+@register("km_median_reorder")
+def q_km_median_reorder(spark, sf):
+    curve = np_ops.km_curve(reorder(spark, sf), ["grp"], small_groups=True)
+    return finish(np_ops.median_survival(curve, ["grp"]))
+
+
+@register("subgroup_medians_custlife")
+def q_subgroup_medians_custlife(spark, sf):
+    return finish(np_ops.subgroup_medians(custlife(spark, sf), "grp"))
+
+
+@register("logrank_pairwise_reorder")
+def q_logrank_pairwise_reorder(spark, sf):
+    return finish(np_ops.pairwise_logrank_stats(reorder(spark, sf), "grp"))
+
+
+@register("logrank_reorder_by_priority")
+def q_logrank_reorder(spark, sf):
+    """k-sample statistic solved on the driver from a k x k matrix: rows-only check."""
+    return np_ops.logrank_summary(reorder(spark, sf), ["grp"])
+
+
+# ---------------------------------------------------------------- competing risks (CR-1/2)
+
+@register("cif_gap")
+def q_cif_gap(spark, sf):
+    return finish(cumulative_incidence(gap(spark, sf), causes=[1, 2]))
+
+
+@register("cif_gap_by_type")
+def q_cif_gap_by_type(spark, sf):
+    return finish(cumulative_incidence(gap(spark, sf), causes=[1, 2], group_cols=["grp"],
+                                       small_groups=True))
+
+
+# ---------------------------------------------------------------- reports (RPT-1..3), quantiles
+
+@register("overview_reorder")
+def q_overview_reorder(spark, sf):
+    return finish(reports.cohort_overview(reorder(spark, sf)))
+
+
+@register("histogram_gap")
+def q_histogram_gap(spark, sf):
+    return finish(reports.duration_histogram(gap(spark, sf)))
+
+
+@register("describe_reorder")
+def q_describe_reorder(spark, sf):
+    return finish(reports.describe_numeric(reorder(spark, sf), ["duration", "x1", "x2"]))
+
+
+@register("quartiles_gap_by_type")
+def q_quartiles_gap_by_type(spark, sf):
+    return finish(exact_percentiles(gap(spark, sf), "duration", [0.25, 0.5, 0.75], ["grp"],
+                                    small_groups=True))

@@ -125,3 +125,127 @@ SQL["km_custlife"] = with_cohort(
     "custlife", km_select(None), *risk_cte("custlife", None), km_cte(None))
 SQL["km_lineqty_by_status"] = with_cohort(
     "lineqty", km_select("grp"), *risk_cte("lineqty", "grp"), km_cte("grp"))
+
+
+def band_cte() -> str:
+    return f"kb AS (SELECT *, {BAND_LOWER} AS lower, {BAND_UPPER} AS upper FROM km)"
+
+
+INF = "CAST('inf' AS DOUBLE)"
+
+SQL["km_lookup_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT km.grp, {r6('q.q', 'time')},
+         {r6('CASE WHEN q.q < min(km.time) THEN 1.0 ELSE arg_max(survival, time) FILTER (WHERE time <= q.q) END', 'survival')},
+         {r6('CASE WHEN q.q < min(km.time) THEN 0.0 ELSE arg_max(cum_hazard, time) FILTER (WHERE time <= q.q) END', 'cum_hazard')}
+       FROM km CROSS JOIN (VALUES (30.0), (90.0), (180.0), (365.0)) q(q) GROUP BY km.grp, q.q""",
+    *risk_cte("reorder", "grp"), km_cte("grp"))
+
+SQL["km_median_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT grp,
+         {r6(f'coalesce(min(time) FILTER (WHERE survival <= 0.5 + 1e-12), {INF})', 'median')},
+         {r6(f'coalesce(min(time) FILTER (WHERE lower <= 0.5 + 1e-12), {INF})', 'ci_lower')},
+         {r6(f'coalesce(min(time) FILTER (WHERE upper <= 0.5 + 1e-12), {INF})', 'ci_upper')}
+       FROM kb GROUP BY grp""",
+    *risk_cte("reorder", "grp"), km_cte("grp"), band_cte())
+
+SQL["subgroup_medians_custlife"] = with_cohort(
+    "custlife",
+    f"""SELECT m.grp AS "group", {r6('m.med', 'median_survival')}, c.n_subjects, c.n_events
+       FROM (SELECT grp, coalesce(min(time) FILTER (WHERE survival <= 0.5 + 1e-12), {INF}) AS med
+             FROM km GROUP BY grp) m
+       JOIN (SELECT grp, CAST(count(*) AS BIGINT) AS n_subjects,
+                    CAST(sum(CASE WHEN event > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_events
+             FROM custlife WHERE grp IS NOT NULL GROUP BY grp) c ON c.grp = m.grp""",
+    *risk_cte("custlife", "grp"), km_cte("grp"))
+
+SQL["logrank_pairwise_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT group_a, group_b, {r6('o_minus_e', 'o_minus_e')}, {r6('variance', 'variance')},
+         {r6('CASE WHEN variance > 0 THEN o_minus_e * o_minus_e / variance ELSE 0 END', 'test_statistic')}
+       FROM agg""",
+    "times AS (SELECT DISTINCT duration AS t FROM reorder WHERE grp IS NOT NULL)",
+    "grps AS (SELECT DISTINCT grp FROM reorder WHERE grp IS NOT NULL)",
+    """cnt AS (SELECT grp, duration AS t, count(*) AS n_total, sum(event) AS d
+              FROM reorder WHERE grp IS NOT NULL GROUP BY 1, 2)""",
+    """grid AS (SELECT g.grp, t.t, coalesce(c.n_total, 0) AS n_total, coalesce(c.d, 0) AS d
+               FROM grps g CROSS JOIN times t LEFT JOIN cnt c ON c.grp = g.grp AND c.t = t.t)""",
+    """risk AS (SELECT grp, t, d, sum(n_total) OVER (PARTITION BY grp ORDER BY t DESC) AS n FROM grid)""",
+    """pr AS (SELECT a.grp AS group_a, b.grp AS group_b, CAST(a.n AS DOUBLE) AS na, CAST(a.d AS DOUBLE) AS da,
+                    CAST(a.n + b.n AS DOUBLE) AS n, CAST(a.d + b.d AS DOUBLE) AS dd
+             FROM risk a JOIN risk b ON a.t = b.t AND a.grp < b.grp)""",
+    """agg AS (SELECT group_a, group_b,
+                     sum(da - CASE WHEN n > 0 THEN dd * na / n ELSE 0 END) AS o_minus_e,
+                     sum(CASE WHEN n > 1 THEN dd * (n - dd) / (n - 1) * (na / n) * (1 - na / n) ELSE 0 END)
+                       AS variance
+              FROM pr GROUP BY 1, 2)""")
+
+
+def cif_sql(group: str | None) -> str:
+    g = f"{group}, " if group else ""
+    gp = f"PARTITION BY {group} " if group else ""
+    gw = f"WHERE {group} IS NOT NULL" if group else ""
+    own_log = "CASE WHEN d < n_at_risk THEN ln(1 - CAST(d AS DOUBLE) / n_at_risk) ELSE 0 END"
+    own_zero = "CASE WHEN d < n_at_risk THEN 0 ELSE 1 END"
+    prev = f"({gp}ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return with_cohort(
+        "gap",
+        f"""SELECT {g}c.cause, {r6('time', 'time')},
+             {r6('least(1.0, greatest(0.0, CASE c.cause WHEN 1 THEN cif_1 ELSE cif_2 END))', 'cif')},
+             {r6('survival', 'survival')}
+           FROM ci CROSS JOIN (VALUES (1), (2)) c(cause) WHERE d > 0""",
+        f"""rt AS (SELECT {g}duration AS time, count(*) AS n_total,
+                   sum(CASE WHEN cause > 0 THEN 1 ELSE 0 END) AS d,
+                   sum(CASE WHEN cause = 1 THEN 1 ELSE 0 END) AS d_1,
+                   sum(CASE WHEN cause = 2 THEN 1 ELSE 0 END) AS d_2
+            FROM gap {gw} GROUP BY ALL)""",
+        f"rs AS (SELECT *, sum(n_total) OVER ({gp}ORDER BY time DESC) AS n_at_risk FROM rt)",
+        f"""sv AS (SELECT *, coalesce(sum({own_log}) OVER {prev}, 0) AS logs_prev,
+                          coalesce(sum({own_zero}) OVER {prev}, 0) AS zeros_prev FROM rs)""",
+        f"""sp AS (SELECT *, CASE WHEN zeros_prev > 0 THEN 0.0 ELSE exp(logs_prev) END AS s_prev,
+                   CASE WHEN zeros_prev + {own_zero} > 0 THEN 0.0 ELSE exp(logs_prev + {own_log}) END
+                     AS survival FROM sv)""",
+        f"""ci AS (SELECT *,
+                   sum(s_prev * d_1 / n_at_risk) OVER ({gp}ORDER BY time ROWS UNBOUNDED PRECEDING) AS cif_1,
+                   sum(s_prev * d_2 / n_at_risk) OVER ({gp}ORDER BY time ROWS UNBOUNDED PRECEDING) AS cif_2
+            FROM sp)""")
+
+
+SQL["cif_gap"] = cif_sql(None)
+SQL["cif_gap_by_type"] = cif_sql("grp")
+
+SQL["overview_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN event > 0 THEN 1 ELSE 0 END) AS BIGINT) AS events,
+         {r6('sum(CASE WHEN event > 0 THEN 1 ELSE 0 END) / count(*)', 'event_rate')},
+         {r6('quantile_cont(duration, 0.5)', 'median_followup')}
+       FROM reorder""")
+
+SQL["histogram_gap"] = with_cohort(
+    "gap",
+    f"""SELECT CAST(r.range AS INTEGER) AS bin, {r6('mm.lo + r.range * ((mm.hi - mm.lo) / 40)', 'bin_lo')},
+         {r6('mm.lo + (r.range + 1) * ((mm.hi - mm.lo) / 40)', 'bin_hi')},
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n
+       FROM range(40) r CROSS JOIN mm LEFT JOIN c ON c.bin = r.range""",
+    "mm AS (SELECT min(duration) AS lo, max(duration) AS hi FROM gap)",
+    """c AS (SELECT least(39, CAST(floor((duration - lo) * 40.0 / (hi - lo)) AS INTEGER)) AS bin,
+                   count(*) AS n
+            FROM gap CROSS JOIN mm GROUP BY 1)""")
+
+_DESCRIBE_COLS = ["duration", "x1", "x2"]
+SQL["describe_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT "column", CAST(count(value) AS BIGINT) AS count, {r6('avg(value)', 'mean')},
+         {r6('stddev_samp(value)', 'std')}, {r6('min(value)', 'min')},
+         {r6('quantile_cont(value, 0.25)', 'q25')}, {r6('quantile_cont(value, 0.5)', 'q50')},
+         {r6('quantile_cont(value, 0.75)', 'q75')}, {r6('max(value)', 'max')}
+       FROM long WHERE value IS NOT NULL GROUP BY "column\"""",
+    "long AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM reorder" for c in _DESCRIBE_COLS) + ")")
+
+SQL["quartiles_gap_by_type"] = with_cohort(
+    "gap",
+    " UNION ALL ".join(
+        f"SELECT grp, {r6(str(p), 'p')}, {r6(f'quantile_cont(duration, {p})', 'value')} FROM gap "
+        f"WHERE duration IS NOT NULL GROUP BY grp" for p in (0.25, 0.5, 0.75)))
