@@ -52,6 +52,9 @@ def _offset_join(df: DataFrame, offsets: DataFrame, keys: Sequence[str], small:
     return df.join(offsets, on, "left")
 
 
+_AGG = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
 def prefix_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -62,14 +65,16 @@ def prefix_scan(
     n_blocks: int | None = None,
     edges: Sequence[float] | None = None,
     small_keys: bool = False,
+    how: str = "sum",
 ) -> DataFrame:
-    """Add inclusive running sums over ``order_col`` within ``keys``.
+    """Add inclusive running aggregates (``sum``, ``min`` or ``max``) over ``order_col`` within ``keys``.
 
-    Rows with equal (keys, order value) are summed together (RANGE frame), so the result is
+    Rows with equal (keys, order value) are combined together (RANGE frame), so the result is
     deterministic; inputs here are normally one row per (keys, order value). A descending scan
     gives suffix sums (risk sets) as prefix sums, never a ``rowsBetween(0, unboundedFollowing)``.
     """
     keys = list(keys)
+    agg = _AGG[how]
     if edges is None:
         edges = value_edges(df, order_col, n_blocks or default_blocks(df))
     exprs = {k: (F.col(v) if isinstance(v, str) else v) for k, v in sums.items()}
@@ -78,22 +83,22 @@ def prefix_scan(
     base = base.select("*", *[e.alias(tmp[k]) for k, e in exprs.items()])
 
     blk_order = F.col(BLOCK).desc() if descending else F.col(BLOCK).asc()
-    totals = base.groupBy(*keys, BLOCK).agg(*[F.sum(tmp[k]).alias(tmp[k]) for k in exprs])
-    wb = Window.partitionBy(*keys).orderBy(blk_order)
-    offsets = totals.select(
-        *keys, BLOCK,
-        *[(F.sum(tmp[k]).over(wb) - F.col(tmp[k])).alias(f"_off_{k}") for k in exprs],
-    )
+    totals = base.groupBy(*keys, BLOCK).agg(*[agg(tmp[k]).alias(tmp[k]) for k in exprs])
+    wb = (Window.partitionBy(*keys).orderBy(blk_order)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(*keys, BLOCK, *[agg(tmp[k]).over(wb).alias(f"_off_{k}") for k in exprs])
     joined = _offset_join(base, offsets, keys, small_keys)
     ordering = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = (Window.partitionBy(*keys, BLOCK).orderBy(ordering)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    out = joined.select(
-        *[c for c in df.columns],
-        *[(F.sum(tmp[k]).over(w) + F.coalesce(F.col(f"_off_{k}"), F.lit(0))).alias(k)
-          for k in exprs],
-    )
-    return out
+
+    def combine(k):
+        inside, before = agg(tmp[k]).over(w), F.col(f"_off_{k}")
+        if how == "sum":
+            return inside + F.coalesce(before, F.lit(0))
+        return F.least(inside, before) if how == "min" else F.greatest(inside, before)
+
+    return joined.select(*df.columns, *[combine(k).alias(k) for k in exprs])
 
 
 def bucketed_lead(

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from hazardflow.operators import cox
 from hazardflow.operators import nonparam as np_ops
-from hazardflow.operators.competing import cumulative_incidence
+from hazardflow.operators.competing import cause_specific_cox, cumulative_incidence
 from hazardflow.operators.quantiles import exact_percentiles
 from hazardflow.plans import reports
 from hazardflow.sources.cohorts import custlife, gap, lineqty, reorder
@@ -160,3 +161,72 @@ def q_describe_reorder(spark, sf):
 def q_quartiles_gap_by_type(spark, sf):
     return finish(exact_percentiles(gap(spark, sf), "duration", [0.25, 0.5, 0.75], ["grp"],
                                     small_groups=True))
+
+
+# ---------------------------------------------------------------- Cox regression (COX-*, CR-3)
+
+COX_FEATURES = ["x1", "x2"]
+COX_BETA = [0.05, -0.02]          # fixed standardised coefficients for the kernel checks
+
+
+@register("cox_score_reorder")
+def q_cox_score_reorder(spark, sf):
+    """COX-2 at a fixed beta, per subject: loglik/n, score/n, Hessian/n (unpenalised, Efron)."""
+    res = cox.score_at(reorder(spark, sf), COX_FEATURES, COX_BETA)
+    n = float(res["n"])
+    rows = [("loglik", res["ll"] / n)]
+    rows += [(f"grad_{j}", float(res["grad"][j]) / n) for j in range(2)]
+    rows += [(f"hess_{j}_{k}", float(res["hess"][j, k]) / n) for j in range(2) for k in range(j, 2)]
+    return finish(spark.createDataFrame(rows, "term string, value double"))
+
+
+def _fixed_cox(spark, sf):
+    data = reorder(spark, sf)
+    return data, cox.model_from_coefficients(data, COX_FEATURES, COX_BETA)
+
+
+@register("cox_baseline_reorder")
+def q_cox_baseline_reorder(spark, sf):
+    _, m = _fixed_cox(spark, sf)
+    return finish(m.baseline)
+
+
+@register("cox_risk_reorder")
+def q_cox_risk_reorder(spark, sf):
+    data, m = _fixed_cox(spark, sf)
+    return finish(cox.predict_risk(m, data))
+
+
+@register("cox_survival_reorder")
+def q_cox_survival_reorder(spark, sf):
+    data, m = _fixed_cox(spark, sf)
+    return finish(cox.predict_survival(m, data, CURVE_TIMES))
+
+
+@register("cox_median_reorder")
+def q_cox_median_reorder(spark, sf):
+    data, m = _fixed_cox(spark, sf)
+    return finish(cox.predict_median(m, data))
+
+
+@register("cox_fit_reorder")
+def q_cox_fit_reorder(spark, sf):
+    """COX-1/3: penalised fit (0.1) and its hazard-ratio table (Newton on the driver: rows-only)."""
+    m = cox.fit_cox(reorder(spark, sf), COX_FEATURES, penalizer=0.1)
+    return finish(cox.hazard_ratio_table(m, spark))
+
+
+@register("cox_ph_test_reorder")
+def q_cox_ph_test_reorder(spark, sf):
+    data = reorder(spark, sf)
+    m = cox.fit_cox(data, COX_FEATURES, penalizer=0.1)
+    return finish(cox.schoenfeld_test(m, data))
+
+
+@register("cause_specific_cox_gap")
+def q_cause_specific_cox_gap(spark, sf):
+    models = cause_specific_cox(gap(spark, sf), ["x1"], penalizer=0.1)
+    rows = [(k, r["feature"], r["coef"], r["hr"], r["se"], r["p_value"])
+            for k, m in sorted(models.items()) for r in cox.hazard_ratios(m)]
+    return finish(spark.createDataFrame(
+        rows, "cause int, feature string, coef double, hr double, se double, p_value double"))

@@ -249,3 +249,84 @@ SQL["quartiles_gap_by_type"] = with_cohort(
     " UNION ALL ".join(
         f"SELECT grp, {r6(str(p), 'p')}, {r6(f'quantile_cont(duration, {p})', 'value')} FROM gap "
         f"WHERE duration IS NOT NULL GROUP BY grp" for p in (0.25, 0.5, 0.75)))
+
+
+# ---------------------------------------------------------------- Cox at fixed coefficients
+
+COX_B = (0.05, -0.02)
+
+
+def cox_ctes(src: str = "reorder") -> list[str]:
+    b1, b2 = COX_B
+    return [
+        f"st AS (SELECT avg(x1) AS m1, stddev_samp(x1) AS s1, avg(x2) AS m2, stddev_samp(x2) AS s2 "
+        f"FROM {src} WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND duration IS NOT NULL AND event IS NOT NULL)",
+        f"""z AS (SELECT subject_id, duration AS time, CAST(event AS DOUBLE) AS ev,
+                    (x1 - m1) / s1 AS z1, (x2 - m2) / s2 AS z2
+             FROM {src} CROSS JOIN st
+             WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND duration IS NOT NULL AND event IS NOT NULL)""",
+        f"e AS (SELECT *, {b1} * z1 + ({b2}) * z2 AS eta, exp({b1} * z1 + ({b2}) * z2) AS w FROM z)",
+    ]
+
+
+SQL["cox_score_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT term, {r6('value', 'value')} FROM (
+          SELECT 'loglik' AS term, sum(ee - lsum) / (SELECT count(*) FROM z) AS value FROM ef
+          UNION ALL SELECT 'grad_0', sum(e1 - (r1 * p0 - b1 * p1)) / (SELECT count(*) FROM z) FROM ef
+          UNION ALL SELECT 'grad_1', sum(e2 - (r2 * p0 - b2 * p1)) / (SELECT count(*) FROM z) FROM ef
+          UNION ALL SELECT 'hess_0_0', -sum((r11 * p0 - b11 * p1) - (r1 * r1 * q0 - 2 * r1 * b1 * q1 + b1 * b1 * q2))
+                                        / (SELECT count(*) FROM z) FROM ef
+          UNION ALL SELECT 'hess_0_1', -sum((r12 * p0 - b12 * p1)
+                                            - (r1 * r2 * q0 - (r1 * b2 + b1 * r2) * q1 + b1 * b2 * q2))
+                                        / (SELECT count(*) FROM z) FROM ef
+          UNION ALL SELECT 'hess_1_1', -sum((r22 * p0 - b22 * p1) - (r2 * r2 * q0 - 2 * r2 * b2 * q1 + b2 * b2 * q2))
+                                        / (SELECT count(*) FROM z) FROM ef)""",
+    *cox_ctes(),
+    """pt AS (SELECT time, sum(w) AS a0, sum(z1 * w) AS a1, sum(z2 * w) AS a2, sum(z1 * z1 * w) AS a11,
+                    sum(z1 * z2 * w) AS a12, sum(z2 * z2 * w) AS a22, CAST(sum(ev) AS BIGINT) AS d,
+                    sum(ev * w) AS b0, sum(ev * z1 * w) AS b1, sum(ev * z2 * w) AS b2,
+                    sum(ev * z1 * z1 * w) AS b11, sum(ev * z1 * z2 * w) AS b12, sum(ev * z2 * z2 * w) AS b22,
+                    sum(ev * z1) AS e1, sum(ev * z2) AS e2, sum(ev * eta) AS ee
+             FROM e GROUP BY time)""",
+    """rs AS (SELECT *, sum(a0) OVER w AS r0, sum(a1) OVER w AS r1, sum(a2) OVER w AS r2,
+                    sum(a11) OVER w AS r11, sum(a12) OVER w AS r12, sum(a22) OVER w AS r22
+             FROM pt WINDOW w AS (ORDER BY time DESC))""",
+    """ef AS (SELECT *,
+               list_sum(list_transform(range(0, d), lambda l: ln(r0 - l / d * b0))) AS lsum,
+               list_sum(list_transform(range(0, d), lambda l: 1 / (r0 - l / d * b0))) AS p0,
+               list_sum(list_transform(range(0, d), lambda l: (l / d) / (r0 - l / d * b0))) AS p1,
+               list_sum(list_transform(range(0, d), lambda l: 1 / pow(r0 - l / d * b0, 2))) AS q0,
+               list_sum(list_transform(range(0, d), lambda l: (l / d) / pow(r0 - l / d * b0, 2))) AS q1,
+               list_sum(list_transform(range(0, d), lambda l: pow(l / d, 2) / pow(r0 - l / d * b0, 2))) AS q2
+             FROM rs WHERE d > 0)""")
+
+_BASELINE = [
+    "bp AS (SELECT time, sum(w) AS ph, sum(CASE WHEN ev > 0 THEN 1 ELSE 0 END) AS d FROM e GROUP BY time)",
+    "br AS (SELECT *, sum(ph) OVER (ORDER BY time DESC) AS risk FROM bp)",
+    """bl AS (SELECT time, d / risk AS baseline_hazard,
+                    sum(d / risk) OVER (ORDER BY time ROWS UNBOUNDED PRECEDING) AS cum_hazard FROM br)""",
+]
+
+SQL["cox_baseline_reorder"] = with_cohort(
+    "reorder",
+    f"SELECT {r6('time', 'time')}, {r6('baseline_hazard', 'baseline_hazard')}, "
+    f"{r6('cum_hazard', 'cum_hazard')} FROM bl",
+    *cox_ctes(), *_BASELINE)
+
+SQL["cox_risk_reorder"] = with_cohort(
+    "reorder", f"SELECT subject_id, {r6('eta', 'log_partial_hazard')} FROM e", *cox_ctes())
+
+SQL["cox_survival_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT e.subject_id, {r6('h.q', 'time')}, {r6('exp(-h.h0 * e.w)', 'survival')}
+        FROM e CROSS JOIN h""",
+    *cox_ctes(), *_BASELINE,
+    """h AS (SELECT q.q, coalesce(arg_max(cum_hazard, time) FILTER (WHERE time <= q.q), 0.0) AS h0
+            FROM bl CROSS JOIN (VALUES (30.0), (90.0), (180.0), (365.0)) q(q) GROUP BY q.q)""")
+
+SQL["cox_median_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT e.subject_id, {r6(f'coalesce(min(bl.time), {INF})', 'median')}
+        FROM e LEFT JOIN bl ON bl.cum_hazard >= ln(2) * exp(-e.eta) GROUP BY e.subject_id""",
+    *cox_ctes(), *_BASELINE)
