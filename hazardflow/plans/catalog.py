@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from hazardflow.operators import cox
+from hazardflow.operators import cox, metrics
+from hazardflow.operators.concordance import concordance_table
 from hazardflow.operators import nonparam as np_ops
 from hazardflow.operators.competing import cause_specific_cox, cumulative_incidence
 from hazardflow.operators.quantiles import exact_percentiles
@@ -230,3 +231,59 @@ def q_cause_specific_cox_gap(spark, sf):
             for k, m in sorted(models.items()) for r in cox.hazard_ratios(m)]
     return finish(spark.createDataFrame(
         rows, "cause int, feature string, coef double, hr double, se double, p_value double"))
+
+
+# ---------------------------------------------------------------- evaluation (EV-*)
+
+@register("cindex_custlife")
+def q_cindex_custlife(spark, sf):
+    data = custlife(spark, sf).withColumnRenamed("x1", "risk")
+    return finish(concordance_table(data))
+
+
+@register("cindex_custlife_tied")
+def q_cindex_custlife_tied(spark, sf):
+    data = custlife(spark, sf).withColumn("risk", F.round(F.col("x1") / 1000.0))
+    return finish(concordance_table(data))
+
+
+@register("cindex_cox_reorder")
+def q_cindex_cox_reorder(spark, sf):
+    """EV-1 / COX-9 on the whole reorder cohort (SQL self-join too large: rows-only)."""
+    data, m = _fixed_cox(spark, sf)
+    return finish(concordance_table(data.withColumn("risk", m.log_partial_hazard())))
+
+
+@register("censoring_curve_reorder")
+def q_censoring_curve_reorder(spark, sf):
+    return finish(metrics.censoring_curve(reorder(spark, sf)))
+
+
+def _cox_predictions(spark, sf):
+    data, m = _fixed_cox(spark, sf)
+    return data, m, cox.predict_survival(m, data, CURVE_TIMES)
+
+
+@register("brier_cox_reorder")
+def q_brier_cox_reorder(spark, sf):
+    data, _, pred = _cox_predictions(spark, sf)
+    return finish(metrics.brier_scores(data, data, pred, CURVE_TIMES))
+
+
+@register("auc_cox_reorder")
+def q_auc_cox_reorder(spark, sf):
+    data, m, _ = _cox_predictions(spark, sf)
+    risk = cox.predict_risk(m, data).withColumnRenamed("log_partial_hazard", "risk")
+    return finish(metrics.time_auc(data, data, risk, CURVE_TIMES))
+
+
+@register("crude_brier_cox_reorder")
+def q_crude_brier_cox_reorder(spark, sf):
+    data, _, pred = _cox_predictions(spark, sf)
+    return finish(metrics.crude_brier(data, pred, CURVE_TIMES))
+
+
+@register("calibration_cox_reorder")
+def q_calibration_cox_reorder(spark, sf):
+    data, _, pred = _cox_predictions(spark, sf)
+    return finish(metrics.calibration(data, pred, CURVE_TIMES))

@@ -330,3 +330,80 @@ SQL["cox_median_reorder"] = with_cohort(
     f"""SELECT e.subject_id, {r6(f'coalesce(min(bl.time), {INF})', 'median')}
         FROM e LEFT JOIN bl ON bl.cum_hazard >= ln(2) * exp(-e.eta) GROUP BY e.subject_id""",
     *cox_ctes(), *_BASELINE)
+
+
+# ---------------------------------------------------------------- evaluation
+
+def cindex_sql(risk_expr: str) -> str:
+    return with_cohort(
+        "custlife",
+        f"""SELECT CAST(count(*) AS DOUBLE) AS comparable,
+              CAST(sum(CASE WHEN j.r < i.r THEN 1 ELSE 0 END) AS DOUBLE) AS concordant,
+              CAST(sum(CASE WHEN j.r = i.r THEN 1 ELSE 0 END) AS DOUBLE) AS tied_risk,
+              {r6('(sum(CASE WHEN j.r < i.r THEN 1 ELSE 0 END) + 0.5 * sum(CASE WHEN j.r = i.r THEN 1 ELSE 0 END)) / count(*)', 'c_index')}
+            FROM s i JOIN s j ON i.e > 0 AND (j.t > i.t OR (j.t = i.t AND j.e = 0))""",
+        f"""s AS (SELECT duration AS t, event AS e, {risk_expr} AS r FROM custlife
+                 WHERE duration IS NOT NULL AND event IS NOT NULL AND {risk_expr} IS NOT NULL)""")
+
+
+SQL["cindex_custlife"] = cindex_sql("CAST(x1 AS DOUBLE)")
+SQL["cindex_custlife_tied"] = cindex_sql("round(x1 / 1000.0)")
+
+_GC = """gc AS (SELECT time, CASE WHEN zeros > 0 THEN 0.0 ELSE exp(logs) END AS g
+  FROM (SELECT time,
+          sum(CASE WHEN c < n_at_risk - d THEN ln(1 - CAST(c AS DOUBLE) / (n_at_risk - d)) ELSE 0 END) OVER w AS logs,
+          sum(CASE WHEN c < n_at_risk - d OR c = 0 THEN 0 ELSE 1 END) OVER w AS zeros
+        FROM (SELECT *, n_total - d AS c FROM rs)
+        WINDOW w AS (ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))"""
+
+SQL["censoring_curve_reorder"] = with_cohort(
+    "reorder", f"SELECT {r6('time', 'time')}, {r6('g', 'censoring_survival')} FROM gc",
+    *risk_cte("reorder", None), _GC)
+
+_TIMES = "(VALUES (30.0), (90.0), (180.0), (365.0)) v(q)"
+_PRED = [
+    *cox_ctes(), *_BASELINE,
+    f"""h AS (SELECT v.q, coalesce(arg_max(cum_hazard, time) FILTER (WHERE time <= v.q), 0.0) AS h0
+             FROM bl CROSS JOIN {_TIMES} GROUP BY v.q)""",
+    "pred AS (SELECT e.subject_id, h.q AS time, exp(-h.h0 * e.w) AS survival FROM e CROSS JOIN h)",
+    *risk_cte("reorder", None), _GC,
+    """subj AS (SELECT r.subject_id, r.duration AS tt, r.event > 0 AS ev, g.g AS gt
+               FROM reorder r ASOF LEFT JOIN gc g ON r.duration >= g.time)""",
+]
+
+SQL["brier_cox_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT metric, {r6('time', 'time')}, {r6('value', 'value')} FROM (
+          SELECT 'brier' AS metric, time, value FROM bs
+          UNION ALL
+          SELECT 'ibs', NULL, sum(area) / (max(time) - min(time)) FROM (
+            SELECT time, (lead(time) OVER (ORDER BY time) - time)
+                         * (value + lead(value) OVER (ORDER BY time)) / 2 AS area FROM bs))""",
+    *_PRED,
+    f"""gq AS (SELECT v.q, arg_max(g, time) FILTER (WHERE time <= v.q) AS g_at FROM gc CROSS JOIN {_TIMES}
+              GROUP BY v.q)""",
+    """bs AS (SELECT p.time,
+                    avg(CASE WHEN s.ev AND s.tt <= p.time AND s.gt > 0 THEN p.survival * p.survival / s.gt ELSE 0 END
+                        + CASE WHEN s.tt > p.time THEN (1 - p.survival) * (1 - p.survival) / gq.g_at ELSE 0 END)
+                      AS value
+             FROM pred p JOIN subj s ON s.subject_id = p.subject_id JOIN gq ON gq.q = p.time
+             WHERE p.time < (SELECT max(duration) FROM reorder) GROUP BY p.time)""")
+
+SQL["auc_cox_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT {r6('t', 'time')}, {r6('CASE WHEN sum(w) > 0 AND sum(k) > 0 THEN sum(w * (k_lt + 0.5 * k)) / (sum(w) * sum(k)) END', 'auc')}
+        FROM (SELECT *, coalesce(sum(k) OVER (PARTITION BY t ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k_lt
+              FROM (SELECT v.q AS t, e.eta AS r,
+                           sum(CASE WHEN s.ev AND s.tt <= v.q AND s.gt > 0 THEN 1 / s.gt ELSE 0 END) AS w,
+                           sum(CASE WHEN s.tt > v.q THEN 1.0 ELSE 0 END) AS k
+                    FROM subj s JOIN e ON e.subject_id = s.subject_id CROSS JOIN {_TIMES}
+                    WHERE v.q < 0.99 * (SELECT max(duration) FROM reorder)
+                    GROUP BY v.q, e.eta))
+        GROUP BY t""",
+    *_PRED)
+
+SQL["crude_brier_cox_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT {r6('p.time', 'time')}, {r6('avg(pow(p.survival - CASE WHEN r.duration > p.time THEN 1.0 ELSE 0.0 END, 2))', 'brier')}
+        FROM pred p JOIN reorder r ON r.subject_id = p.subject_id GROUP BY p.time""",
+    *_PRED)

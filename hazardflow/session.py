@@ -27,10 +27,44 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hazardflow`` importable in Python workers (grouped-map and pandas kernels).
+
+    Once per application: the package is zipped and handed to ``addPyFile``, which distributes it
+    to every executor. Skipped when workers can already import it (installed on the cluster).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED or os.environ.get("HAZARDFLOW_INSTALLED") == "1":
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="hazardflow-py-"), "hazardflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
+def prepare(spark: SparkSession) -> None:
+    """Checkpoint folder plus the package on the workers' path."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only local runs get a scratch one."""
     sc = spark.sparkContext
