@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from hazardflow.operators import cox, metrics
+from hazardflow.operators import cox, metrics, neural, prep
 from hazardflow.operators.concordance import concordance_table
 from hazardflow.operators import nonparam as np_ops
 from hazardflow.operators.competing import cause_specific_cox, cumulative_incidence
@@ -287,3 +287,54 @@ def q_crude_brier_cox_reorder(spark, sf):
 def q_calibration_cox_reorder(spark, sf):
     data, _, pred = _cox_predictions(spark, sf)
     return finish(metrics.calibration(data, pred, CURVE_TIMES))
+
+
+# ---------------------------------------------------------------- neural-model kernels (NN-*)
+
+@register("nn_cox_loss_reorder")
+def q_nn_cox_loss_reorder(spark, sf):
+    data, m = _fixed_cox(spark, sf)
+    loss = neural.cox_loss(data.withColumn("score", m.log_partial_hazard()))
+    return finish(spark.createDataFrame([(loss,)], "loss double"))
+
+
+@register("discretise_gap")
+def q_discretise_gap(spark, sf):
+    binned = neural.discretise(gap(spark, sf), 10)
+    return binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("exp_curve_reorder")
+def q_exp_curve_reorder(spark, sf):
+    data, m = _fixed_cox(spark, sf)
+    return finish(neural.exponential_curve(data.withColumn("risk", m.log_partial_hazard()),
+                                           CURVE_TIMES))
+
+
+# ---------------------------------------------------------------- preparation (PREP-*)
+
+DURATION_BINS = [0, 30, 90, 180, 365, 100000]
+DURATION_LABELS = ["<=30", "31-90", "91-180", "181-365", ">365"]
+
+
+@register("duration_buckets_reorder")
+def q_duration_buckets_reorder(spark, sf):
+    """PREP-1/2: right-closed labelled buckets (generic ``cut``) with counts."""
+    from hazardflow.functions.columns import cut
+    data = reorder(spark, sf).withColumn("bucket", cut(F.col("duration"), DURATION_BINS, DURATION_LABELS))
+    return data.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"),
+                                      F.sum("event").cast("long").alias("events"))
+
+
+@register("split_quotas_reorder")
+def q_split_quotas_reorder(spark, sf):
+    """PREP-7: stratified 70/15/15 split; exact per-stratum quotas."""
+    out = prep.stratified_split(reorder(spark, sf), seed=42)
+    return out.groupBy("split", "event").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("scaler_reorder")
+def q_scaler_reorder(spark, sf):
+    """PREP-4/5: fitted parameter table (median, mean, population std after imputation)."""
+    sc = prep.fit_scaler(reorder(spark, sf), ["x1", "x2", "duration"])
+    return finish(sc.table(spark), 4)

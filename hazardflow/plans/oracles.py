@@ -407,3 +407,54 @@ SQL["crude_brier_cox_reorder"] = with_cohort(
     f"""SELECT {r6('p.time', 'time')}, {r6('avg(pow(p.survival - CASE WHEN r.duration > p.time THEN 1.0 ELSE 0.0 END, 2))', 'brier')}
         FROM pred p JOIN reorder r ON r.subject_id = p.subject_id GROUP BY p.time""",
     *_PRED)
+
+
+# ---------------------------------------------------------------- neural kernels, preparation
+
+SQL["nn_cox_loss_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT {r6('sum(d * ln(risk) - s_ev) / sum(d)', 'loss')} FROM (
+          SELECT *, sum(w) OVER (ORDER BY time DESC) AS risk FROM (
+            SELECT time, sum(w) AS w, sum(ev) AS d, sum(CASE WHEN ev > 0 THEN eta ELSE 0 END) AS s_ev
+            FROM e GROUP BY time))""",
+    *cox_ctes())
+
+SQL["discretise_gap"] = with_cohort(
+    "gap",
+    """SELECT CAST(least(floor((duration - lo) / (((hi + 1e-6) - lo) / 10)), 9) AS INTEGER) AS bin,
+              CAST(count(*) AS BIGINT) AS n
+       FROM gap CROSS JOIN (SELECT min(duration) AS lo, max(duration) AS hi FROM gap) GROUP BY 1""")
+
+SQL["exp_curve_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT e.subject_id, {r6('v.q', 'time')},
+           {r6('exp(-exp(e.eta - m.mr) * v.q / m.mt)', 'survival')}
+        FROM e CROSS JOIN (SELECT avg(eta) AS mr, avg(time) AS mt FROM e) m CROSS JOIN {_TIMES}""",
+    *cox_ctes())
+
+SQL["duration_buckets_reorder"] = with_cohort(
+    "reorder",
+    """SELECT CASE WHEN duration > 0 AND duration <= 30 THEN '<=30'
+                   WHEN duration > 30 AND duration <= 90 THEN '31-90'
+                   WHEN duration > 90 AND duration <= 180 THEN '91-180'
+                   WHEN duration > 180 AND duration <= 365 THEN '181-365'
+                   WHEN duration > 365 AND duration <= 100000 THEN '>365' END AS bucket,
+              CAST(count(*) AS BIGINT) AS n, CAST(sum(event) AS BIGINT) AS events
+       FROM reorder GROUP BY 1""")
+
+SQL["split_quotas_reorder"] = with_cohort(
+    "reorder",
+    """SELECT s.split, q.event, CAST(CASE s.split WHEN 'test' THEN q.n_test WHEN 'val' THEN q.n_val
+                                     ELSE q.n - q.n_test - q.n_val END AS BIGINT) AS n
+       FROM (SELECT event, n, n_test, CAST(floor((n - n_test) * (0.15 / 0.85) + 0.5) AS BIGINT) AS n_val
+             FROM (SELECT event, count(*) AS n, CAST(floor(count(*) * 0.15 + 0.5) AS BIGINT) AS n_test
+                   FROM reorder GROUP BY event)) q
+       CROSS JOIN (VALUES ('train'), ('val'), ('test')) s(split)""")
+
+SQL["scaler_reorder"] = with_cohort(
+    "reorder",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, round(median({c}), 4) AS median, round(avg(coalesce({c}, m)), 4) AS mean,
+                   round(stddev_pop(coalesce({c}, m)), 4) AS std
+            FROM reorder CROSS JOIN (SELECT median({c}) AS m FROM reorder)"""
+        for c in ("x1", "x2", "duration")))
