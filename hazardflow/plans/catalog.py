@@ -17,7 +17,9 @@ from hazardflow.operators.concordance import concordance_table
 from hazardflow.operators import nonparam as np_ops
 from hazardflow.operators.competing import cause_specific_cox, cumulative_incidence
 from hazardflow.operators.quantiles import exact_percentiles
-from hazardflow.plans import reports
+from hazardflow.plans import comparison, reports, scoring
+from hazardflow.session import read_table
+from hazardflow.streaming import admission
 from hazardflow.sources.cohorts import custlife, gap, lineqty, reorder
 
 DIGITS = 6
@@ -338,3 +340,50 @@ def q_scaler_reorder(spark, sf):
     """PREP-4/5: fitted parameter table (median, mean, population std after imputation)."""
     sc = prep.fit_scaler(reorder(spark, sf), ["x1", "x2", "duration"])
     return finish(sc.table(spark), 4)
+
+
+# ---------------------------------------------------------------- scoring, streams, reports (P6)
+
+@register("patient_curves_reorder")
+def q_patient_curves_reorder(spark, sf):
+    """RPT-8: Cox survival for every subject on the grid 0..360 step 10."""
+    data, m = _fixed_cox(spark, sf)
+    return finish(comparison.patient_curves(m, data))
+
+
+@register("score_batch_reorder")
+def q_score_batch_reorder(spark, sf):
+    """SCORE-1 on every reorder subject (no range checks: these are not clinical fields)."""
+    data, m = _fixed_cox(spark, sf)
+    scored, _ = scoring.score_batch(data, m, model_name="cox_fixed", validate=False)
+    return scored
+
+
+@register("admission_events")
+def q_admission_events(spark, sf):
+    """STRM-1 batch twin over the whole events table (per user, 60 per 60 s)."""
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return admission.admit_batch(ev, window=60.0, limit=60)
+
+
+@register("admission_events_tight")
+def q_admission_events_tight(spark, sf):
+    """STRM-1 with a limit that binds on this data: 2 per user per hour."""
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return admission.admit_batch(ev, window=3600.0, limit=2)
+
+
+@register("evaluation_cox_reorder")
+def q_evaluation_cox_reorder(spark, sf):
+    """EV-7/EV-10: evaluation row of the fixed Cox model plus the KM reference row."""
+    data, m, pred = _cox_predictions(spark, sf)
+    risk = data.select("subject_id", m.log_partial_hazard().alias("risk"))
+    cox_row = comparison.evaluate_model("cox_fixed", "reorder", data, data, risk, pred)
+    km_risk = data.select("subject_id", F.lit(0.0).alias("risk"))
+    km_curve = np_ops.km_curve(data)
+    at = {r["time"]: r["survival"] for r in
+          np_ops.value_at(km_curve, CURVE_TIMES, {"survival": "survival"}).collect()}
+    km_pred = data.select("subject_id", F.inline(F.array(*[
+        F.struct(F.lit(t).alias("time"), F.lit(float(at[t])).alias("survival")) for t in CURVE_TIMES])))
+    km_row = comparison.evaluate_model("kaplan_meier", "reorder", data, data, km_risk, km_pred)
+    return comparison.comparison_table(cox_row.unionByName(km_row))

@@ -458,3 +458,10 @@ SQL["scaler_reorder"] = with_cohort(
                    round(stddev_pop(coalesce({c}, m)), 4) AS std
             FROM reorder CROSS JOIN (SELECT median({c}) AS m FROM reorder)"""
         for c in ("x1", "x2", "duration")))
+
+SQL["patient_curves_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT e.subject_id, {r6('h.q', 'time')}, {r6('exp(-h.h0 * e.w)', 'survival')} FROM e CROSS JOIN h""",
+    *cox_ctes(), *_BASELINE,
+    """h AS (SELECT v.q, coalesce(arg_max(cum_hazard, time) FILTER (WHERE time <= v.q), 0.0) AS h0
+            FROM bl CROSS JOIN (SELECT CAST(range AS DOUBLE) AS q FROM range(0, 361, 10)) v GROUP BY v.q)""")
