@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from hazardflow.operators import cox, metrics, neural, prep
+from hazardflow.operators import boosting, cox, metrics, neural, prep
 from hazardflow.operators.concordance import concordance_table
 from hazardflow.operators import nonparam as np_ops
 from hazardflow.operators.competing import cause_specific_cox, cumulative_incidence
@@ -387,3 +387,23 @@ def q_evaluation_cox_reorder(spark, sf):
         F.struct(F.lit(t).alias("time"), F.lit(float(at[t])).alias("survival")) for t in CURVE_TIMES])))
     km_row = comparison.evaluate_model("kaplan_meier", "reorder", data, data, km_risk, km_pred)
     return comparison.comparison_table(cox_row.unionByName(km_row))
+
+
+# ---------------------------------------------------------------- boosting (GB-*)
+
+@register("martingale_reorder")
+def q_martingale_reorder(spark, sf):
+    """GB-2: martingale residuals at the fixed Cox score (uncentred exp(eta) weights)."""
+    data, m = _fixed_cox(spark, sf)
+    scored = data.withColumn("score", m.log_partial_hazard())
+    return finish(boosting.martingale_residuals(scored).select("subject_id", "residual"))
+
+
+@register("boosting_custlife")
+def q_boosting_custlife(spark, sf):
+    """GB-1/GB-6: 10 boosting rounds on custlife, train C-index of the boosted score."""
+    data = custlife(spark, sf)
+    model = boosting.fit_boosted_cox(data, ["x1"], n_estimators=10)
+    scored = model.score(data, "risk")
+    res = concordance_table(scored)
+    return finish(res)

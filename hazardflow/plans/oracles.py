@@ -465,3 +465,8 @@ SQL["patient_curves_reorder"] = with_cohort(
     *cox_ctes(), *_BASELINE,
     """h AS (SELECT v.q, coalesce(arg_max(cum_hazard, time) FILTER (WHERE time <= v.q), 0.0) AS h0
             FROM bl CROSS JOIN (SELECT CAST(range AS DOUBLE) AS q FROM range(0, 361, 10)) v GROUP BY v.q)""")
+
+SQL["martingale_reorder"] = with_cohort(
+    "reorder",
+    f"SELECT e.subject_id, {r6('e.ev - e.w * bl.cum_hazard', 'residual')} FROM e JOIN bl ON bl.time = e.time",
+    *cox_ctes(), *_BASELINE)
