@@ -250,9 +250,11 @@ def breslow_baseline(df: DataFrame, model: CoxModel) -> DataFrame:
            .groupBy(F.col(model.time_col).cast("double").alias("time"))
            .agg(F.sum(F.exp(eta)).alias("ph"),
                 F.sum((F.col(model.event_col) > 0).cast("long")).alias("d")))
-    rs = prefix_scan(per, [], "time", {"risk": "ph"}, descending=True)
+    edges = value_edges(df.select(F.col(model.time_col).cast("double").alias("_t")), "_t",
+                        max(8, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))))
+    rs = prefix_scan(per, [], "time", {"risk": "ph"}, descending=True, edges=edges)
     hz = rs.withColumn("baseline_hazard", F.col("d").cast("double") / F.col("risk"))
-    cum = prefix_scan(hz, [], "time", {"cum_hazard": "baseline_hazard"})
+    cum = prefix_scan(hz, [], "time", {"cum_hazard": "baseline_hazard"}, edges=edges)
     return cum.select("time", "baseline_hazard", "cum_hazard")
 
 

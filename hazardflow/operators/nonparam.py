@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardflow.functions.stats import Z95, chi2_sf, chi2_sf_col1
-from hazardflow.operators.scan import prefix_scan
+from hazardflow.operators.scan import default_blocks, prefix_scan, value_edges
 
 
 # A product that is exactly 1/2 in rational arithmetic comes out of the log-space sum a few ulps
@@ -31,9 +31,15 @@ def _groups(group_cols: str | Sequence[str] | None) -> list[str]:
     return list(group_cols)
 
 
+def time_edges(cohort: DataFrame, time_col: str = "duration", n_blocks: int | None = None) -> list[float]:
+    """Block edges of the time axis, computed once and shared by every scan of one curve."""
+    return value_edges(cohort.select(F.col(time_col).cast("double").alias("_t")), "_t",
+                       n_blocks or default_blocks(cohort))
+
+
 def risk_table(cohort: DataFrame, group_cols=None, *, time_col: str = "duration",
                event_col: str = "event", small_groups: bool = False,
-               n_blocks: int | None = None) -> DataFrame:
+               n_blocks: int | None = None, edges: Sequence[float] | None = None) -> DataFrame:
     """NP-1: per (group, time) ``n_total``, deaths ``d`` (any cause > 0), censored ``c``, ``n_at_risk``.
 
     Rows with a NULL group, time or event are left out (they belong to no curve).
@@ -49,7 +55,7 @@ def risk_table(cohort: DataFrame, group_cols=None, *, time_col: str = "duration"
              F.sum((F.col(event_col) > 0).cast("long")).alias("d"))
     )
     scanned = prefix_scan(counts, g, "time", {"n_at_risk": "n_total"}, descending=True,
-                          small_keys=small_groups, n_blocks=n_blocks)
+                          small_keys=small_groups, n_blocks=n_blocks, edges=edges)
     return scanned.select(*g, "time", "n_at_risk", "d", (F.col("n_total") - F.col("d")).alias("c"),
                           "n_total")
 
@@ -85,9 +91,12 @@ def km_curve(cohort: DataFrame, group_cols=None, *, time_col: str = "duration",
     Columns: groups, time, n_at_risk, d, c, survival, var_greenwood, lower, upper, cum_hazard.
     """
     g = _groups(group_cols)
+    edges = None
+    if table is None:
+        edges = time_edges(cohort, time_col, n_blocks)
     rt = table if table is not None else risk_table(
         cohort, g, time_col=time_col, event_col=event_col, small_groups=small_groups,
-        n_blocks=n_blocks)
+        n_blocks=n_blocks, edges=edges)
     d, n = F.col("d").cast("double"), F.col("n_at_risk").cast("double")
     alive = F.col("d") < F.col("n_at_risk")
     sums = {
@@ -96,7 +105,7 @@ def km_curve(cohort: DataFrame, group_cols=None, *, time_col: str = "duration",
         "var_greenwood": F.when(alive, d / (n * (n - d))).otherwise(F.lit(0.0)),
         "cum_hazard": na_increment(F.col("d"), F.col("n_at_risk"), na_smoothing),
     }
-    sc = prefix_scan(rt, g, "time", sums, small_keys=small_groups, n_blocks=n_blocks)
+    sc = prefix_scan(rt, g, "time", sums, small_keys=small_groups, n_blocks=n_blocks, edges=edges)
     s = F.when(F.col("_zero") > 0, F.lit(0.0)).otherwise(F.exp(F.col("_logs")))
     sc = sc.withColumn("survival", s)
     return sc.select(*g, "time", "n_at_risk", "d", "c", "survival", "var_greenwood",
