@@ -95,3 +95,25 @@ def fit_boosted_cox(df: DataFrame, features: Sequence[str], *, n_estimators: int
         if (r + 1) % checkpoint_every == 0 or r + 1 == n_estimators:
             cur = cut_lineage(cur)
     return model
+
+
+def tune_and_fit(train: DataFrame, val: DataFrame, features: Sequence[str], grid: Sequence[dict], *,
+                 refit_on: str = "train", **fixed) -> tuple[BoostedCox, dict, list]:
+    """GB-3: fit each combination on train, keep the best validation C-index (first wins ties,
+    failing combinations skipped), then refit on train (default) or train+val."""
+    from hazardflow.operators.concordance import concordance
+
+    results, best, best_c = [], None, -1.0
+    for params in grid:
+        try:
+            m = fit_boosted_cox(train, features, **{**fixed, **params})
+            c = concordance(m.score(val, "risk"), risk_col="risk")["c_index"]
+        except Exception:  # noqa: BLE001 - a failing combination is skipped
+            continue
+        results.append((params, c))
+        if c > best_c:
+            best, best_c = params, c
+    if best is None:
+        raise ValueError("no parameter combination could be fitted")
+    data = train if refit_on == "train" else train.unionByName(val)
+    return fit_boosted_cox(data, features, **{**fixed, **best}), best, results

@@ -53,3 +53,17 @@ def test_align_adds_missing(spark):
     df = spark.createDataFrame([(1, 2.0)], "subject_id long, a double")
     out = prep.align_features(df, ["b", "a"], keep=["subject_id"])
     assert out.columns == ["subject_id", "b", "a"] and out.collect()[0]["b"] == 0.0
+
+
+def test_status_and_coded_normalisers(spark):
+    from hazardflow.sources.clinical import normalise_coded_cohort, normalise_status_cohort
+
+    raw = spark.createDataFrame([(5.0, 2, 1, 60.0, None), (7.0, 1, 1, 70.0, 1.0), (9.0, 2, 2, None, 3.0)],
+                                "time double, status int, inst int, age double, `ph.ecog` double")
+    out = normalise_status_cohort(raw).toPandas()
+    assert list(out["event"]) == [1, 0, 1] and "ph_ecog" in out and "inst" not in out
+    assert out["age"].tolist()[2] == 65.0 and out["ph_ecog"].tolist()[0] == 2.0
+    coded = spark.createDataFrame([(1.0, 1, "yes", "Post", "III"), (2.0, 0, "no", "Pre", "x")],
+                                  "time double, cens int, horTh string, menostat string, tgrade string")
+    rows = normalise_coded_cohort(coded).collect()
+    assert [(r.horTh, r.menostat, r.tgrade) for r in rows] == [(1, 1, 3), (0, 0, 2)]
