@@ -19,7 +19,9 @@ GAP_END = "2024-01-31 00:00:00"
 
 
 def _micros_ntz(col: Column) -> Column:
-    return F.unix_micros(col.cast("timestamp"))
+    """Wall-clock microseconds since 1970 of a TIMESTAMP_NTZ, independent of the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, col.cast("timestamp_ntz"))
 
 
 def time_to_event(start: Column, event_at: Column, censor_at: Column, *, unit_days: bool = True,

@@ -36,7 +36,9 @@ def _admit(ts: list[float], state: deque, window: float, limit: int) -> list[boo
 def admit_batch(df: DataFrame, *, key_col: str = "user_id", ts_col: str = "ts", id_col: str = "event_id",
                 window: float = 60.0, limit: int = 60) -> DataFrame:
     """Adds ``admitted boolean``; order within a key is (ts, id)."""
-    secs = (F.unix_micros(F.col(ts_col).cast("timestamp")).cast("double") / 1e6)
+    from hazardflow.sources.cohorts import _micros_ntz
+
+    secs = _micros_ntz(F.col(ts_col)).cast("double") / 1e6
     base = df.withColumn("_s", secs).withColumn("_neg", -F.col("_s")).withColumn("_nid", -F.col(id_col))
     prev = bucketed_lead(base, [key_col], "_neg", "_nid", {"_prev": "_s"})
     start = (F.col("_prev").isNull() | (F.col("_s") - F.col("_prev") > window)).cast("long")
