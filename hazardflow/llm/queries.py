@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import url_filter
+from . import license_scan, url_filter
 
 QUERIES = {
+    "op6_license_scan": license_scan.op6_license_scan,
     "op3_url_filter": url_filter.op3_url_filter,
 }
 SQL = {
+    "op6_license_scan": license_scan.SQL,
     "op3_url_filter": url_filter.SQL,
 }
