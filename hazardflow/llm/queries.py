@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import license_scan, url_filter
+from . import license_scan, line_dedup, url_filter
 
 QUERIES = {
-    "op6_license_scan": license_scan.op6_license_scan,
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_url_filter": url_filter.op3_url_filter,
+    "op6_license_scan": license_scan.op6_license_scan,
 }
 SQL = {
-    "op6_license_scan": license_scan.SQL,
+    "op1_line_dedup": line_dedup.SQL,
     "op3_url_filter": url_filter.SQL,
+    "op6_license_scan": license_scan.SQL,
 }
