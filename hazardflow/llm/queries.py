@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import license_scan, line_dedup, mixing, url_filter
+from . import decontaminate, license_scan, line_dedup, mixing, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_url_filter": url_filter.op3_url_filter,
     "op6_license_scan": license_scan.op6_license_scan,
     "op9_source_mixing": mixing.op9_source_mixing,
+    "op10_decontamination": decontaminate.op10_decontamination,
 }
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op3_url_filter": url_filter.SQL,
     "op6_license_scan": license_scan.SQL,
     "op9_source_mixing": mixing.SQL,
+    "op10_decontamination": decontaminate.SQL,
 }
