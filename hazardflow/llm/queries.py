@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, url_filter
+from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, quality, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_url_filter": url_filter.op3_url_filter,
+    "op4_quality_classifier": quality.op4_quality_classifier,
     "op6_license_scan": license_scan.op6_license_scan,
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_decontamination": decontaminate.op10_decontamination,
