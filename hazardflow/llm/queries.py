@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, quality, url_filter
+from . import decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op6_license_scan": license_scan.op6_license_scan,
+    "op7_html_extraction": html_extract.op7_html_extraction,
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
