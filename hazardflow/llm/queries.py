@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, url_filter
+from . import decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, url_filter, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_quality_classifier": quality.op4_quality_classifier,
+    "op5_warc": warc.op5_warc,
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_html_extraction": html_extract.op7_html_extraction,
     "op9_source_mixing": mixing.op9_source_mixing,
@@ -17,6 +18,7 @@ QUERIES = {
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op3_url_filter": url_filter.SQL,
+    "op5_warc": warc.SQL,
     "op6_license_scan": license_scan.SQL,
     "op9_source_mixing": mixing.SQL,
     "op10_decontamination": decontaminate.SQL,
