@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, url_filter, warc
+from . import ann, decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, url_filter, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_warc": warc.op5_warc,
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_html_extraction": html_extract.op7_html_extraction,
+    "op8_nearest_neighbours": ann.op8_nearest_neighbours,
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
