@@ -16,8 +16,10 @@ the connected components of the links.
   probability (1 - 0.8^5)^30 < 7e-6.
 * Verification: in every bucket the member that shares the largest buckets (usually the text the others
   were copied from) is compared with all the others, so a group costs one comparison a member, not all
-  pairs. Where members of a bucket are still in different components afterwards, pairs across
-  components whose signatures agree well enough are compared too, so no link between classes is lost.
+  pairs. Where members of a bucket are in different components afterwards, pairs across components are
+  compared too, so no link between classes is lost: in small buckets those pairs whose signatures agree
+  well enough, in large ones all members outside the largest component with all members, in chunks of
+  texts whose overlaps are one matrix product and that pass on only links which join components.
 
 Defined results: null and wordless texts are equal (one class); texts of one to four words are one
 shingle; repeated rows are copies of each other; null ids sort first; an empty table has no classes.
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +45,8 @@ BANDS, ROWS = 30, 5
 M = BANDS * ROWS
 #: A pair at the threshold has fewer equal signature components than this share with probability < 1e-6.
 AGREEMENT = 0.62
+#: Buckets of up to SMALL members are compared pair by pair, larger ones in chunks of texts.
+SMALL, CHUNK = 64, 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ELEMENT_BITS = np.uint64(44)
 
@@ -191,10 +196,87 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return cut_lineage(rows.mapInArrow(_verify(threshold), "u long, v long"))
 
 
-def _agreement(a, b):
-    """Equal bytes of two signatures, as a share."""
-    same = F.expr(f"size(filter(sequence(1, {M}), i -> substr(sa, i, 1) = substr(sb, i, 1)))")
-    return same / F.lit(float(M))
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (u, v, sa, sb) whose signatures agree in a share of ``AGREEMENT`` components or more."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, M) for c in batch.columns[2:])
+        yield batch.select([0, 1]).filter(pa.array((a == b).mean(axis=1) >= AGREEMENT))
+
+
+def _tokens(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, token): one token per shingle and occurrence, so that shared tokens count a multiset overlap."""
+    doc, h = shingle_hashes(Words(texts), n)
+    order = np.lexsort((h, doc))
+    doc, h = doc[order], h[order]
+    fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]) if len(h) else np.zeros(0, bool)
+    at = np.arange(len(h))
+    occurrence = at - np.maximum.accumulate(np.where(fresh, at, 0)) if len(h) else at
+    return doc, mix(h + occurrence.astype(np.uint64) * _STEP)
+
+
+def overlap_matrix(a: pa.Array, b: pa.Array, n: int = SHINGLE, tile: int = 8192) -> np.ndarray:
+    """Weighted Jaccard similarity of every text of ``a`` with every text of ``b``, by products of 0/1 matrices."""
+    (da, ta), (db, tb) = _tokens(a, n), _tokens(b, n)
+    size_a, size_b = np.bincount(da, minlength=len(a)), np.bincount(db, minlength=len(b))
+    shared = np.intersect1d(ta, tb)
+    common = np.zeros((len(a), len(b)), np.float32)
+    for begin in range(0, len(shared), tile):
+        part = shared[begin: begin + tile]
+
+        def marks(doc, token, rows):
+            at = np.minimum(np.searchsorted(part, token), len(part) - 1)
+            hit = part[at] == token
+            out = np.zeros((rows, len(part)), np.float32)
+            out[doc[hit], at[hit]] = 1.0
+            return out
+
+        common += marks(da, ta, len(a)) @ marks(db, tb, len(b)).T
+    union = size_a[:, None] + size_b[None, :] - common
+    return np.where(union > 0, common / np.maximum(union, 1), 1.0)
+
+
+def _link_chunks(threshold: float):
+    def run(group: pa.Table) -> pa.Table:
+        a, b = group.filter(group.column("rest")), group.filter(pc.invert(group.column("rest")))
+        (ua, la), (ub, lb) = ((t.column("node").to_numpy(), t.column("label").to_numpy()) for t in (a, b))
+        out: list[tuple[int, int]] = []
+        if len(ua) and len(ub):
+            alike = overlap_matrix(a.column("_text").combine_chunks(), b.column("_text").combine_chunks()) >= threshold
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while parent.setdefault(x, x) != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for i, j in zip(*(x.tolist() for x in np.nonzero(alike & (la[:, None] != lb[None, :])))):
+                p, q = root(int(la[i])), root(int(lb[j]))
+                if p != q:  # only links that join components that aren't joined yet
+                    parent[p] = q
+                    out.append((int(ua[i]), int(ub[j])))
+        return pa.table({"u": pa.array([x[0] for x in out], pa.int64()), "v": pa.array([x[1] for x in out], pa.int64())})
+    return run
+
+
+def links_in_large(large: DataFrame, texts: DataFrame, threshold: float, chunk: int) -> DataFrame:
+    """Links (u, v) between components in buckets ``large`` (bkey, node, label), enough to join all that are linked.
+
+    Members outside a bucket's most frequent component are compared with all members, chunk by chunk: a group
+    of ``chunk`` x ``chunk`` texts is one matrix product, and its result at most as many links as members.
+    """
+    by_label = large.groupBy("bkey", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = by_label.groupBy("bkey").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
+    sizes = sizes.select("bkey", F.col("top.label").alias("top"), F.ceil(F.col("size") / chunk).cast("int").alias("nb"),
+                         F.ceil((F.col("size") - F.col("top.n")) / chunk).cast("int").alias("na"))
+    rows = large.join(sizes, "bkey")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    rest = rows.where("label <> top").select("bkey", "node", "label", F.lit(True).alias("rest"),
+                                             F.pmod(F.xxhash64("node"), F.col("na")).cast("int").alias("ca"), every("nb").alias("cb"))
+    all_ = rows.select("bkey", "node", "label", F.lit(False).alias("rest"), every("na").alias("ca"),
+                       F.pmod(F.xxhash64("node", F.lit("b")), F.col("nb")).cast("int").alias("cb"))
+    dealt = rest.unionByName(all_).join(texts, "node")
+    return dealt.groupBy("bkey", "ca", "cb").applyInArrow(_link_chunks(threshold), "u long, v long")
 
 
 def near_duplicate_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
@@ -225,14 +307,23 @@ def near_duplicate_classes(docs: DataFrame, *, key: str = "doc_id", text: str =
     labelled = members.select("bkey", "node").join(labels, "node", "left").select(
         "bkey", "node", F.coalesce("label", "node").alias("label"))
     open_keys = labelled.groupBy("bkey").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bkey")
-    left = cut_lineage(labelled.join(open_keys, "bkey").join(nodes.select("node", "sig"), "node"))
-    a = left.select("bkey", F.col("node").alias("u"), F.col("label").alias("la"), F.col("sig").alias("sa"))
-    b = left.select("bkey", F.col("node").alias("v"), F.col("label").alias("lb"), F.col("sig").alias("sb"))
-    across = a.join(b, (a["bkey"] == b["bkey"]) & (F.col("la") < F.col("lb")) & (_agreement("sa", "sb") >= AGREEMENT))
-    rest = across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    rest = cut_lineage(rest.join(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti"))
-    if not rest.isEmpty():
-        links = links.unionByName(verified(rest, texts_of(members_of(rest)), threshold))
+    open_rows = labelled.join(open_keys, "bkey")
+    left = cut_lineage(open_rows.join(open_rows.groupBy("bkey").agg(F.count(F.lit(1)).alias("size")), "bkey"))
+    small = left.where(F.col("size") <= SMALL)
+    a = small.select("bkey", F.col("node").alias("u"), F.col("label").alias("la"))
+    b = small.select("bkey", F.col("node").alias("v"), F.col("label").alias("lb"))
+    across = a.join(b, "bkey").where("la < lb").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    across = across.join(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
+    signed = lambda name, c: nodes.select(F.col("node").alias(name), F.col("sig").alias(c))
+    rest = cut_lineage(across.join(signed("u", "sa"), "u").join(signed("v", "sb"), "v").select(
+        "u", "v", "sa", "sb").mapInArrow(_agreeing, "u long, v long"))
+    large = left.where(F.col("size") > SMALL)
+    more = verified(rest, texts_of(members_of(rest)), threshold)
+    if not large.isEmpty():
+        more = cut_lineage(more.unionByName(links_in_large(
+            large.select("bkey", "node", "label"), texts_of(large.select("node")), threshold, CHUNK)))
+    if not more.isEmpty():
+        links = links.unionByName(more)
         labels = components(links)
     placed = nodes.select("node", "who").join(labels, "node", "left").select(
         "node", "who", F.coalesce("label", "node").alias("label"))
