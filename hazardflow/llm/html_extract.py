@@ -208,7 +208,9 @@ def learn_weights(pages: DataFrame, *, content: str = "html", training_pages: in
     page = F.col(content)
     marks = F.size(F.split(F.lower(page), r"<(article|main)\b")) - 1
     labelled = pages.where(page.isNotNull() & (marks == 1)).select(page.alias("html"), F.xxhash64(page).alias("_o"))
-    sample = labelled.orderBy("_o").limit(training_pages).repartition(8, "_o").select("html")
+    # the hashes alone are sorted; pages at or below the last one of the sample are read again where they lie
+    last = labelled.select("_o").orderBy("_o").limit(training_pages).agg(F.max("_o")).first()[0]
+    sample = labelled.where(F.col("_o") <= F.lit(last)).select("html")
     counts = sample.mapInArrow(_count_batches, "feature string, n_in long, n_out long").groupBy("feature").agg(
         F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")).collect()  # a row a feature, a fixed set
     return fitted_weights({r["feature"]: r["n_in"] for r in counts}, {r["feature"]: r["n_out"] for r in counts})
