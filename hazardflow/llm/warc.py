@@ -42,7 +42,7 @@ LINES = 3000
 SHARD_LINES = 300_000
 MAX_SHARDS = 65_536
 ARCHIVE_BYTES = 512 << 20
-READ_SPAN = 64 << 20  # bytes of an archive that one read task takes
+READ_SPAN = 16 << 20  # bytes of an archive that one read task takes
 #: Record fields of the format. The tables have no capture time, so the date is a constant.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -235,8 +235,11 @@ def look_up(keys: DataFrame, index: DataFrame) -> DataFrame:
         _search_shard, "key string, archive string, offset long, length long")
 
 
-def read_ranges(ranges: DataFrame, folder: str, *, id_type: str = "bigint", with_payload: bool = False) -> DataFrame:
-    """Records at (archive, offset, length): page_id, payload_bytes, payload_digest, record_type, refers_to (and payload)."""
+def read_ranges(ranges: DataFrame, folder: str, *, parts: int = 1, id_type: str = "bigint", with_payload: bool = False) -> DataFrame:
+    """Records at (archive, offset, length): page_id, payload_bytes, payload_digest, record_type, refers_to (and payload).
+
+    ``parts`` read tasks, each of whole spans of archives in the order of their offsets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, where = open_fs(folder)
@@ -258,7 +261,7 @@ def read_ranges(ranges: DataFrame, folder: str, *, id_type: str = "bigint", with
             stream.close()
 
     span = F.floor(F.col("offset") / F.lit(READ_SPAN))
-    dealt = ranges.select("archive", "offset", "length").repartition("archive", span).sortWithinPartitions("archive", "offset")
+    dealt = ranges.select("archive", "offset", "length").repartition(parts, "archive", span).sortWithinPartitions("archive", "offset")
     schema = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
     read = dealt.mapInArrow(run, schema + (", payload binary" if with_payload else ""))
     return read.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
@@ -271,7 +274,8 @@ def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = No
     captures = write_archives(pages, folder, key=key, url=url, content=content, min_revisit=min_revisit)
     index = build_index(captures)
     keys = pages.select(capture_key(F.col(url), F.col(key)).alias("key"))
-    return read_ranges(look_up(keys, index), folder, id_type=pages.schema[key].dataType.simpleString(), with_payload=with_payload)
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    return read_ranges(look_up(keys, index), folder, parts=max(1, -(-size // READ_SPAN)), id_type=pages.schema[key].dataType.simpleString(), with_payload=with_payload)
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:
