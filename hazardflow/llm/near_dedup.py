@@ -47,6 +47,8 @@ M = BANDS * ROWS
 AGREEMENT = 0.62
 #: Buckets of up to SMALL members are compared pair by pair, larger ones in chunks of texts.
 SMALL, CHUNK = 64, 512
+#: Nodes whose texts are looked up by a broadcast of keys (16 bytes each); beyond, by a shuffle of the texts.
+BROADCAST_KEYS = 2_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ELEMENT_BITS = np.uint64(44)
 
@@ -297,7 +299,8 @@ def near_duplicate_classes(docs: DataFrame, *, key: str = "doc_id", text: str =
     packed = docs.select(F.xxhash64(F.col(key), F.xxhash64(text_of(F.col(text)))).alias("k"), text_of(F.col(text)).alias("_text"))
 
     def texts_of(wanted: DataFrame) -> DataFrame:
-        asked = nodes.join(wanted.distinct(), "node").select("node", F.xxhash64("who._id", "who._h").alias("k"))
+        asked = cut_lineage(nodes.join(wanted.distinct(), "node").select("node", F.xxhash64("who._id", "who._h").alias("k")))
+        asked = F.broadcast(asked) if asked.count() <= BROADCAST_KEYS else asked
         found = asked.join(packed, "k").groupBy("node").agg(F.any_value("_text").alias("_text"))
         return cut_lineage(found)
 
