@@ -1,0 +1,272 @@
+"""Operators beyond SQL, against brute force, hand-worked cases and held-out accuracy."""
+
+import collections
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import EDGES, docs, words
+from pyspark.sql import functions as F
+
+from hazardflow.llm import ann, batches, html_extract, near_dedup, quality
+from hazardflow.llm.components import components
+
+# ---------------------------------------------------------------- words and signatures
+
+
+def test_words_equal_the_regular_expression():
+    rng = random.Random(1)
+    texts = ["", "a", " ", "É é.Z", *("".join(rng.choice("aZ 9é.\n漢🙂-_") for _ in range(rng.randrange(40))) for _ in range(300))]
+    w = batches.Words(pa.array(texts))
+    seen = {}
+    for d, t in enumerate(texts):
+        want = words(t)
+        assert w.counts[d] == len(want)
+        for i, x in enumerate(want):
+            at = w.first[d] + i
+            assert w.text_at(at, 1).decode() == x
+            assert seen.setdefault(x, w.hashes[at]) == w.hashes[at]
+    assert len(set(seen.values())) == len(seen)
+
+
+def bag(text, n=5):
+    w = words(text)
+    return collections.Counter(tuple(w[i: i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else collections.Counter([tuple(w)] if w else [])
+
+
+def jaccard(a, b):
+    a, b = bag(a), bag(b)
+    union = sum((a | b).values())
+    return sum((a & b).values()) / union if union else 1.0
+
+
+def test_signatures_are_unbiased_for_weighted_jaccard():
+    rng = np.random.default_rng(0)
+    z = []
+    for t in range(30):
+        a = [f"w{i}" for i in rng.integers(0, 2000, 250)]
+        b = list(a)
+        for i in rng.choice(250, rng.integers(1, 25), replace=False):
+            b[i] = f"x{rng.integers(2000)}"
+        if t % 2:
+            a, b = a[:30] * 9, b[:30] * 5
+        a, b = " ".join(a), " ".join(b)
+        w = batches.Words(pa.array([a, b]))
+        s = near_dedup.bag_minhash(*near_dedup._bags(w, 5), 2)
+        true = jaccard(a, b)
+        assert near_dedup.bag_similarity(pa.array([a]), pa.array([b]))[0] == pytest.approx(true)
+        assert near_dedup.overlap_matrix(pa.array([a, b]), pa.array([b, "", a]))[0, 0] == pytest.approx(true, abs=1e-6)
+        z.append(((s[0] == s[1]).mean() - true) / (math.sqrt(true * (1 - true) / near_dedup.M) + 1e-9))
+    assert abs(np.mean(z)) < 0.6 and np.std(z) < 1.7
+
+
+def brute_classes(rows):
+    keys = [(r[0], r[1] or "") for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if find(i) != find(j) and jaccard(rows[i][1], rows[j][1]) >= 0.8:
+                parent[find(i)] = find(j)
+    groups = collections.defaultdict(list)
+    for i in range(len(rows)):
+        groups[find(i)].append(i)
+    least = {}
+    for members in groups.values():
+        ids = [keys[i][0] for i in members]
+        for i in members:
+            least[i] = None if None in ids else min(ids)
+    return collections.Counter((keys[i][0], least[i]) for i in range(len(rows)))
+
+
+def test_near_classes_equal_brute_force_with_a_dense_group(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 8)  # so that the large group is compared in chunks
+    monkeypatch.setattr(near_dedup, "CHUNK", 16)
+    rng = random.Random(2)
+    base = [f"b{i}" for i in range(60)]
+    rows = [r[:2] for r in EDGES if r[0] != 7]
+    for i in range(120):  # copies of one text, many just below the threshold to each other
+        t = list(base)
+        for k in rng.sample(range(60), rng.choice([0, 1, 1, 2, 3])):
+            t[k] = f"n{rng.randrange(9999)}"
+        rows.append((1000 + i, " ".join(t)))
+    for i in range(60):
+        rows.append((2000 + i, " ".join(f"q{rng.randrange(9999)}" for _ in range(40)) + " " + " ".join(base[:20])))
+    got = near_dedup.near_duplicate_classes(docs(spark, rows)).collect()
+    assert collections.Counter((r._id, r.class_id) for r in got) == brute_classes(rows)
+
+
+def test_near_duplicates_keep_one_row_of_each_class(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(5, text), (3, text.replace("w50", "x")), (3, text.replace("w50", "x")), (9, "else " + text[:40]), (None, ""), (4, None)]
+    df = docs(spark, rows)
+    kept = near_dedup.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 3), (False, 9), (True, None)]
+    assert near_dedup.drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 201), (201, 200)]
+    got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "u long, v long")).collect())
+    assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 201: 200}
+
+
+# ---------------------------------------------------------------- quality classifier
+
+
+def brute_perplexities(texts, folds, trusted, order):
+    """Interpolated modified Kneser-Ney by dictionaries; discounts pooled over the two models."""
+    grams = {}
+    for f in (0, 1):
+        top = collections.Counter()
+        for t, g, ok in zip(texts, folds, trusted):
+            if ok and g == f:
+                b = b"\0" * (order - 1) + t.encode()
+                top.update(b[i: i + order] for i in range(len(b) - order + 1))
+        level = {order: top}
+        for k in range(order - 1, 0, -1):
+            level[k] = collections.Counter(g[1:] for g in level[k + 1])
+        grams[f] = level
+    discount = {}
+    for k in range(1, order + 1):
+        counts = collections.Counter(n for f in (0, 1) for n in grams[f][k].values())
+        discount[k] = quality.discounts(counts)
+    context = {f: {k: collections.defaultdict(lambda: [0, 0.0]) for k in range(1, order + 1)} for f in (0, 1)}
+    for f in (0, 1):
+        for k in range(1, order + 1):
+            for g, n in grams[f][k].items():
+                c = context[f][k][g[:-1]]
+                c[0] += n
+                c[1] += discount[k][min(n, 3) - 1]
+    out = []
+    for t, g in zip(texts, folds):
+        f, b, logs = 1 - g, b"\0" * (order - 1) + t.encode(), []
+        for i in range(order - 1, len(b)):
+            p = 1 / 256
+            for k in range(1, order + 1):
+                gram = b[i - k + 1: i + 1]
+                n, c = grams[f][k].get(gram, 0), context[f][k].get(gram[:-1])
+                if c:
+                    p = (max(0.0, n - discount[k][min(n, 3) - 1]) if n else 0.0) / c[0] + c[1] / c[0] * p
+            logs.append(math.log(p))
+        out.append(math.exp(-sum(logs) / len(logs)) if logs else None)
+    return out
+
+
+def test_perplexities_equal_brute_force(spark):
+    rng = random.Random(4)
+    rows = [r for r in EDGES if r[0] not in (7,)] + [(100 + i, " ".join(rng.choice(["der", "die", "und", "haus", "ÄÖ"]) for _ in range(rng.randrange(30)))) for i in range(60)]
+    df = docs(spark, [(r[0], r[1], "de" if i % 3 else None, "s") for i, r in enumerate(rows)])
+    labels = spark.createDataFrame([(100 + i, int(i % 5 > 0), int(i % 7 == 0), "x") for i in range(40)] + [(None, 1, 0, "x"), (101, 0, 0, "x"), (5, 1, None, "x")],
+                                   "doc_id long, quality int, toxic int, text string")
+    ok = {r["_trusted"] for r in quality.trusted_ids(labels).collect()}
+    assert 101 not in ok and 5 in ok and None not in ok
+    folds = [r.f for r in spark.createDataFrame([(i, r[1] or "") for i, r in enumerate(rows)], "i int, t string").select(
+        "i", quality.fold_of(F.xxhash64("t")).alias("f")).orderBy("i").collect()]
+    want = brute_perplexities([r[1] or "" for r in rows], folds, [r[0] in ok for r in rows], 3)
+    got = quality.judge_quality(df, labels, order=3, block_bytes=256).collect()
+    by = collections.defaultdict(list)
+    for r, p in zip(rows, want):
+        by[r[0]].append(p)
+    assert len(got) == len(rows)
+    for r in got:
+        assert any(r.perplexity is p or (p and r.perplexity == pytest.approx(p, rel=1e-9)) for p in by[r._id])
+        assert r.keep == (r.perplexity is not None and r.perplexity <= r.threshold)
+
+
+def test_classifier_drops_noise_and_keeps_clean_text(spark):
+    rng = random.Random(6)
+    vocabulary = ["the", "house", "stands", "near", "a", "river", "and", "green", "fields"]
+    clean = [(i, " ".join(rng.choice(vocabulary) for _ in range(80))) for i in range(300)]
+    noise = [(1000 + i, " ".join(rng.choice(vocabulary).upper() + "!!%" for _ in range(80))) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    df = docs(spark, clean + noise + [(5000, None), (5001, "")])
+    kept = quality.drop_poor(df, labels)
+    ids = {r.doc_id for r in kept.collect()}
+    assert kept.columns == df.columns
+    assert not ids & {n[0] for n in noise} and not ids & {5000, 5001}
+    assert len(ids) >= 290
+    assert quality.drop_poor(df, labels.limit(0)).count() == len(clean) + len(noise)  # nothing trusted: no threshold
+    assert quality.drop_poor(df.limit(0), labels).count() == 0
+
+
+# ---------------------------------------------------------------- html
+
+
+P = " ".join(f"word{i}" for i in range(40))
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (None, ""), ("", ""), ("<!-- open <p>x", ""), ("plain &amp; text", "plain & text"),
+    (f"<head><title>T</title></head><body><nav><a>m</a></nav><article><h1>H&eacute;</h1><p>{P}<p>a&nbsp;b<br>c<em>d</em></article><footer>f</footer>",
+     f"Hé\n{P}\na b cd"),
+    (f"<body><div class='side-bar ads'>buy {P}</div><div class=post><p>{P}</p><aside>{P}</aside><p>end {P}</p></div><div id=comments><p>{P}</p></div>",
+     f"{P}\nend {P}"),
+    (f"<article><p>{P}</p><form><label>{P} {P}</label></form><script>var a='<p>no</p>'</script><p>last one</p><section class=comments>{P}</section></article>",
+     f"{P}\nlast one"),
+    (f"<ul><li><a href=x>Home</a><li><a>News</a></ul><main><ul><li>one {P}<li>two</ul></main>", f"one {P}\ntwo"),
+    (f"<article><div hidden>{P}</div><p>{P}<b>unclosed<p>next</article>", f"{P}unclosed\nnext"),
+])
+def test_main_text_of_hand_made_pages(page, text):
+    weights = html_extract.fitted_weights({"word plain in": 900, "word plain none": 900, "tag p in": 50, "tag p none": 50},
+                                          {"word never out": 300, "word never none": 300, "tag li out": 40, "tag li none": 10})
+    assert html_extract.main_text(page or "", weights) == text
+
+
+def test_best_run_is_the_maximum():
+    rng = random.Random(8)
+    for _ in range(300):
+        x = [rng.randrange(-5, 6) for _ in range(rng.randrange(0, 15))]
+        b, e = html_extract.best_run(x)
+        best = max([0] + [sum(x[i:j]) for i in range(len(x)) for j in range(i + 1, len(x) + 1)])
+        assert sum(x[b:e]) == best
+
+
+def test_extraction_of_a_table(spark):
+    rows = [(1, "u", f"<article><p>{P}</p></article><div class=x>{P}</div>", "t", 5), (1, "u", None, "t", 5), (None, None, "", "t", 5),
+            (2, "v", "<article><p>" + "long " * 200_000 + "</p></article>", "t", 5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = {(r.page_id, len(r.text)): r.n_chars for r in html_extract.extract_text(df).collect()}
+    assert got == {(1, len(P)): len(P), (1, 0): 0, (None, 0): 0, (2, 999_999): 999_999}
+    assert html_extract.extract_text(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- nearest neighbours
+
+
+def test_nearest_neighbours_recall_ties_and_unusable_vectors(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((900, 12)) * rng.uniform(0.5, 2.0, (900, 1))
+    rows = [(i, [float(v) for v in x[i]], "g") for i in range(900)]
+    rows += [(1000 + i, [float(v) for v in x[20]], "g") for i in range(60)]  # many copies of one vector
+    bad = [(2000, None, "g"), (2001, [0.0] * 12, "g"), (2002, [float("nan")] + [1.0] * 11, "g"), (2003, [None] + [1.0] * 11, "g"),
+           (2004, [1.0], "g"), (2005, [float("inf")] * 12, "g"), (None, [1.0] * 12, "g")]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>, node string")
+    got = collections.defaultdict(list)
+    for r in ann.nearest(df, F.col("id") % 20 == 0).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    ids, every = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    queries = [i for i in ids if i % 20 == 0]
+    assert sorted(got) == sorted(queries)
+    shares = []
+    for q in queries:
+        score = every @ every[list(ids).index(q)]
+        order = [j for j in np.lexsort((ids, -np.round(score, 9))) if ids[j] != q][:20]
+        found = sorted(got[q])
+        assert [f[0] for f in found] == list(range(1, 21))
+        shares.append(len({ids[j] for j in order} & {f[1] for f in found}) / 20)
+    assert np.mean(shares) >= 0.97
+
+
+def test_nearest_neighbours_of_few_vectors(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in ann.nearest(df, F.col("id") % 20 == 0).collect()]
+    assert sorted(got) == [(0, 1, 2, 1.0), (0, 2, 1, 0.0)]
+    assert ann.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
