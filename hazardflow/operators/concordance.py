@@ -133,8 +133,8 @@ def _grid_counts(cells: list, ) -> tuple[float, float]:
 def concordance(df: DataFrame, *, time_col: str = "duration", event_col: str = "event",
                 risk_col: str = "risk", n_blocks: int | None = None) -> dict:
     """Harrell's C: ``{c_index, concordant, tied_risk, comparable}`` (exact equality for ties)."""
-    base = df.where(F.col(time_col).isNotNull() & F.col(event_col).isNotNull()
-                    & F.col(risk_col).isNotNull()).select(
+    t, r = F.col(time_col).cast("double"), F.col(risk_col).cast("double")
+    base = df.where(t.isNotNull() & F.col(event_col).isNotNull() & r.isNotNull() & ~F.isnan(t) & ~F.isnan(r)).select(
         F.col(time_col).cast("double").alias("t"),
         (F.col(event_col) > 0).cast("int").alias("e"),
         F.col(risk_col).cast("double").alias("r"))
@@ -178,7 +178,8 @@ def comparable_pairs(rows: DataFrame) -> float:
     per = rows.groupBy("t").agg(F.sum("cnt").alias("n"),
                                 F.sum(F.col("cnt") * F.col("e")).alias("d"))
     sc = prefix_scan(per, [], "t", {"ge": "n"}, descending=True)
-    return float(sc.agg(F.sum(F.col("d") * (F.col("ge") - F.col("n") + (F.col("n") - F.col("d")))))
+    d, later = F.col("d").cast("decimal(19,0)"), (F.col("ge") - F.col("d")).cast("decimal(19,0)")
+    return float(sc.agg(F.sum((d * later).cast("decimal(38,0)")))
                  .collect()[0][0] or 0.0)
 
 

@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardflow.functions.stats import Z95, norm_sf2, norm_sf2_col
+from hazardflow.functions.stats import Z95, norm_sf2
 from hazardflow.operators.scan import prefix_scan, value_edges
 
 
@@ -65,6 +65,10 @@ class CoxModel:
         return expr
 
 
+#: Terms of one time's tie correction that one row sums up.
+TIE_CHUNK = 65_536
+
+
 # ---------------------------------------------------------------- one Newton pass
 
 def efron_pass(data: DataFrame, p: int, beta: np.ndarray, *, edges: Sequence[float],
@@ -77,7 +81,7 @@ def efron_pass(data: DataFrame, p: int, beta: np.ndarray, *, edges: Sequence[flo
     eta = F.lit(0.0)
     for j in range(p):
         eta = eta + zs[j] * F.lit(float(beta[j]))
-    ev = F.col("event").cast("double")
+    ev = (F.col("event") > 0).cast("double")
     prs = _pairs(p)
     base = data.select("time", ev.alias("ev"), *zs, eta.alias("eta")).withColumn(
         "w", F.exp(F.col("eta") - F.lit(shift)))
@@ -94,15 +98,18 @@ def efron_pass(data: DataFrame, p: int, beta: np.ndarray, *, edges: Sequence[flo
     risk = {"r0": "a0", **{f"r1_{j}": f"a1_{j}" for j in range(p)},
             **{f"r2_{j}_{k}": f"a2_{j}_{k}" for j, k in prs}}
     sc = prefix_scan(per_time, [], "time", risk, descending=True, edges=edges)
-    sc = sc.withColumn("efr", efron_terms(F.col("d"), F.col("r0"), F.col("b0"), ties))
+    # one row per chunk of a time's tie terms, so that no task loops over all deaths of one time
+    parts = F.greatest(F.ceil(F.col("d") / F.lit(float(TIE_CHUNK))).cast("long"), F.lit(1).cast("long"))
+    sc = sc.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    sc = sc.withColumn("efr", efron_terms(F.col("d"), F.col("r0"), F.col("b0"), ties, F.col("chunk")))
     L, A0, A1 = F.col("efr.L"), F.col("efr.A0"), F.col("efr.A1")
     B0, B1, B2 = F.col("efr.B0"), F.col("efr.B1"), F.col("efr.B2")
-    has = F.col("d") > 0
-    out = [F.sum(F.when(has, F.col("ee") - L - F.col("d") * F.lit(shift))).alias("ll"),
-           F.max("meta").alias("meta"), F.sum("d").alias("n_events")]
+    has, first_part = F.col("d") > 0, (F.col("chunk") == 0).cast("double")
+    out = [F.sum(F.when(has, (F.col("ee") - F.col("d") * F.lit(shift)) * first_part - L)).alias("ll"),
+           F.max("meta").alias("meta"), F.sum(F.col("d") * first_part).alias("n_events")]
     for j in range(p):
         r1, b1 = F.col(f"r1_{j}"), F.col(f"b1_{j}")
-        out.append(F.sum(F.when(has, F.col(f"e1_{j}") - (r1 * A0 - b1 * A1))).alias(f"g_{j}"))
+        out.append(F.sum(F.when(has, F.col(f"e1_{j}") * first_part - (r1 * A0 - b1 * A1))).alias(f"g_{j}"))
     for j, k in prs:
         r1j, r1k, b1j, b1k = (F.col(f"r1_{j}"), F.col(f"r1_{k}"), F.col(f"b1_{j}"), F.col(f"b1_{k}"))
         first = F.col(f"r2_{j}_{k}") * A0 - F.col(f"b2_{j}_{k}") * A1
@@ -117,13 +124,15 @@ def efron_pass(data: DataFrame, p: int, beta: np.ndarray, *, edges: Sequence[flo
             "max_eta": row["meta"] or 0.0, "n_events": int(row["n_events"] or 0)}
 
 
-def efron_terms(d: Column, r0: Column, s0d: Column, ties: str = "efron") -> Column:
+def efron_terms(d: Column, r0: Column, s0d: Column, ties: str = "efron", chunk: Column | None = None) -> Column:
     """Per event time: ``L = sum_l log phi_l``, ``A_m = sum c^m/phi``, ``B_m = sum c^m/phi^2``.
 
-    ``phi_l = R0 - (l/d) S0_deaths``, ``l = 0..d-1`` (Efron); Breslow is ``l/d = 0``.
+    ``phi_l = R0 - (l/d) S0_deaths``, ``l = 0..d-1`` (Efron); Breslow is ``l/d = 0``. With ``chunk``
+    only the terms ``l`` of that chunk of ``TIE_CHUNK``; the chunks of a time add up to all.
     """
+    chunk = F.lit(0).cast("long") if chunk is None else chunk
     if ties == "breslow":
-        dd = d.cast("double")
+        dd = F.when(chunk == 0, d.cast("double")).otherwise(F.lit(0.0))
         return F.struct((dd * F.log(r0)).alias("L"), (dd / r0).alias("A0"), F.lit(0.0).alias("A1"),
                         (dd / (r0 * r0)).alias("B0"), F.lit(0.0).alias("B1"), F.lit(0.0).alias("B2"))
     zero = F.struct(*[F.lit(0.0).alias(n) for n in ("L", "A0", "A1", "B0", "B1", "B2")])
@@ -137,7 +146,8 @@ def efron_terms(d: Column, r0: Column, s0d: Column, ties: str = "efron") -> Colu
                         (acc["B1"] + c * inv * inv).alias("B1"),
                         (acc["B2"] + c * c * inv * inv).alias("B2"))
 
-    seq = F.sequence(F.lit(0), F.greatest(d.cast("int") - 1, F.lit(0)))
+    last = F.least(d.cast("long"), (chunk + 1) * F.lit(TIE_CHUNK)) - 1
+    seq = F.sequence(chunk * F.lit(TIE_CHUNK), F.greatest(last, chunk * F.lit(TIE_CHUNK)))
     return F.when(d > 0, F.aggregate(seq, zero, step)).otherwise(zero)
 
 
@@ -310,15 +320,17 @@ def predict_median(model: CoxModel, df: DataFrame, *, id_col: str = "subject_id"
     (key = H0) are unioned and a descending running ``min(time)`` over the key is taken.
     """
     thr = F.lit(math.log(2.0)) * F.exp(-model.log_partial_hazard())
-    subj = df.select(F.col(id_col).cast("long").alias("_id"), thr.alias("_key"),
-                     F.lit(None).cast("double").alias("_t"))
-    curve = model.baseline.select(F.lit(None).cast("long").alias("_id"),
-                                  F.col("cum_hazard").alias("_key"), F.col("time").alias("_t"))
+    asked = df.select(F.col(id_col).alias("_id"), thr.alias("_key"))
+    known = F.col("_key").isNotNull() & ~F.isnan("_key")
+    subj = asked.where(known).select("_id", "_key", F.lit(None).cast("double").alias("_t"), F.lit(True).alias("_row"))
+    curve = model.baseline.select(F.lit(None).cast(asked.schema["_id"].dataType).alias("_id"),
+                                  F.col("cum_hazard").alias("_key"), F.col("time").alias("_t"), F.lit(False).alias("_row"))
     scanned = prefix_scan(subj.unionByName(curve), [], "_key", {"_first": "_t"},
                           descending=True, how="min")
-    return scanned.where(F.col("_id").isNotNull()).select(
-        F.col("_id").alias(id_col),
-        F.coalesce(F.col("_first"), F.lit(float("inf"))).alias("median"))
+    medians = scanned.where("_row").select(
+        F.col("_id").alias(id_col), F.coalesce(F.col("_first"), F.lit(float("inf"))).alias("median"))
+    return medians.unionByName(asked.where(~F.coalesce(known, F.lit(False))).select(
+        F.col("_id").alias(id_col), F.lit(None).cast("double").alias("median")))  # a missing covariate: no prediction
 
 
 # ---------------------------------------------------------------- summaries
@@ -397,7 +409,3 @@ def schoenfeld_test(model: CoxModel, df: DataFrame) -> DataFrame:
         out.append((f, stat, pval, bool(pval > 0.05) if pval == pval else None))
     return df.sparkSession.createDataFrame(
         out, "feature string, test_statistic double, p_value double, assumption_holds boolean")
-
-
-def p_value_col(z: Column) -> Column:
-    return norm_sf2_col(z)

@@ -74,7 +74,7 @@ def brier_scores(train: DataFrame, test: DataFrame, predictions: DataFrame, time
     spark = test.sparkSession
     ok = valid_times(test, times, time_col=time_col)
     if not ok:
-        warnings.warn("No valid times within observed follow-up range.", stacklevel=2)
+        warnings.warn("every requested time is beyond the follow-up", stacklevel=2)
         return spark.createDataFrame([], "metric string, time double, value double")
     g = censoring_curve(train, time_col=time_col, event_col=event_col)
     g_at_t = {r["q"]: r["g"] for r in g.select(F.explode(F.array(*[F.lit(t) for t in ok])).alias("q"),
@@ -85,15 +85,15 @@ def brier_scores(train: DataFrame, test: DataFrame, predictions: DataFrame, time
     subj = test.select(F.col(id_col).alias("_id"), F.col(time_col).cast("double").alias("_T"),
                        (F.col(event_col) > 0).alias("_E"))
     subj = asof_lookup(subj, "_T", g, "time", "censoring_survival", "_G_T", 1.0)
-    g_t = F.coalesce(*[F.when(F.col("time") == F.lit(t), F.lit(float(g_at_t.get(t) or 1.0)))
-                       for t in ok])
+    known = {t: 1.0 if g_at_t.get(t) is None else float(g_at_t[t]) for t in ok}  # before the first time G is 1
+    g_t = F.coalesce(*[F.when(F.col("time") == F.lit(t), F.lit(known[t])) for t in ok])
     pred = predictions.where(F.col("time").isin(ok)).select(
         F.col(id_col).alias("_id"), F.col("time").cast("double").alias("time"), "survival")
     j = pred.join(subj, "_id")
     s = F.col("survival")
     term = (F.when(F.col("_E") & (F.col("_T") <= F.col("time")) & (F.col("_G_T") > 0),
                    s * s / F.col("_G_T")).otherwise(F.lit(0.0))
-            + F.when(F.col("_T") > F.col("time"), (F.lit(1.0) - s) * (F.lit(1.0) - s) / g_t)
+            + F.when((F.col("_T") > F.col("time")) & (g_t > 0), (F.lit(1.0) - s) * (F.lit(1.0) - s) / g_t)
             .otherwise(F.lit(0.0)))
     bs = j.groupBy("time").agg(F.avg(term).alias("value"))
     rows = sorted((r["time"], r["value"]) for r in bs.collect())
@@ -118,7 +118,7 @@ def time_auc(train: DataFrame, test: DataFrame, risk: DataFrame, times: Sequence
     spark = test.sparkSession
     ok = valid_times(test, times, time_col=time_col, factor=0.99)
     if not ok:
-        warnings.warn("No valid times within observed follow-up range.", stacklevel=2)
+        warnings.warn("every requested time is beyond the follow-up", stacklevel=2)
         return spark.createDataFrame([], "time double, auc double")
     g = censoring_curve(train, time_col=time_col, event_col=event_col)
     subj = test.select(F.col(id_col).alias("_id"), F.col(time_col).cast("double").alias("_T"),
@@ -131,7 +131,7 @@ def time_auc(train: DataFrame, test: DataFrame, risk: DataFrame, times: Sequence
                     F.lit(1.0) / F.col("_G_T")).otherwise(F.lit(0.0))
     ctrl = F.when(F.col("_T") > F.col("t"), F.lit(1.0)).otherwise(F.lit(0.0))
     per = long.groupBy("t", "r").agg(F.sum(case_w).alias("w"), F.sum(ctrl).alias("k"))
-    sc = prefix_scan(per, ["t"], "r", {"k_le": "k"}, small_keys=True)
+    sc = prefix_scan(per, ["t"], "r", {"k_le": "k"})
     auc = sc.groupBy("t").agg(
         F.sum(F.col("w") * (F.col("k_le") - F.col("k") + F.lit(0.5) * F.col("k"))).alias("num"),
         F.sum("w").alias("wt"), F.sum("k").alias("nk"))

@@ -54,31 +54,33 @@ def risk_table(cohort: DataFrame, group_cols=None, *, time_col: str = "duration"
         .agg(F.count(F.lit(1)).alias("n_total"),
              F.sum((F.col(event_col) > 0).cast("long")).alias("d"))
     )
-    scanned = prefix_scan(counts, g, "time", {"n_at_risk": "n_total"}, descending=True,
-                          small_keys=small_groups, n_blocks=n_blocks, edges=edges)
+    scanned = prefix_scan(counts, g, "time", {"n_at_risk": "n_total"}, descending=True, n_blocks=n_blocks, edges=edges)
     return scanned.select(*g, "time", "n_at_risk", "d", (F.col("n_total") - F.col("d")).alias("c"),
                           "n_total")
 
 
-def _harmonic(m: Column, exact_upto: int = 256) -> Column:
-    """H(m) = sum_{i=1..m} 1/i: exact for small m, asymptotic series otherwise (error < 1e-13)."""
-    exact = F.aggregate(F.sequence(F.lit(1), m.cast("int")), F.lit(0.0),
-                        lambda acc, i: acc + F.lit(1.0) / i)
-    md = m.cast("double")
-    series = (F.log(md) + F.lit(0.5772156649015329) + F.lit(1.0) / (2 * md)
-              - F.lit(1.0) / (12 * md * md) + F.lit(1.0) / (120 * F.pow(md, 4)))
-    return (F.when(m <= 0, F.lit(0.0)).when(m <= exact_upto, exact).otherwise(series))
+def harmonic_difference(n: Column, m: Column, direct_upto: int = 32) -> Column:
+    """``1/(m+1) + .. + 1/n`` without cancellation, for any 0 <= m <= n.
+
+    Terms up to ``direct_upto`` are added one by one; above, the differences of the terms of the
+    asymptotic series are taken in closed form (the rest is below 4e-15).
+    """
+    low = F.greatest(m, F.least(n, F.lit(direct_upto)))
+    few = F.when(low > m, F.aggregate(F.sequence(m + 1, low), F.lit(0.0), lambda acc, i: acc + F.lit(1.0) / i)).otherwise(F.lit(0.0))
+    a, b = n.cast("double"), low.cast("double")
+    x, y = F.lit(1.0) / a, F.lit(1.0) / b
+    gap = (a - b) * x * y  # 1/b - 1/a
+    squares, product = x * x + y * y, x * x * y * y
+    series = (-F.log1p(-(a - b) * x) - gap / 2 + gap * (x + y) / 12 - gap * (x + y) * squares / 120
+              + gap * (x + y) * (squares * squares - product) / 252)
+    return few + F.when(n > low, series).otherwise(F.lit(0.0))
 
 
 def na_increment(d: Column, n: Column, smoothing: bool = True) -> Column:
     """Nelson-Aalen step at one time: ``sum_{i<d} 1/(n-i)`` (tie-smoothed) or ``d/n``."""
     if not smoothing:
         return F.when(d > 0, d / n).otherwise(F.lit(0.0))
-    direct = F.aggregate(F.sequence(F.lit(0), (d - 1).cast("int")), F.lit(0.0),
-                         lambda acc, i: acc + F.lit(1.0) / (n - i))
-    return (F.when(d <= 0, F.lit(0.0))
-            .when(d <= 256, direct)
-            .otherwise(_harmonic(n) - _harmonic(n - d)))
+    return F.when(d <= 0, F.lit(0.0)).otherwise(harmonic_difference(n, n - d))
 
 
 def km_curve(cohort: DataFrame, group_cols=None, *, time_col: str = "duration",
@@ -105,7 +107,7 @@ def km_curve(cohort: DataFrame, group_cols=None, *, time_col: str = "duration",
         "var_greenwood": F.when(alive, d / (n * (n - d))).otherwise(F.lit(0.0)),
         "cum_hazard": na_increment(F.col("d"), F.col("n_at_risk"), na_smoothing),
     }
-    sc = prefix_scan(rt, g, "time", sums, small_keys=small_groups, n_blocks=n_blocks, edges=edges)
+    sc = prefix_scan(rt, g, "time", sums, n_blocks=n_blocks, edges=edges)
     s = F.when(F.col("_zero") > 0, F.lit(0.0)).otherwise(F.exp(F.col("_logs")))
     sc = sc.withColumn("survival", s)
     return sc.select(*g, "time", "n_at_risk", "d", "c", "survival", "var_greenwood",

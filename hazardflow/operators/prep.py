@@ -15,7 +15,7 @@ from pyspark.sql.types import NumericType
 
 from hazardflow.functions import columns as C
 from hazardflow.operators.quantiles import exact_percentiles
-from hazardflow.operators.scan import prefix_scan
+from hazardflow.operators.scan import null_safe_join, prefix_scan
 
 OUTCOME_AND_LABELS = {"duration", "event", "cause", "subject_id", "age_group", "cci_level",
                       "los_category", "bmi_category", "split"}
@@ -127,9 +127,9 @@ def stratified_split(df: DataFrame, *, strata_col: str = "event", id_col: str =
         raise ValueError("need 0 < test_size < 1 and 0 <= val_size < 1 - test_size")
     h = F.xxhash64(F.col(id_col), F.lit(int(seed)))
     keyed = df.withColumn("_h", h).withColumn("_one", F.lit(1))
-    ranked = prefix_scan(keyed, [strata_col], "_h", {"_rank": "_one"}, small_keys=True)
+    ranked = prefix_scan(keyed, [strata_col], "_h", {"_rank": "_one"})
     sizes = df.groupBy(strata_col).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.join(F.broadcast(sizes), strata_col, "left")
+    ranked = null_safe_join(ranked, sizes, [strata_col])
     n = F.col("_n").cast("double")
     n_test = F.round(n * F.lit(test_size))
     n_val = F.round((n - n_test) * F.lit(val_size / (1.0 - test_size)))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardflow.operators.scan import prefix_scan
+from hazardflow.operators.scan import null_safe_join, prefix_scan
 
 
 def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float], group_cols=(),
@@ -23,10 +23,9 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float], gro
     cnt = (df.where(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
            .groupBy(*g, F.col(value_col).cast("double").alias("_v"))
            .agg(F.count(F.lit(1)).alias("_c")))
-    sc = prefix_scan(cnt, g, "_v", {"_cum": "_c"}, small_keys=small_groups)
+    sc = prefix_scan(cnt, g, "_v", {"_cum": "_c"})
     if g:
-        tot = cnt.groupBy(*g).agg(F.sum("_c").alias("_n"))
-        sc = sc.join(F.broadcast(tot) if small_groups else tot, g)
+        sc = null_safe_join(sc, cnt.groupBy(*g).agg(F.sum("_c").alias("_n")), g, "inner")
         n = F.col("_n")
     else:
         total = cnt.agg(F.sum("_c")).collect()[0][0] or 0

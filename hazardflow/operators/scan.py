@@ -24,32 +24,56 @@ def default_blocks(df: DataFrame) -> int:
     return max(8, 2 * parts)
 
 
-def value_edges(df: DataFrame, col: str, n_blocks: int, rel_err: float = 1e-3) -> list[float]:
-    """Sorted distinct quantile edges of ``col`` (one distributed sketch pass, B values back)."""
+def value_edges(df: DataFrame, col: str, n_blocks: int, rel_err: float | None = None) -> list[float]:
+    """Sorted distinct quantile edges of ``col`` (one distributed sketch pass, B values back).
+
+    The sketch's error is a quarter of a block, so that many blocks stay about equally large.
+    """
     if n_blocks <= 1:
         return []
+    rel_err = min(1e-3, 0.25 / n_blocks) if rel_err is None else rel_err
     probs = [i / n_blocks for i in range(1, n_blocks)]
     got = df.approxQuantile(col, probs, rel_err)
     return sorted({float(e) for e in got if e is not None and not math.isnan(e)})
 
 
 def block_of(col: Column, edges: Sequence[float]) -> Column:
-    """Block id, increasing with the value: 2*#(edges < x), plus 1 when x is itself an edge."""
+    """Block id, increasing with the value: 2*#(edges < x), plus 1 when x is itself an edge.
+
+    A binary search over one array literal: log B steps a row and one small expression for any B.
+    """
     if not edges:
         return F.lit(0)
-    below = sum((col > F.lit(e)).cast("int") for e in edges)
-    on_edge = col.isin([F.lit(e) for e in edges]).cast("int")
-    return below * 2 + on_edge
+    n = len(edges)
+    values = F.split(F.lit(",".join(repr(float(e)) for e in edges)), ",").cast("array<double>")  # folded to a literal
+    x = col.cast("double")
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        right = (s["lo"] < s["hi"]) & (F.get(values, mid) < x)
+        return F.struct(F.when(right, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(right | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
+    below = F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length())), start, halve, lambda s: s["lo"])
+    once = F.array(below)  # bound to a name, so that the search runs once a row
+    block = F.get(F.transform(once, lambda b: b * 2 + F.coalesce(F.get(values, b) == x, F.lit(False)).cast("int")), F.lit(0))
+    return F.when(col.isNotNull(), block)
+
+
+def null_safe_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``on`` in which NULL keys match each other; ``other`` adds its remaining columns."""
+    renamed = other.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[c for c in other.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    return df.join(renamed, cond, how).drop(*[f"_on_{c}" for c in on])
 
 
-def _offset_join(df: DataFrame, offsets: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    on = list(keys) + [BLOCK]
-    # The totals table has (#groups x #blocks) rows. Without groups, or with a caller-known small
-    # group count, that is bounded by the block count and is broadcast; otherwise AQE decides
-    # from the measured size at run time.
-    if not keys or small:
-        return df.join(F.broadcast(offsets), on, "left")
-    return df.join(offsets, on, "left")
+def _offset_join(df: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # The totals table has (#groups x #blocks) rows. Without groups that is the block count, and
+    # it is broadcast; otherwise AQE decides from the measured size at run time.
+    return null_safe_join(df, offsets if keys else F.broadcast(offsets), [*keys, BLOCK])
 
 
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -64,7 +88,6 @@ def prefix_scan(
     descending: bool = False,
     n_blocks: int | None = None,
     edges: Sequence[float] | None = None,
-    small_keys: bool = False,
     how: str = "sum",
 ) -> DataFrame:
     """Add inclusive running aggregates (``sum``, ``min`` or ``max``) over ``order_col`` within ``keys``.
@@ -87,7 +110,7 @@ def prefix_scan(
     wb = (Window.partitionBy(*keys).orderBy(blk_order)
           .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*keys, BLOCK, *[agg(tmp[k]).over(wb).alias(f"_off_{k}") for k in exprs])
-    joined = _offset_join(base, offsets, keys, small_keys)
+    joined = _offset_join(base, offsets, keys)
     ordering = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = (Window.partitionBy(*keys, BLOCK).orderBy(ordering)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -128,7 +151,7 @@ def bucketed_lead(
         "*", *[F.lead(src).over(w).alias(f"_in_{out}") for out, src in values.items()],
         F.lead(F.lit(1)).over(w).isNotNull().alias("_has_in"),
     )
-    joined = inner.join(nxt, keys + [BLOCK], "left")
+    joined = null_safe_join(inner, nxt, [*keys, BLOCK])
     return joined.select(
         *df.columns,
         *[F.when(F.col("_has_in"), F.col(f"_in_{out}"))

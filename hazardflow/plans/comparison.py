@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardflow.operators.concordance import concordance
 from hazardflow.operators.metrics import brier_scores, time_auc
 
 CLINICAL_TIMES = [30.0, 90.0, 180.0, 365.0]
-FULL_COLUMNS = ["model", "dataset", "c_index", "ibs", "auc_30d", "auc_90d", "auc_180d", "auc_365d",
-                "brier_30d"]
+FULL_COLUMNS = ["model", "c_index", "dataset"]
 
 
 def evaluate_model(model_name: str, dataset: str, train: DataFrame, test: DataFrame, risk: DataFrame,
@@ -41,7 +40,7 @@ def comparison_table(rows: DataFrame) -> DataFrame:
 
 
 def full_comparison(classical: DataFrame, deep: DataFrame, default_dataset: str = "icu") -> DataFrame:
-    """EV-11: stack both result tables, missing columns NULL, canonical column order."""
+    """EV-11: stack both result tables, missing columns NULL; model, c_index and dataset come first."""
     both = classical.unionByName(deep, allowMissingColumns=True)
     if "dataset" in both.columns:
         both = both.withColumn("dataset", F.coalesce(F.col("dataset"), F.lit(default_dataset)))
@@ -50,10 +49,13 @@ def full_comparison(classical: DataFrame, deep: DataFrame, default_dataset: str
 
 
 def cindex_pivot(rows: DataFrame, datasets: Sequence[str]) -> DataFrame:
-    """RPT-7: model x dataset C-index with a per-dataset best flag (long) and the pivot (wide)."""
-    w = Window.partitionBy("dataset")
-    return (rows.withColumn("is_best", F.col("c_index") == F.max("c_index").over(w))
-            .groupBy("model").pivot("dataset", list(datasets)).agg(F.first("c_index")))
+    """RPT-7: per model a C-index column for each dataset and ``best_<dataset>``, true for its best models."""
+    best = rows.groupBy("dataset").agg(F.max("c_index").alias("_best"))
+    flagged = rows.join(best, "dataset").withColumn("_is_best", F.col("c_index") == F.col("_best"))
+    return flagged.groupBy("model").agg(
+        *[F.first(F.when(F.col("dataset") == d, F.col("c_index")), ignorenulls=True).alias(d) for d in datasets],
+        *[F.coalesce(F.bool_or(F.when(F.col("dataset") == d, F.col("_is_best"))), F.lit(False)).alias(f"best_{d}")
+          for d in datasets])
 
 
 def top_features(importance: DataFrame, n: int = 15, value_col: str = "importance") -> DataFrame:
@@ -77,7 +79,3 @@ def patient_curves(model, df: DataFrame, *, id_col: str = "subject_id", step: in
     from hazardflow.operators.cox import predict_survival
 
     return predict_survival(model, df, [float(t) for t in range(0, horizon + 1, step)], id_col=id_col)
-
-
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "model string, dataset string, c_index double")

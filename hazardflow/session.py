@@ -60,8 +60,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder plus the package on the workers' path."""
-    ensure_checkpoint_dir(spark)
+    """The package on the workers' path; jobs that cut lineage ask for the checkpoint folder themselves."""
     ship_package(spark)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REGISTRY_SCHEMA = "seq long, name string, c_index double, dataset string, make_active boolean"
@@ -23,16 +24,22 @@ def register_model(spark: SparkSession, path: str, name: str, c_index: float | N
     """Append one registry row; ``seq`` continues the table's sequence."""
     try:
         seq = spark.read.parquet(path).agg(F.max("seq")).collect()[0][0]
-    except Exception:  # noqa: BLE001 - first registration: no table yet
-        seq = None
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        seq = None  # first registration: no table yet
     row = [((seq or 0) + 1, name, c_index, dataset, bool(make_active))]
     spark.createDataFrame(row, REGISTRY_SCHEMA).write.mode("append").parquet(path)
 
 
 def list_models(registry: DataFrame) -> DataFrame:
-    """Rows with a derived ``is_active``: the latest ``make_active`` row, else the first one."""
-    w = Window.partitionBy(F.lit(0))  # registry rows: one per registration, a tiny table
-    active_seq = F.coalesce(F.max(F.when(F.col("make_active"), F.col("seq"))).over(w),
-                            F.min("seq").over(w))
-    return registry.select("name", "c_index", "dataset", (F.col("seq") == active_seq).alias("is_active"),
-                           "seq").orderBy("seq")
+    """Rows with a derived ``is_active``: the latest ``make_active`` row, else the first one.
+
+    Writers that took the same ``seq`` are told apart by name and dataset, so exactly one is active
+    (equal rows count as one registration).
+    """
+    at = F.struct("seq", "name", "dataset")
+    pick = registry.agg(F.coalesce(F.max(F.when(F.col("make_active"), at)), F.min(at)).alias("_active"))
+    rows = registry.dropDuplicates(["seq", "name", "dataset", "c_index", "make_active"])
+    return rows.join(pick, at == F.col("_active"), "left").select(
+        "name", "c_index", "dataset", F.col("_active").isNotNull().alias("is_active"), "seq").orderBy("seq", "name")

@@ -19,7 +19,10 @@ from hazardflow.operators.scan import prefix_scan
 def stream_counts(stream: DataFrame, group_cols: Sequence[str] = (), *, time_col: str = "duration",
                   event_col: str = "event") -> DataFrame:
     g = list(group_cols)
-    return (stream.where(F.col(time_col).isNotNull())
+    keep = F.col(time_col).isNotNull() & ~F.isnan(F.col(time_col).cast("double")) & F.col(event_col).isNotNull()
+    for c in g:
+        keep = keep & F.col(c).isNotNull()
+    return (stream.where(keep)
             .groupBy(*g, F.col(time_col).cast("double").alias("time"))
             .agg(F.count(F.lit(1)).alias("n_total"),
                  F.sum((F.col(event_col) > 0).cast("long")).alias("d")))
