@@ -10,6 +10,7 @@ the p x p matrix reach the driver, which takes the Newton step. Penalty as lifel
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -208,15 +209,20 @@ def fit_cox(df: DataFrame, features: Sequence[str], *, time_col: str = "duration
                 cand = beta + step * delta
                 res_c = efron_pass(data, p, cand, edges=edges, shift=res["max_eta"], ties=ties)
                 ll_c, g_c, h_c = penalised(res_c, cand)
-                if ll_c >= ll - 1e-12 * max(1.0, abs(ll)) or step < 1e-4:
+                better = ll_c >= ll - 1e-12 * max(1.0, abs(ll))
+                if better or step < 1e-4:
                     break
                 step *= 0.5
+            if not better:  # no step improves the likelihood: stay where we are
+                break
             moved = float(np.linalg.norm(step * delta))
             change = abs(ll_c - ll)
             beta, res, ll, g, h = cand, res_c, ll_c, g_c, h_c
             if moved < tol or change < 1e-10 * max(1.0, abs(ll)):
                 converged = True
                 break
+        if not converged:
+            warnings.warn(f"Newton steps stopped after {it} iterations without convergence", stacklevel=2)
         model = CoxModel(features, mean, std, beta, penalizer, ll, n, res["n_events"], it,
                          converged, h, time_col, event_col)
         model.baseline = breslow_baseline(clean, model)
@@ -355,7 +361,7 @@ def hazard_ratio_table(model: CoxModel, spark) -> DataFrame:
         [(r["feature"], r["coef"], r["hr"], r["se"], r["lower_95"], r["upper_95"], r["p_value"])
          for r in rows],
         "feature string, coef double, hr double, se double, lower_95 double, upper_95 double, "
-        "p_value double")
+        "p_value double").withColumn("converged", F.lit(bool(model.converged)))
 
 
 def schoenfeld_test(model: CoxModel, df: DataFrame) -> DataFrame:

@@ -315,7 +315,7 @@ def q_exp_curve_reorder(spark, sf):
 
 # ---------------------------------------------------------------- preparation (PREP-*)
 
-DURATION_BINS = [0, 30, 90, 180, 365, 100000]
+DURATION_BINS = [0, 30, 90, 180, 365, float("inf")]
 DURATION_LABELS = ["<=30", "31-90", "91-180", "181-365", ">365"]
 
 

@@ -438,7 +438,7 @@ SQL["duration_buckets_reorder"] = with_cohort(
                    WHEN duration > 30 AND duration <= 90 THEN '31-90'
                    WHEN duration > 90 AND duration <= 180 THEN '91-180'
                    WHEN duration > 180 AND duration <= 365 THEN '181-365'
-                   WHEN duration > 365 AND duration <= 100000 THEN '>365' END AS bucket,
+                   WHEN duration > 365 THEN '>365' END AS bucket,
               CAST(count(*) AS BIGINT) AS n, CAST(sum(event) AS BIGINT) AS events
        FROM reorder GROUP BY 1""")
 
