@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+TASK_EDGES = 20_000
+
 
 def _least(directed: DataFrame) -> DataFrame:
     return directed.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -38,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut_lineage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = _state(now)
     while True:
-        now = cut_lineage(_small_star(_large_star(now).distinct()).where("u <> v").distinct())
+        rows = now.coalesce(1 + state[0] // TASK_EDGES)  # few tasks for few edges; more edges keep their partitions
+        now = cut_lineage(_small_star(_large_star(rows)).where("u <> v").distinct())
         after = _state(now)
         if after == state:
             break
