@@ -55,7 +55,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[!?][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_PART = re.compile(r"[a-z]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def _never_main(name: str, attributes: str) -> bool:
@@ -64,12 +64,12 @@ def _never_main(name: str, attributes: str) -> bool:
     if name in ("html", "body", "article", "main"):
         return False
     for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
+        key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id", "role"):
-            if any(part in HINTS for part in _PART.findall(value)):
+            if any(part.lower() in HINTS for part in _PART.findall(value)):
                 return True
-        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (
-                key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (
+                key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             return True
     return False
 

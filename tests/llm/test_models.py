@@ -207,7 +207,7 @@ P = " ".join(f"word{i}" for i in range(40))
     (None, ""), ("", ""), ("<!-- open <p>x", ""), ("plain &amp; text", "plain & text"),
     (f"<head><title>T</title></head><body><nav><a>m</a></nav><article><h1>H&eacute;</h1><p>{P}<p>a&nbsp;b<br>c<em>d</em></article><footer>f</footer>",
      f"Hé\n{P}\na b cd"),
-    (f"<body><div class='side-bar ads'>buy {P}</div><div class=post><p>{P}</p><aside>{P}</aside><p>end {P}</p></div><div id=comments><p>{P}</p></div>",
+    (f"<body><div class='mainSidebar'>buy {P}</div><div class=post><p>{P}</p><aside>{P}</aside><p>end {P}</p></div><div id=comments><p>{P}</p></div>",
      f"{P}\nend {P}"),
     (f"<article><p>{P}</p><form><label>{P} {P}</label></form><script>var a='<p>no</p>'</script><p>last one</p><section class=comments>{P}</section></article>",
      f"{P}\nlast one"),
