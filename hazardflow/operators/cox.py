@@ -322,18 +322,18 @@ def predict_risk(model: CoxModel, df: DataFrame, *, id_col: str = "subject_id")
 def predict_median(model: CoxModel, df: DataFrame, *, id_col: str = "subject_id") -> DataFrame:
     """COX-8: first baseline time with ``S <= 0.5``, i.e. ``H0(t) >= ln 2 / exp(eta_c)``; inf if never.
 
-    As-of lookup without broadcasting the curve: subjects (key = threshold) and curve rows
-    (key = H0) are unioned and a descending running ``min(time)`` over the key is taken.
+    As-of lookup without broadcasting the curve: distinct thresholds and curve rows (key = H0) are
+    unioned, a descending running ``min(time)`` over the key is taken and joined back to the subjects.
     """
     thr = F.lit(math.log(2.0)) * F.exp(-model.log_partial_hazard())
     asked = df.select(F.col(id_col).alias("_id"), thr.alias("_key"))
     known = F.col("_key").isNotNull() & ~F.isnan("_key")
-    subj = asked.where(known).select("_id", "_key", F.lit(None).cast("double").alias("_t"), F.lit(True).alias("_row"))
-    curve = model.baseline.select(F.lit(None).cast(asked.schema["_id"].dataType).alias("_id"),
-                                  F.col("cum_hazard").alias("_key"), F.col("time").alias("_t"), F.lit(False).alias("_row"))
-    scanned = prefix_scan(subj.unionByName(curve), [], "_key", {"_first": "_t"},
-                          descending=True, how="min")
-    medians = scanned.where("_row").select(
+    keys = asked.where(known).select("_key").distinct().select(
+        "_key", F.lit(None).cast("double").alias("_t"), F.lit(True).alias("_row"))
+    curve = model.baseline.select(F.col("cum_hazard").alias("_key"), F.col("time").alias("_t"), F.lit(False).alias("_row"))
+    scanned = prefix_scan(keys.unionByName(curve), [], "_key", {"_first": "_t"},
+                          descending=True, how="min").where("_row").select("_key", "_first")
+    medians = asked.where(known).join(scanned, "_key", "left").select(
         F.col("_id").alias(id_col), F.coalesce(F.col("_first"), F.lit(float("inf"))).alias("median"))
     return medians.unionByName(asked.where(~F.coalesce(known, F.lit(False))).select(
         F.col("_id").alias(id_col), F.lit(None).cast("double").alias("median")))  # a missing covariate: no prediction

@@ -7,7 +7,6 @@ union-and-scan as-of join, so no curve is broadcast and no subject is paired wit
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Sequence
 
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hazardflow.operators.nonparam import risk_table
 from hazardflow.operators.quantiles import exact_percentiles
-from hazardflow.operators.scan import prefix_scan
+from hazardflow.operators.scan import null_safe_join, prefix_scan
 
 
 def censoring_curve(train: DataFrame, *, time_col: str = "duration", event_col: str = "event") -> DataFrame:
@@ -39,21 +38,20 @@ def asof_lookup(left: DataFrame, key_col: str, curve: DataFrame, curve_key: str,
                 out_col: str, before_first: float) -> DataFrame:
     """Right-continuous step lookup for every row of ``left``: value at the last curve key <= key.
 
-    Rows and curve points are unioned and a running ``max(struct(key, value))`` is scanned over
-    the key, so neither side is broadcast and the curve may be as large as the data.
+    The *distinct* keys and the curve points are unioned and a running ``max(struct(key, value))`` is
+    scanned over the key; rows get their value by an equi-join, whose large partitions Spark can split.
+    Neither side is broadcast, the curve may be as large as the data, and a key that many rows share
+    is one row of the scan.
     """
-    cols = left.columns
-    lrows = left.select(*cols, F.col(key_col).cast("double").alias("_k"),
-                        F.lit(True).alias("_is_row"),
-                        F.lit(None).cast("struct<k:double,v:double>").alias("_pt"))
-    empty = {c: F.lit(None).cast(t) for c, t in left.dtypes}
-    crows = curve.select(*[empty[c].alias(c) for c in cols],
-                         F.col(curve_key).cast("double").alias("_k"), F.lit(False).alias("_is_row"),
-                         F.struct(F.col(curve_key).cast("double").alias("k"),
-                                  F.col(value_col).cast("double").alias("v")).alias("_pt"))
-    sc = prefix_scan(lrows.unionByName(crows), [], "_k", {"_last": "_pt"}, how="max")
-    return sc.where(F.col("_is_row")).select(
-        *cols, F.coalesce(F.col("_last.v"), F.lit(float(before_first))).alias(out_col))
+    rows = left.withColumn("_k", F.col(key_col).cast("double"))
+    asked = rows.select("_k").distinct().select(
+        "_k", F.lit(True).alias("_is_row"), F.lit(None).cast("struct<k:double,v:double>").alias("_pt"))
+    points = curve.select(F.col(curve_key).cast("double").alias("_k"), F.lit(False).alias("_is_row"),
+                          F.struct(F.col(curve_key).cast("double").alias("k"),
+                                   F.col(value_col).cast("double").alias("v")).alias("_pt"))
+    found = prefix_scan(asked.unionByName(points), [], "_k", {"_last": "_pt"}, how="max").where("_is_row").select(
+        "_k", F.coalesce(F.col("_last.v"), F.lit(float(before_first))).alias(out_col))
+    return null_safe_join(rows, found, ["_k"]).drop("_k")
 
 
 def valid_times(outcomes: DataFrame, times: Sequence[float], *, time_col: str = "duration",
@@ -196,10 +194,3 @@ def crude_brier(test: DataFrame, predictions: DataFrame, times: Sequence[float],
     alive = F.when(F.col("_T") > F.col("time"), F.lit(1.0)).otherwise(F.lit(0.0))
     return j.groupBy("time").agg(F.avg(F.pow(F.col("survival") - alive, 2)).alias("brier"))
 
-
-def integrated(values: Sequence[tuple[float, float]]) -> float | None:
-    pts = sorted(values)
-    if len(pts) < 2:
-        return None
-    area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(pts[:-1], pts[1:]))
-    return area / (pts[-1][0] - pts[0][0]) if pts[-1][0] > pts[0][0] else math.nan
