@@ -97,6 +97,18 @@ def fit_boosted_cox(df: DataFrame, features: Sequence[str], *, n_estimators: int
     return model
 
 
+def predict_survival(model: BoostedCox, train: DataFrame, df: DataFrame, times: Sequence[float], *,
+                     id_col: str = "subject_id", time_col: str = "duration", event_col: str = "event") -> DataFrame:
+    """GB-6: ``(id, time, survival)`` at a few times, ``exp(-H0(t) exp(score))`` with the Breslow hazard of ``train``."""
+    h0 = breslow_on_score(model.score(train), score_col="score", time_col=time_col, event_col=event_col)
+    asked = F.explode(F.array(*[F.lit(float(t)) for t in times])).alias("q")
+    at = {r["q"]: r["h"] or 0.0 for r in h0.select("time", "cum_hazard", asked).groupBy("q").agg(
+        F.max_by("cum_hazard", F.when(F.col("time") <= F.col("q"), F.col("time"))).alias("h")).collect()}
+    rows = F.array(*[F.struct(F.lit(float(t)).alias("time"), F.exp(-F.lit(float(at.get(float(t), 0.0))) * F.exp("score")).alias("survival"))
+                     for t in times])
+    return model.score(df).select(id_col, F.inline(rows))
+
+
 def tune_and_fit(train: DataFrame, val: DataFrame, features: Sequence[str], grid: Sequence[dict], *,
                  refit_on: str = "train", **fixed) -> tuple[BoostedCox, dict, list]:
     """GB-3: fit each combination on train, keep the best validation C-index (first wins ties,

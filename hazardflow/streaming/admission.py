@@ -5,7 +5,12 @@ A request at time t first forgets admitted timestamps with ``t - s > window`` (a
 do not count. The state per key is at most ``limit`` timestamps.
 
 Batch twin: a key's requests split into independent sessions wherever the gap exceeds the window
-(the state is empty there), so one hot key becomes many bounded groups.
+(the state is empty there). Sessions are dealt over partitions and read in order, carrying at most
+``limit`` timestamps, so memory is bounded however long a session is.
+
+Stream: the state of a key times out by event time once the watermark has passed its last request by
+the window. A late request (behind newer ones of its key that were judged in an earlier batch) is
+judged against the state as it is: newer admitted requests count, none is judged again.
 """
 
 from __future__ import annotations
@@ -45,39 +50,49 @@ def admit_batch(df: DataFrame, *, key_col: str = "user_id", ts_col: str = "ts",
     sess = prefix_scan(prev.withColumn("_start", start), [key_col], "_s", {"_session": "_start"})
     cols = df.columns
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # many independent (key, session) runs share one group; each starts with empty state
-        pdf = pdf.sort_values([key_col, "_session", "_s", id_col], kind="mergesort")
-        flags = []
-        for _, part in pdf.groupby([key_col, "_session"], sort=False):
-            flags.extend(_admit(part["_s"].tolist(), deque(), window, limit))
-        pdf["admitted"] = flags
-        return pdf[cols + ["admitted"]]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, kept = None, deque()  # the run of (key, session) that the last batch ended in, at most ``limit`` times
+        for pdf in batches:
+            flags = []
+            for part, rows in pdf.groupby([key_col, "_session"], sort=False, dropna=False):
+                part = tuple(None if pd.isna(x) else x for x in part)  # a NaN key would never equal itself
+                if part != at:
+                    at, kept = part, deque()
+                flags.extend(_admit(rows["_s"].tolist(), kept, window, limit))
+            yield pdf[cols].assign(admitted=flags)
 
     schema = df.select(*cols).schema.add("admitted", "boolean")
-    n_groups = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    bucket = F.pmod(F.xxhash64(F.col(key_col), F.col("_session")), F.lit(n_groups))
-    return sess.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandas(run, schema)
+    ordered = sess.repartition(key_col, "_session").sortWithinPartitions(key_col, "_session", "_s", id_col)
+    return ordered.select(*cols, "_s", "_session").mapInPandas(run, schema)
 
 
 def admit_stream(stream: DataFrame, *, key_col: str = "user_id", ts_col: str = "ts",
-                 id_col: str = "event_id", window: float = 60.0, limit: int = 60) -> DataFrame:
-    """Streaming version: ``applyInPandasWithState`` keeps the admitted timestamps per key."""
+                 id_col: str = "event_id", window: float = 60.0, limit: int = 60,
+                 delay: str = "10 minutes") -> DataFrame:
+    """Streaming version: ``applyInPandasWithState`` keeps the admitted timestamps per key.
+
+    ``delay`` is how far the watermark stays behind the newest request.
+    """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     cols = [key_col, id_col, ts_col]
     out_schema = f"{key_col} long, {id_col} long, {ts_col} timestamp, admitted boolean"
 
     def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:  # no admitted request can count any more
+            state.remove()
+            return
         kept = deque(state.get[0]) if state.exists else deque()
         pdf = pd.concat(list(batches)).sort_values([ts_col, id_col], kind="mergesort")
         secs = (pd.to_datetime(pdf[ts_col]).astype("int64") / 1e9).tolist()
         adm = _admit(secs, kept, window, limit)
         state.update((list(kept),))
+        forget = int((max([*secs, *kept]) + window) * 1000) + 1
+        state.setTimeoutTimestamp(max(forget, state.getCurrentWatermarkMs() + 1))
         pdf = pdf[cols].assign(admitted=adm)
         yield pdf
 
     src = stream.select(F.col(key_col).cast("long").alias(key_col), F.col(id_col).cast("long"),
-                        F.col(ts_col).cast("timestamp").alias(ts_col))
+                        F.col(ts_col).cast("timestamp").alias(ts_col)).withWatermark(ts_col, delay)
     return src.groupBy(key_col).applyInPandasWithState(
-        run, out_schema, "admitted array<double>", "append", GroupStateTimeout.NoTimeout)
+        run, out_schema, "admitted array<double>", "append", GroupStateTimeout.EventTimeTimeout)

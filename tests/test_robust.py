@@ -129,3 +129,34 @@ def test_erfc_column(spark):
     got = [r.v for r in spark.createDataFrame([(i, v) for i, v in enumerate(z)], "i int, z double").orderBy("i").select(
         erfc_col(F.col("z")).alias("v")).collect()]
     assert got == pytest.approx([math.erfc(v) for v in z], rel=1e-11)
+
+
+def test_boosted_survival_without_trees_is_the_breslow_curve(spark):
+    from hazardflow.operators.boosting import BoostedCox, predict_survival
+
+    df = spark.createDataFrame([(i, float(t), e, 0.0) for i, (t, e) in enumerate([(1, 1), (2, 1), (2, 0), (4, 1)])],
+                               "subject_id int, duration double, event int, a double")
+    got = {(r.subject_id, r.time): r.survival for r in predict_survival(BoostedCox(["a"], 0.1), df, df, [0.5, 2.0, 9.0]).collect()}
+    assert got[0, 0.5] == 1.0
+    assert got[3, 2.0] == pytest.approx(math.exp(-(1 / 4 + 1 / 3)))
+    assert got[1, 9.0] == pytest.approx(math.exp(-(1 / 4 + 1 / 3 + 1)))
+
+
+def test_batch_admission_carries_state_across_arrow_batches(spark):
+    from hazardflow.streaming.admission import admit_batch
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.createDataFrame([(k, i, f"2024-01-01 00:{i // 4:02d}:{i % 4 * 15:02d}") for k in (1, None) for i in range(100)],
+                                   "user_id long, event_id long, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        got = admit_batch(df, window=60.0, limit=3).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    kept, want = [], []
+    for i in range(100):
+        t = i * 15.0
+        kept = [s for s in kept if t - s <= 60.0]
+        want.append(len(kept) < 3)
+        kept += [t] * want[-1]
+    for k in (1, None):
+        assert [r.admitted for r in sorted((r for r in got if r.user_id == k), key=lambda r: r.event_id)] == want
