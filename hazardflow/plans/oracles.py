@@ -349,6 +349,14 @@ def cindex_sql(risk_expr: str) -> str:
 SQL["cindex_custlife"] = cindex_sql("CAST(x1 AS DOUBLE)")
 SQL["cindex_custlife_tied"] = cindex_sql("round(x1 / 1000.0)")
 
+SQL["cindex_cox_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT CAST(sum(n) AS DOUBLE) AS comparable, CAST(sum(lo) AS DOUBLE) AS concordant, CAST(sum(eq) AS DOUBLE) AS tied_risk,
+          {r6('(sum(lo) + 0.5 * sum(eq)) / sum(n)', 'c_index')}
+        FROM (SELECT count(*) AS n, count(*) FILTER (WHERE j.eta < i.eta) AS lo, count(*) FILTER (WHERE j.eta = i.eta) AS eq
+              FROM e i JOIN e j ON i.ev > 0 AND (j.time > i.time OR (j.time = i.time AND j.ev = 0)))""",
+    *cox_ctes())
+
 _GC = """gc AS (SELECT time, CASE WHEN zeros > 0 THEN 0.0 ELSE exp(logs) END AS g
   FROM (SELECT time,
           sum(CASE WHEN c < n_at_risk - d THEN ln(1 - CAST(c AS DOUBLE) / (n_at_risk - d)) ELSE 0 END) OVER w AS logs,
