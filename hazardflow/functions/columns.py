@@ -64,3 +64,9 @@ def uniform_hash(key: Column, seed: int) -> Column:
     """Deterministic uniform [0, 1) per key and seed (xxhash64, no state, no shuffle)."""
     h = F.xxhash64(key, F.lit(int(seed)))
     return (F.pmod(h, F.lit(1 << 53)).cast("double")) / F.lit(float(1 << 53))
+
+
+def repeatable_hash(key: Column, label: str) -> Column:
+    """48 bits of an MD5 over ``label:key``, exact in a double; any SQL engine can repeat it."""
+    text = F.concat(F.lit(f"{label}:"), F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double")

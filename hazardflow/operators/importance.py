@@ -12,18 +12,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazardflow.functions.columns import repeatable_hash
 from hazardflow.operators.concordance import concordance
 from hazardflow.operators.scan import prefix_scan
 
 IMPORTANCE_SCHEMA = "feature string, baseline double, importance double, repeats int"
 
 
-def permutation_hash(key: Column, seed: int, repeat: int) -> Column:
-    """48 bits, exact in a double."""
-    text = F.concat(F.lit(f"{seed}:{repeat}:"), key.cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double")
-
-
 def _ranked(df: DataFrame, order: str, tie: str) -> DataFrame:
     """Rank from 1 by ``order``; rows with an equal value are told apart by ``tie``."""
     run = prefix_scan(df.withColumn("_one", F.lit(1)), [], order, {"_upto": "_one"})
@@ -36,7 +31,7 @@ def permuted(df: DataFrame, feature: str, *, id_col: str = "subject_id", seed: i
     """``df`` with the values of ``feature`` dealt anew among its subjects (unique numeric ids)."""
     by_id = _ranked(df.withColumn("_at", F.col(id_col).cast("double")), "_at", id_col).drop("_at")
     dealt = df.select(F.col(id_col).alias("_id"), F.col(feature).alias("_value"),
-                      permutation_hash(F.col(id_col), seed, repeat).alias("_at"))
+                      repeatable_hash(F.col(id_col), f"{seed}:{repeat}").alias("_at"))
     dealt = _ranked(dealt, "_at", "_id").select(F.col("_rank"), "_value")
     joined = by_id.join(dealt, "_rank")
     return joined.select(*[F.col("_value").alias(c) if c == feature else F.col(c) for c in df.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardflow.operators.concordance import concordance
-from hazardflow.operators.metrics import brier_scores, time_auc
+from hazardflow.operators.metrics import brier_scores, crude_brier, time_auc
 
 CLINICAL_TIMES = [30.0, 90.0, 180.0, 365.0]
 FULL_COLUMNS = ["model", "c_index", "dataset"]
@@ -34,6 +34,25 @@ def evaluate_model(model_name: str, dataset: str, train: DataFrame, test: DataFr
     return spark.createDataFrame([tuple(row)], cols)
 
 
+def crude_table(models: Sequence[tuple[str, str, DataFrame, DataFrame | None]], test: DataFrame,
+                times: Sequence[float] = CLINICAL_TIMES, *, id_col: str = "subject_id") -> DataFrame:
+    """EV-8 as a table: ``model, c_index, brier_{t}d.., dataset``, rounded to 4 places.
+
+    ``models`` are (model, dataset, risk (id, risk), predictions or None); without predictions the
+    Brier columns are NULL.
+    """
+    rows = []
+    for name, dataset, risk, predictions in models:
+        scored = test.join(risk.select(id_col, F.col("risk").alias("_risk")), id_col)
+        c = concordance(scored, risk_col="_risk")["c_index"]
+        brier = {} if predictions is None else {
+            r["time"]: r["brier"] for r in crude_brier(test, predictions, times, id_col=id_col).collect()}
+        scores = [None if brier.get(float(t)) is None else round(float(brier[float(t)]), 4) for t in times]
+        rows.append((name, round(float(c), 4), *scores, dataset))
+    columns = ", ".join(f"brier_{int(t)}d double" for t in times)
+    return test.sparkSession.createDataFrame(rows, f"model string, c_index double, {columns}, dataset string")
+
+
 def comparison_table(rows: DataFrame) -> DataFrame:
     """EV-10: ordered by dataset ascending, C-index descending."""
     return rows.orderBy(F.col("dataset").asc(), F.col("c_index").desc())

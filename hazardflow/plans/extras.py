@@ -12,9 +12,10 @@ from hazardflow.operators import neural, prep
 from hazardflow.operators.competing import cause_indicator
 from hazardflow.operators.importance import permutation_importance
 from hazardflow.plans.catalog import finish, register
+from hazardflow.plans.comparison import crude_table
 from hazardflow.plans.oracles import SQL, r6, with_cohort
 from hazardflow.session import read_table
-from hazardflow.sources.cohorts import custlife, gap
+from hazardflow.sources.cohorts import custlife, gap, reorder
 
 
 @register("features_customer")
@@ -146,3 +147,43 @@ def _importance_sql() -> str:
 
 
 SQL["permutation_importance_custlife"] = _importance_sql()
+
+
+@register("split_reorder")
+def q_split_reorder(spark, sf):
+    """PREP-7: who goes where in the stratified 70/15/15 split of the reorder cohort."""
+    return prep.stratified_split(reorder(spark, sf), seed=42).select("subject_id", "event", "split")
+
+
+SQL["split_reorder"] = with_cohort(
+    "reorder",
+    """SELECT subject_id, event, CASE WHEN k <= n_test THEN 'test' WHEN k <= n_test + floor((n - n_test) * (0.15 / 0.85) + 0.5) THEN 'val'
+         ELSE 'train' END AS split
+       FROM (SELECT *, floor(n * 0.15 + 0.5) AS n_test FROM (
+         SELECT subject_id, event, count(*) OVER (PARTITION BY event) AS n,
+                row_number() OVER (PARTITION BY event ORDER BY md5('split:42:' || subject_id::VARCHAR)[1:12]) AS k FROM reorder))""")
+
+
+@register("crude_table_custlife")
+def q_crude_table_custlife(spark, sf):
+    """EV-8: table of two fixed scorers on custlife, one with predicted survival."""
+    data = custlife(spark, sf)
+    risk = data.select("subject_id", F.round(F.col("x1") / 1000).alias("risk"))
+    at = F.array(*[F.struct(F.lit(t).alias("time"), F.exp(-F.lit(t) / 1000).alias("survival")) for t in (30.0, 90.0, 180.0, 365.0)])
+    flat = data.select("subject_id", F.inline(at))
+    return crude_table([("balance", "custlife", risk, flat), ("reverse", "custlife", risk.withColumn("risk", -F.col("risk")), None)], data)
+
+
+def _crude_sql() -> str:
+    c = lambda sign: (f"(SELECT round(sum(CASE WHEN {sign}j.r < {sign}i.r THEN 1.0 WHEN j.r = i.r THEN 0.5 ELSE 0 END) / count(*), 4) FROM s i "
+                      "JOIN s j ON i.event > 0 AND (j.duration > i.duration OR (j.duration = i.duration AND j.event = 0)))")
+    brier = lambda t: f"(SELECT round(avg(pow(exp(-{t} / 1000.0) - (duration > {t})::INT, 2)), 4) FROM s)"
+    times = (30, 90, 180, 365)
+    return with_cohort(
+        "custlife",
+        f"SELECT 'balance' AS model, {c('')}::DOUBLE AS c_index, {', '.join(f'{brier(t)}::DOUBLE AS brier_{t}d' for t in times)}, 'custlife' AS dataset "
+        f"UNION ALL SELECT 'reverse', {c('-')}::DOUBLE, {', '.join('NULL' for _ in times)}, 'custlife'",
+        "s AS (SELECT duration, event, round(x1 / 1000) AS r FROM custlife)")
+
+
+SQL["crude_table_custlife"] = _crude_sql()

@@ -160,3 +160,17 @@ def test_batch_admission_carries_state_across_arrow_batches(spark):
         kept += [t] * want[-1]
     for k in (1, None):
         assert [r.admitted for r in sorted((r for r in got if r.user_id == k), key=lambda r: r.event_id)] == want
+
+
+def test_prepare_cohort_and_train_c_index(spark):
+    from hazardflow.operators.prep import prepare_cohort
+
+    rng = np.random.default_rng(4)
+    rows = [(i, float(rng.exponential(10)), int(i % 3 > 0), float(rng.normal()) if i % 11 else None, int(20 + i % 70)) for i in range(400)]
+    done = prepare_cohort(spark.createDataFrame(rows, "subject_id int, duration double, event int, a double, age int"))
+    sizes = [d.count() for d in (done.train, done.val, done.test)]
+    assert sum(sizes) == 400 and sizes[2] == 60 and done.features == ["a", "age"]
+    stats = done.train.agg(F.avg("a"), F.stddev_pop("a"), F.count("a")).first()
+    assert stats[0] == pytest.approx(0, abs=1e-9) and stats[1] == pytest.approx(1) and stats[2] == sizes[0]
+    model = cox.fit_cox(done.train, done.features, train_c_index=True)
+    assert model.c_index == pytest.approx(model.score(done.train)) and 0 < model.c_index < 1
