@@ -306,7 +306,8 @@ def near_duplicate_classes(docs: DataFrame, *, key: str = "doc_id", text: str =
 
     members_of = lambda p: p.select(F.col("u").alias("node")).unionByName(p.select(F.col("v").alias("node")))
     links = verified(pairs, texts_of(members_of(pairs)), threshold)
-    labels = components(links)
+    # a first label: the least pivot that a node is linked to, else the node itself; equal labels are one component
+    labels = links.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("label"))
     labelled = members.select("bkey", "node").join(labels, "node", "left").select(
         "bkey", "node", F.coalesce("label", "node").alias("label"))
     open_keys = labelled.groupBy("bkey").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bkey")
@@ -320,14 +321,12 @@ def near_duplicate_classes(docs: DataFrame, *, key: str = "doc_id", text: str =
     signed = lambda name, c: nodes.select(F.col("node").alias(name), F.col("sig").alias(c))
     rest = cut_lineage(across.join(signed("u", "sa"), "u").join(signed("v", "sb"), "v").select(
         "u", "v", "sa", "sb").mapInArrow(_agreeing, "u long, v long"))
-    large = left.where(F.col("size") > SMALL)
-    more = verified(rest, texts_of(members_of(rest)), threshold)
+    large = left.where(F.col("size") > SMALL).select("bkey", "node", "label")
+    texts = texts_of(members_of(rest).unionByName(large.select("node")))
+    more = verified(rest, texts, threshold)
     if not large.isEmpty():
-        more = cut_lineage(more.unionByName(links_in_large(
-            large.select("bkey", "node", "label"), texts_of(large.select("node")), threshold, CHUNK)))
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = components(links)
+        more = more.unionByName(links_in_large(large, texts, threshold, CHUNK))
+    labels = components(links.unionByName(more))
     placed = nodes.select("node", "who").join(labels, "node", "left").select(
         "node", "who", F.coalesce("label", "node").alias("label"))
     classes = placed.groupBy("label").agg(F.min("who").alias("kept"))
