@@ -1,7 +1,8 @@
 """HTML main text: the maximum-scoring contiguous run of words and tags, with weights from labelled pages.
 
 A page is a sequence of words and tags. Words score by where they stand (kind of their element, inside or
-outside an ``<article>``/``<main>`` if the page has one), tags score negative. The weights are log odds of
+outside an ``<article>``/``<main>`` if the page marks its main text so: such elements, outside what is never
+main text, hold words and at least half of the page's plain words), tags score negative. The weights are log odds of
 standing in the main text, counted on labelled pages: pages that mark their main text themselves with one
 ``<article>`` or ``<main>``. One linear scan per page finds the run with the greatest sum; within the run,
 text of elements that are never main text (menus, asides, forms, adverts, comments..) is left out.
@@ -48,6 +49,8 @@ HINTS = frozenset("ad ads adv advert advertisement advertising banner breadcrumb
                   "replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
                   "subscription tagcloud toolbar topbar warning widget widgets alert gdpr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A page is marked if its articles and mains hold this share of its plain words.
+MARKED_SHARE = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -74,12 +77,13 @@ def _never_main(name: str, attributes: str) -> bool:
     return False
 
 
-def events(page: str) -> tuple[list[tuple[str, bool, str, int]], bool]:
-    """((kind, inside marked main text, text or tag name, words) of each tag and piece of text, is main text marked)."""
-    marked = re.search(r"<(article|main)\b", page, re.I) is not None
+def events(page: str) -> tuple[list[tuple[str, bool, str, int]], bool, int]:
+    """((kind, inside marked main text, text or tag name, words) of each tag and piece of text, is main text marked,
+    number of articles and mains outside never-main elements).
+    """
     out: list[tuple[str, bool, str, int]] = []
     stack: list[tuple[str, bool, bool]] = []  # name, inside never-main, inside article or main
-    at = 0
+    at = marks = 0
 
     def text(piece: str) -> None:
         if not piece:
@@ -112,10 +116,16 @@ def events(page: str) -> tuple[list[tuple[str, bool, str, int]], bool]:
                         stack[-1][0] == name and name in ("li", "td", "th", "tr", "dt", "dd", "option"))):
                     stack.pop()
             _, never, inside = stack[-1] if stack else ("", False, False)
-            stack.append((name, never or _never_main(name, m.group(4)), inside or name in ("article", "main")))
+            if name in ("article", "main") and not never:
+                inside = True
+                marks += 1
+            stack.append((name, never or _never_main(name, m.group(4)), inside))
         out.append((f"tag {known}", bool(stack) and stack[-1][2], name, 0))
     text(page[at:])
-    return out, marked
+    share = [sum(n for kind, inside, _, n in out if kind == "word plain" and inside == side) for side in (False, True)]
+    holds = any(n and inside and kind.startswith("word") and kind != "word never" for kind, inside, _, n in out)
+    marked = holds and share[True] >= MARKED_SHARE * sum(share)
+    return out, marked, marks
 
 
 def feature(kind: str, inside: bool, marked: bool) -> str:
@@ -164,7 +174,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str, weights: Mapping[str, float]) -> str:
-    seen, marked = events(page)
+    seen, marked, _ = events(page)
     known: dict[tuple[str, bool], float] = {}
     scores = []
     for kind, inside, _, n in seen:
@@ -192,7 +202,9 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     outside: Counter[str] = Counter()
     for batch in batches:
         for page in batch.column(0).to_pylist():
-            seen, marked = events(page)
+            seen, marked, marks = events(page)
+            if not marked or marks != 1:
+                continue
             for kind, within, _, n in seen:
                 main = within and kind != "word never"
                 for f in (feature(kind, within, marked), feature(kind, within, False)):  # as if it weren't marked, too
@@ -202,15 +214,28 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                       pa.array([outside[f] for f in names], pa.int64())], names=["feature", "n_in", "n_out"])
 
 
+def _labelled_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the pages that mark their main text with exactly one article or main element."""
+    for batch in batches:
+        parsed = (events(page)[1:] for page in batch.column(0).to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array([marked and marks == 1 for marked, marks in parsed], pa.bool_()))], names=["_o"])
+
+
 def learn_weights(pages: DataFrame, *, content: str = "html", training_pages: int = TRAINING_PAGES) -> dict[str, float]:
-    """Weights from pages with exactly one ``<article>`` or ``<main>``: a sample of ``training_pages`` by hash."""
+    """Weights from pages that mark their main text with exactly one article or main: the ``training_pages`` of least hash."""
     ship_package(pages.sparkSession)
     page = F.col(content)
-    marks = F.size(F.split(F.lower(page), r"<(article|main)\b")) - 1
-    labelled = pages.where(page.isNotNull() & (marks == 1)).select(page.alias("html"), F.xxhash64(page).alias("_o"))
+    may_be = pages.where(F.lower(page).rlike(r"<(article|main)\b")).select(page.cast("string").alias("html"), F.xxhash64(page).alias("_o"))
+
+    def least(hashes: DataFrame, n: int):
+        return hashes.orderBy("_o").limit(n).agg(F.max("_o").alias("last"), F.count("_o").alias("n")).first()
+
     # the hashes alone are sorted; pages at or below the last one of the sample are read again where they lie
-    last = labelled.select("_o").orderBy("_o").limit(training_pages).agg(F.max("_o")).first()[0]
-    sample = labelled.where(F.col("_o") <= F.lit(last)).select("html")
+    near = least(may_be.select("_o"), 2 * training_pages)
+    last = least(may_be.where(F.col("_o") <= F.lit(near["last"])).mapInArrow(_labelled_batches, "_o long"), training_pages)
+    if last["n"] < training_pages and near["n"] == 2 * training_pages:  # many false marks: all that may be
+        last = least(may_be.mapInArrow(_labelled_batches, "_o long"), training_pages)
+    sample = may_be.where(F.col("_o") <= F.lit(last["last"])).select("html")
     counts = sample.mapInArrow(_count_batches, "feature string, n_in long, n_out long").groupBy("feature").agg(
         F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")).collect()  # a row a feature, a fixed set
     return fitted_weights({r["feature"]: r["n_in"] for r in counts}, {r["feature"]: r["n_out"] for r in counts})

@@ -220,6 +220,30 @@ def test_main_text_of_hand_made_pages(page, text):
     assert html_extract.main_text(page or "", weights) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<!-- <article> --><div class=post><p>{P}</p></div>", P),
+    (f"<script>var a='<main>'</script><template><article></article></template><div class=post><p>{P}</p></div>", P),
+    (f"<aside><article><p>{P}</p></article></aside><div class=post><p>{P}</p></div>", P),
+    (f"<div class=post><p>{P}<p>{P}<p>{P}</div><section class=related><article><p>{P}</p></article></section>", f"{P}\n{P}\n{P}"),
+    (f"<div class=post><p>{P}</p></div><div><article><p>a b c</p></article><article><p>d e</p></article></div>", f"{P}\na b c\nd e"),
+    (f"<div class=post><p>{P}</p></div><article><img src=x></article>", P),
+])
+def test_false_marks_and_cards_do_not_lose_the_main_text(page, text):
+    assert html_extract.main_text(page, {}) == text
+    fitted = html_extract.fitted_weights({"word plain in": 900, "word plain none": 900}, {"word plain out": 30, "word never none": 300})
+    assert html_extract.main_text(page, fitted) == text
+
+
+def test_training_pages_are_those_whose_elements_mark_the_main_text(spark):
+    true = [(f"<div>{P} {i}</div><article><p>{P} {P} {P}</p></article>",) for i in range(6)]
+    false = [(f"<!-- <main> --><div class=post>{P} {i}</div>",) for i in range(40)] + [(f"<aside><article>x</article></aside><p>{P} {i}",) for i in range(40)]
+    want = html_extract.learn_weights(spark.createDataFrame(true, "html string"))
+    assert "word plain out" in want
+    assert html_extract.learn_weights(spark.createDataFrame(true + false, "html string")) == want
+    assert html_extract.learn_weights(spark.createDataFrame(true + false, "html string"), training_pages=6) == want
+    assert html_extract.learn_weights(spark.createDataFrame(false, "html string")) == {}
+
+
 def test_best_run_is_the_maximum():
     rng = random.Random(8)
     for _ in range(300):
