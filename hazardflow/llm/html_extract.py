@@ -49,8 +49,12 @@ HINTS = frozenset("ad ads adv advert advertisement advertising banner breadcrumb
                   "replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
                   "subscription tagcloud toolbar topbar warning widget widgets alert gdpr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that group text blocks.
+GROUPS = frozenset("article body center div fieldset html main section td th".split())
 #: A page is marked if its articles and mains hold this share of its plain words.
 MARKED_SHARE = 0.5
+#: Score of a tag or word that is left out anyway, inside a content element of a page that isn't marked.
+SKIPPED = -0.001
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -77,21 +81,36 @@ def _never_main(name: str, attributes: str) -> bool:
     return False
 
 
-def events(page: str) -> tuple[list[tuple[str, bool, str, int]], bool, int]:
-    """((kind, inside marked main text, text or tag name, words) of each tag and piece of text, is main text marked,
+def events(page: str) -> tuple[list[tuple[str, bool, str, int, bool]], bool, int]:
+    """((kind, inside marked main text, text or tag name, words, skipped) of each tag and piece of text, is main text marked,
     number of articles and mains outside never-main elements).
+
+    Skipped is what stands in a never-main element inside a content element: one that holds at least half of the
+    plain words under it itself, in text blocks, or in child groups without blocks of their own.
     """
     out: list[tuple[str, bool, str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, inside never-main, inside article or main
+    hosts: list[int] = []  # of each event in a never-main element the group around that element, else -1
+    stack: list[tuple[str, bool, bool, int]] = []  # name, inside never-main, inside article or main, group
+    parent, own, parted = [0], [0], [True]  # of each group: the group around it, plain words, holds blocks
     at = marks = 0
 
+    def state() -> tuple[str, bool, bool, int]:
+        return stack[-1] if stack else ("", False, False, 0)
+
+    def add(event: tuple[str, bool, str, int], never: bool, group: int) -> None:
+        out.append(event)
+        hosts.append(group if never else -1)
+
     def text(piece: str) -> None:
         if not piece:
             return
-        name, never, inside = stack[-1] if stack else ("", False, False)
+        name, never, inside, group = state()
         kind = "never" if never else ("heading" if name in HEADINGS else "link" if name == "a" else "plain")
         decoded = html.unescape(piece)
-        out.append((f"word {kind}", inside, decoded, len(decoded.split())))
+        n = len(decoded.split())
+        if kind == "plain":
+            own[group] += n
+        add((f"word {kind}", inside, decoded, n), never, group)
 
     for m in _TOKEN.finditer(page):
         text(page[at: m.start()])
@@ -102,7 +121,8 @@ def events(page: str) -> tuple[list[tuple[str, bool, str, int]], bool, int]:
         known = name if name in BLOCKS or name in VOID or name in INLINE else "other"
         closing = bool(m.group(2))
         if closing:
-            out.append((f"tag {known}", bool(stack) and stack[-1][2], name, 0))
+            _, never, inside, group = state()
+            add((f"tag {known}", inside, name, 0), never, group)
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
                     del stack[depth:]
@@ -115,17 +135,38 @@ def events(page: str) -> tuple[list[tuple[str, bool, str, int]], bool, int]:
                 while stack and (stack[-1][0] == "p" or stack[-1][0] in INLINE or stack[-1][0] in HEADINGS or (
                         stack[-1][0] == name and name in ("li", "td", "th", "tr", "dt", "dd", "option"))):
                     stack.pop()
-            _, never, inside = stack[-1] if stack else ("", False, False)
+            _, never, inside, group = state()
             if name in ("article", "main") and not never:
                 inside = True
                 marks += 1
-            stack.append((name, never or _never_main(name, m.group(4)), inside))
-        out.append((f"tag {known}", bool(stack) and stack[-1][2], name, 0))
+            never = never or _never_main(name, m.group(4))
+            if not never and (name in BLOCKS or "-" in name):
+                parted[group] = True
+                if name in GROUPS or "-" in name:
+                    parent.append(group)
+                    own.append(0)
+                    parted.append(False)
+                    group = len(own) - 1
+            stack.append((name, never, inside, group))
+        _, never, inside, group = state()
+        add((f"tag {known}", inside, name, 0), never, group)
     text(page[at:])
+
+    total, near = list(own), list(own)
+    for g in range(len(own) - 1, 0, -1):
+        total[parent[g]] += total[g]
+        near[parent[g]] += 0 if parted[g] else own[g]
+
+    def in_content(group: int) -> bool:
+        while group and not total[group]:
+            group = parent[group]
+        return 0 < total[group] <= 2 * near[group]
+
+    within = {g: in_content(g) for g in set(hosts) if g >= 0}
     share = [sum(n for kind, inside, _, n in out if kind == "word plain" and inside == side) for side in (False, True)]
     holds = any(n and inside and kind.startswith("word") and kind != "word never" for kind, inside, _, n in out)
     marked = holds and share[True] >= MARKED_SHARE * sum(share)
-    return out, marked, marks
+    return [(*e, within.get(g, False)) for e, g in zip(out, hosts)], marked, marks
 
 
 def feature(kind: str, inside: bool, marked: bool) -> str:
@@ -177,7 +218,10 @@ def main_text(page: str, weights: Mapping[str, float]) -> str:
     seen, marked, _ = events(page)
     known: dict[tuple[str, bool], float] = {}
     scores = []
-    for kind, inside, _, n in seen:
+    for kind, inside, _, n, skipped in seen:
+        if skipped and not marked:
+            scores.append(SKIPPED * max(1, n))
+            continue
         w = known.get((kind, inside))
         if w is None:
             f = feature(kind, inside, marked)
@@ -185,7 +229,7 @@ def main_text(page: str, weights: Mapping[str, float]) -> str:
         scores.append(w if kind.startswith("tag") else w * n)
     begin, end = best_run(scores)
     blocks: list[list[str]] = [[]]
-    for kind, _, piece, _ in seen[begin:end]:
+    for kind, _, piece, _, _ in seen[begin:end]:
         if kind.startswith("tag"):
             if piece in BLOCKS:
                 blocks.append([])
@@ -205,7 +249,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             seen, marked, marks = events(page)
             if not marked or marks != 1:
                 continue
-            for kind, within, _, n in seen:
+            for kind, within, _, n, _ in seen:
                 main = within and kind != "word never"
                 for f in (feature(kind, within, marked), feature(kind, within, False)):  # as if it weren't marked, too
                     (inside if main else outside)[f] += n if kind.startswith("word") else 1

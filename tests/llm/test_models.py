@@ -244,6 +244,20 @@ def test_training_pages_are_those_whose_elements_mark_the_main_text(spark):
     assert html_extract.learn_weights(spark.createDataFrame(false, "html string")) == {}
 
 
+Q = " ".join(f"box{i}" for i in range(100))
+SHORT = "closing words of the text are only eight"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<div class=post><p>{P} {P} {P}</p><div class=newsletter><p>{Q}</p></div><p>{SHORT}</p></div>", f"{P} {P} {P}\n{SHORT}"),
+    (f"<div class=post><p>{SHORT}</p><form>{'<p><select><option>x</select>' * 60}{Q}</form><p>{P} {P}</p></div>", f"{SHORT}\n{P} {P}"),
+    (f"<div class=post><div>{P}</div><div><aside>{Q}</aside></div><div>{SHORT}</div></div>", f"{P}\n{SHORT}"),
+    (f"<div id=page><div class=post><p>{P}</p><p>{P}</p></div><aside>{Q}</aside><div class=legal>all rights</div></div>", f"{P}\n{P}"),
+])
+def test_long_boxes_do_not_cut_short_paragraphs_off_unmarked_pages(page, text):
+    assert html_extract.main_text(page, {}) == text
+
+
 def test_best_run_is_the_maximum():
     rng = random.Random(8)
     for _ in range(300):
