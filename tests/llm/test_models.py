@@ -303,6 +303,35 @@ def test_nearest_neighbours_recall_ties_and_unusable_vectors(spark):
     assert np.mean(shares) >= 0.97
 
 
+def recall(spark, x, checked=20):
+    """Share of the exact ``checked`` nearest (inner product) that the operator finds, over the rows 0, 20, 40.."""
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in ann.nearest(df, F.col("id") % 20 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    shares = []
+    for q in range(0, len(x), 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        shares.append(len(set(np.argsort(-score)[:checked].tolist()) & got[q]) / checked)
+    return np.mean(shares)
+
+
+@pytest.mark.parametrize("length", [1e3, 1e8, 1e-6])
+def test_a_few_very_long_or_short_vectors_do_not_change_the_recall(spark, length):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((1500, 24))
+    x[[7, 300, 777]] *= length
+    assert recall(spark, x) >= 0.97
+
+
+def test_recall_over_many_lengths(spark):
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((2400, 16)) * np.where(np.arange(2400) % 2, 1.0, 30.0)[:, None]
+    x[::100] *= 10.0 ** rng.uniform(-9, 9, (24, 1))
+    assert recall(spark, x) >= 0.97
+
+
 def test_nearest_neighbours_of_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in ann.nearest(df, F.col("id") % 20 == 0).collect()]
