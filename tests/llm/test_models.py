@@ -332,6 +332,37 @@ def test_recall_over_many_lengths(spark):
     assert recall(spark, x) >= 0.97
 
 
+def node_vectors(spark, x):
+    unit = np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros((len(x), 1))], axis=1).astype(np.float16)
+    return spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(unit)], "node long, vec binary").cache()
+
+
+def test_descent_goes_on_until_few_lists_change(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(ann, "written", lambda df, name, write=ann.written: rounds.append(name) or write(df, name))
+    rng = np.random.default_rng(13)
+    nodes = node_vectors(spark, rng.standard_normal((3000, 32)))
+    ann.build_graph(nodes, 3000)
+    assert rounds.count("lists") > 3
+    rounds.clear()
+    ann.build_graph(nodes, 3000, changed=1.0)
+    assert rounds == ["start", "graph"]
+
+
+def test_beam_is_doubled_until_the_probes_find_their_neighbours(spark):
+    x = np.random.default_rng(14).standard_normal((3000, 64))
+    nodes = node_vectors(spark, x)
+    graph = ann.build_graph(nodes, 3000, changed=1.0)  # the first lists only
+    asking = nodes.where("node % 40 = 0").withColumn("starts", F.array("node"))
+
+    def share(beams):
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        return np.mean([len(set(np.argsort(-(unit @ unit[r.node]))[:20].tolist()) & set(r.ids)) / 20 for r in beams.collect()])
+
+    assert share(ann.search(asking, graph, nodes, beam=24, expand=8)) < 0.9
+    assert share(ann.sure_search(asking, graph, nodes, 20, beam=24, expand=8)) >= 0.9
+
+
 def test_nearest_neighbours_of_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in ann.nearest(df, F.col("id") % 20 == 0).collect()]
