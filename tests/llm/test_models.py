@@ -332,6 +332,19 @@ def test_recall_over_many_lengths(spark):
     assert recall(spark, x) >= 0.97
 
 
+def test_repeated_rows_do_not_hide_other_ids_with_their_vector(spark):
+    rows = [(0, [1.0, 0.0])] + [(3, [0.9, 0.1])] * 25 + [(i, [0.9, 0.1]) for i in (40, 60)] + [(7, [0.0, 1.0])] * 3
+    df = spark.createDataFrame([r for r in rows], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.nearest(df, F.col("id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got == {0: [3] * 20, 40: [0] + [3] * 19, 60: [0] + [3] * 19}
+    few = df.where("vec_id <> 3").union(df.where("vec_id = 3").limit(2))
+    assert [r.vec_id for r in ann.nearest(few, F.col("id") == 0).orderBy("rank").collect()] == [3, 3, 40, 60, 7, 7, 7]
+    rows = df.where("vec_id = 3").union(df.where("vec_id in (40, 60)"))
+    assert [r.vec_id for r in ann.nearest(rows, F.col("id") == 3).collect()] == [40, 60]
+
+
 def node_vectors(spark, x):
     unit = np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros((len(x), 1))], axis=1).astype(np.float16)
     return spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(unit)], "node long, vec binary").cache()
