@@ -332,6 +332,11 @@ def test_recall_over_many_lengths(spark):
     assert recall(spark, x) >= 0.97
 
 
+def test_nobody_asks(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0])], "vec_id long, embedding array<float>")
+    assert ann.nearest(df, F.col("id") % 20 == 0).count() == 0
+
+
 def test_repeated_rows_do_not_hide_other_ids_with_their_vector(spark):
     rows = [(0, [1.0, 0.0])] + [(3, [0.9, 0.1])] * 25 + [(i, [0.9, 0.1]) for i in (40, 60)] + [(7, [0.0, 1.0])] * 3
     df = spark.createDataFrame([r for r in rows], "vec_id long, embedding array<double>")
