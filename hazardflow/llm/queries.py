@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, url_filter, warc
+from . import ann, decontaminate, hard_negatives, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, url_filter, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_nearest_neighbours": ann.op8_nearest_neighbours,
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
@@ -23,4 +24,5 @@ SQL = {
     "op6_license_scan": license_scan.SQL,
     "op9_source_mixing": mixing.SQL,
     "op10_decontamination": decontaminate.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
