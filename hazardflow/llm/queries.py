@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, hard_negatives, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, url_filter, warc
+from . import (
+    ann,
+    decontaminate,
+    hard_negatives,
+    html_extract,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality,
+    quality_rules,
+    url_filter,
+    warc,
+    whitening,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +29,8 @@ QUERIES = {
     "op8_nearest_neighbours": ann.op8_nearest_neighbours,
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_quality_rules": quality_rules.op12_quality_rules,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 SQL = {
