@@ -50,11 +50,18 @@ def test_license_templates_meet_their_threshold_only(spark):
 
 
 def test_line_dedup_equals_sql(spark):
-    df = docs(spark, EDGES).dropDuplicates(["doc_id", "text"])  # SQL orders equal ids by text, Spark by hash: keep ids apart
-    df = df.where("doc_id is null or doc_id <> 9")
+    df = docs(spark, EDGES)
     assert spark_rows(line_dedup.drop_repeated_lines(df, report=True)) == duck(line_dedup.SQL, documents=df.select("doc_id", "text"))
 
 
+def test_line_dedup_orders_equal_ids_like_sql_and_reads_texts_of_many_lines(spark):
+    shared = "s1\ns2\ns3\ns4"
+    long = "\n".join(f"line {i % 700}" + ("\n \t" if i % 5 == 0 else "") for i in range(1_500))
+    df = docs(spark, [(i % 3 if i % 4 else None, f"{i}\n{shared}\n\nend {i % 5}") for i in range(40)] + [(1, long), (8, long)])
+    got = spark_rows(line_dedup.drop_repeated_lines(df, report=True))
+    assert got == duck(line_dedup.SQL, documents=df.select("doc_id", "text")) and sum(r[2] > 0 for r in got[1]) > 35
+
+
 def test_line_dedup_merges_overlaps_keeps_columns_and_repeated_rows(spark):
     text = "l1\nl2\nl3\nl4\nl5"
     df = docs(spark, [(1, text), (2, "start\n" + text + "\nend"), (2, "start\n" + text + "\nend"), (3, "l1\nl2\nother")])
