@@ -1,26 +1,31 @@
-"""Gradient boosting with the Cox loss (GB-1, GB-2, GB-4, GB-6).
+"""Gradient boosting with the Cox loss (GB-1..6): least-squares trees on martingale residuals.
 
 Each round: the negative gradient of the Cox partial likelihood at the current score F is the
-martingale residual ``event - exp(F) * H0(T)`` (Breslow H0 with weights exp(F)); a depth-limited
-``pyspark.ml`` regression tree is fitted to it on a hashed subsample, and ``F += lr * tree``.
-The score table's lineage is cut with a reliable checkpoint every few rounds.
+martingale residual ``event - exp(F) * H0(T)`` (Breslow H0 with weights exp(F)); a depth-limited regression
+tree is fitted to it on a hashed subsample, and ``F += lr * tree``.
+
+Rows are binned once, and times get dense positions once, as their order never changes. A round holds its
+residuals in a persisted table; all cuts of one level of a tree come from one ``groupBy(node, feature, bin)``,
+and the best cut of each node (at most 2^depth rows) goes to the driver. A fitted tree is some numbers there;
+scores and attributions are column expressions of them. Lineage is cut by a checkpoint every few rounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardflow.functions.columns import uniform_hash
+from hazardflow.operators.forest import bin_of
+from hazardflow.operators.positions import BLOCK_ROWS, with_position
 from hazardflow.operators.scan import prefix_scan, value_edges
 from hazardflow.session import cut_lineage
 
+BINS = 64
+
 
 def breslow_on_score(df: DataFrame, *, score_col: str = "score", time_col: str = "duration",
                      event_col: str = "event", edges=None) -> DataFrame:
@@ -46,67 +51,192 @@ def martingale_residuals(df: DataFrame, *, score_col: str = "score", time_col: s
                         - F.exp(F.col(score_col)) * F.coalesce(F.col("cum_hazard"), F.lit(0.0))).drop("cum_hazard")
 
 
+@dataclass
+class Node:
+    """A node of a fitted tree: mean residual and rows in the sample; a cut if it was split."""
+
+    value: float
+    rows: int
+    feature: int = -1
+    bin: int = -1
+    threshold: float = 0.0
+    gain: float = 0.0
+
+
+Tree = dict[int, Node]  # root 1; children of k are 2k (at most the threshold) and 2k + 1
+
+
+def tree_case(tree: Tree, column: Callable[[int], str], leaf: Callable[[int], float], at: int = 1, cut: str = "threshold") -> str:
+    """SQL of a value for each leaf; a missing feature goes left, as in training rows are complete."""
+    node = tree[at]
+    if node.feature < 0:
+        return f"{leaf(at)!r}D"
+    left, right = (tree_case(tree, column, leaf, 2 * at + side, cut) for side in (0, 1))
+    edge = f"{node.threshold!r}D" if cut == "threshold" else str(node.bin)
+    return f"CASE WHEN {column(node.feature)} > {edge} THEN {right} ELSE {left} END"
+
+
+def path_steps(tree: Tree, leaf: int, feature: int) -> float:
+    """Sum of the changes of the node mean on the way to ``leaf`` at cuts on ``feature``."""
+    total, at = 0.0, leaf
+    while at > 1:
+        if tree[at // 2].feature == feature:
+            total += tree[at].value - tree[at // 2].value
+        at //= 2
+    return total
+
+
 @dataclass
 class BoostedCox:
     features: list[str]
     learning_rate: float
-    trees: list = field(default_factory=list)
-    losses: list = field(default_factory=list)
+    trees: list[Tree] = field(default_factory=list)
+
+    def _sum(self, leaf_of_tree: Callable[[Tree], Callable[[int], float]]) -> str:
+        column = lambda f: f"double(`{self.features[f]}`)"
+        parts = [tree_case(t, column, leaf_of_tree(t)) for t in self.trees]
+        return f"{self.learning_rate!r}D * ({' + '.join(parts) or '0D'})"
+
+    @property
+    def base(self) -> float:
+        """Score before any cut: what attributions add to."""
+        return self.learning_rate * sum(t[1].value for t in self.trees)
 
     def score(self, df: DataFrame, out_col: str = "score") -> DataFrame:
-        """Score = lr * sum of tree predictions (trees applied as broadcast models, row-local)."""
-        assembled = VectorAssembler(inputCols=self.features, outputCol="_fv",
-                                    handleInvalid="keep").transform(df)
-        score = F.lit(0.0)
-        for i, tree in enumerate(self.trees):
-            assembled = tree.setPredictionCol(f"_p{i}").setFeaturesCol("_fv").transform(assembled)
-            score = score + F.lit(self.learning_rate) * F.col(f"_p{i}")
-        return assembled.select(*df.columns, score.alias(out_col))
+        """Adds the score, learning rate x sum of tree values: a column expression of the fitted numbers."""
+        return df.select("*", F.expr(self._sum(lambda t: lambda k: t[k].value)).alias(out_col))
+
+    def attributions(self, df: DataFrame, id_col: str = "subject_id") -> DataFrame:
+        """GB-5: (id, base, one ``phi_<feature>`` each, score); base + sum of phi = score for every row."""
+        phi = [F.expr(self._sum(lambda t, f=i: lambda k: path_steps(t, k, f))).alias(f"phi_{name}")
+               for i, name in enumerate(self.features)]
+        return self.score(df, "_score").select(id_col, F.lit(self.base).alias("base"), *phi, F.col("_score").alias("score"))
+
+    def attribution_summary(self, df: DataFrame) -> DataFrame:
+        """GB-5: (feature, mean_abs), the mean absolute attribution over all rows, largest first."""
+        names = F.array(*[F.struct(F.lit(f).alias("feature"), F.abs(f"phi_{f}").alias("v")) for f in self.features])
+        return self.attributions(df, df.columns[0]).select(F.inline(names)).groupBy("feature").agg(
+            F.avg("v").alias("mean_abs")).orderBy(F.desc("mean_abs"), "feature")
 
     def feature_importance(self) -> list[tuple[str, float]]:
-        """GB-4: mean impurity importance over trees, descending."""
-        if not self.trees:
-            return []
-        imp = np.mean([t.featureImportances.toArray() for t in self.trees], axis=0)
-        return sorted(zip(self.features, imp.tolist()), key=lambda kv: -kv[1])
+        """GB-4: share of the squared-error decrease of all trees that cuts on a feature made, descending."""
+        gain = [0.0] * len(self.features)
+        for t in self.trees:
+            for node in t.values():
+                if node.feature >= 0:
+                    gain[node.feature] += node.gain
+        total = sum(gain) or 1.0
+        return sorted(((f, g / total) for f, g in zip(self.features, gain)), key=lambda kv: (-kv[1], kv[0]))
+
+
+def best_mean_splits(rows: DataFrame, *, min_split: int = 10, min_leaf: int = 5) -> DataFrame:
+    """(node, feature, bin, gain, n, s, n_left, s_left): the cut of each node that lowers the squared error most.
+
+    ``rows``: (node, bins, residual). Ties go to the lesser feature, then the lesser bin. Nodes of fewer than
+    ``min_split`` rows, and cuts with fewer than ``min_leaf`` rows on a side, are left out.
+    """
+    cells = rows.select("node", "residual", F.posexplode("bins").alias("feature", "bin")).groupBy("node", "feature", "bin").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("residual").alias("r")).coalesce(1)  # nodes x features x bins rows, by parameters
+    whole = "OVER (PARTITION BY node, feature)"
+    upto = "OVER (PARTITION BY node, feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    cuts = cells.selectExpr("node", "feature", "bin", f"sum(c) {whole} AS n", f"sum(r) {whole} AS s",
+                            f"sum(c) {upto} AS n_left", f"sum(r) {upto} AS s_left")
+    cuts = cuts.where((F.col("n") >= min_split) & (F.col("n_left") >= min_leaf) & (F.col("n") - F.col("n_left") >= min_leaf))
+    scored = cuts.withColumn("gain", F.expr(
+        "round(n_left * (n - n_left) / double(n) * power(s_left / n_left - (s - s_left) / (n - n_left), 2), 12)")).where("gain > 0")
+    best = scored.groupBy("node").agg(F.max(F.struct("gain", F.expr("-feature AS f"), F.expr("-bin AS b"), "n", "s", "n_left", "s_left")).alias("m"))
+    return best.selectExpr("node", "-m.f AS feature", "-m.b AS bin", "m.gain AS gain", "m.n AS n", "m.s AS s",
+                           "m.n_left AS n_left", "m.s_left AS s_left")
+
+
+def _fit_tree(rows: DataFrame, edges: Sequence[Sequence[float]], max_depth: int, min_split: int, min_leaf: int) -> Tree:
+    """A regression tree on (bins, residual) rows: one job a level."""
+    at = rows.select(F.lit(1).cast("long").alias("node"), "bins", "residual")
+    tree: Tree = {}
+    for level in range(max_depth):
+        found = best_mean_splits(at, min_split=min_split, min_leaf=min_leaf).collect()  # at most 2^level rows
+        if not found:
+            break
+        for r in found:
+            k, right = r["node"], r["n"] - r["n_left"]
+            tree.setdefault(k, Node(r["s"] / r["n"], r["n"]))
+            tree[k].feature, tree[k].bin, tree[k].gain = r["feature"], r["bin"], r["gain"]
+            tree[k].threshold = float(edges[r["feature"]][r["bin"]])
+            tree[2 * k] = Node(r["s_left"] / r["n_left"], r["n_left"])
+            tree[2 * k + 1] = Node((r["s"] - r["s_left"]) / right, right)
+        move = " ".join(f"WHEN {r['node']} THEN {2 * r['node']} + int(bins[{r['feature']}] > {r['bin']})" for r in found)
+        at = at.where(F.col("node").isin([r["node"] for r in found])).withColumn("node", F.expr(f"bigint(CASE node {move} END)"))
+    if not tree:
+        total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("residual").alias("s")).first()
+        tree[1] = Node((total["s"] or 0.0) / max(total["n"], 1), total["n"])
+    return tree
+
+
+def _with_residual(rows: DataFrame) -> DataFrame:
+    """Martingale residuals of (event, pos, blk, score) rows: ``pos`` is the dense position of the time, ``blk`` its block.
+
+    At risk is a sum over later positions, the hazard one over earlier ones; both are windows inside a block
+    plus the totals of the blocks on one side, on one partitioning by block.
+    """
+    per = rows.groupBy("blk", "pos").agg(F.sum(F.exp("score")).alias("w"), F.sum("event").alias("d"))
+    beyond = "OVER (ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"  # over one row a block
+
+    def block_offsets(df: DataFrame, col: str, order: str) -> DataFrame:
+        return df.groupBy("blk").agg(F.sum(col).alias("t")).coalesce(1).selectExpr("blk", f"coalesce(sum(t) {beyond.format(order)}, 0D) AS off")
+
+    inside = "OVER (PARTITION BY blk ORDER BY pos {} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    hazard = per.join(block_offsets(per, "w", "blk DESC"), "blk").selectExpr(
+        "blk", "pos", f"d / greatest(off + sum(w) {inside.format('DESC')}, 1e-300D) AS h")
+    summed = hazard.join(block_offsets(hazard, "h", "blk"), "blk").selectExpr(
+        "pos AS _pos", f"off + sum(h) {inside.format('ASC')} AS cum_hazard")
+    return rows.join(summed, F.col("pos") == F.col("_pos")).withColumn(
+        "residual", F.col("event") - F.exp("score") * F.col("cum_hazard")).drop("cum_hazard", "_pos")
 
 
 def fit_boosted_cox(df: DataFrame, features: Sequence[str], *, n_estimators: int = 100,
-                    max_depth: int = 3, learning_rate: float = 0.1, subsample: float = 0.8,
-                    min_samples_leaf: int = 5, seed: int = 42, id_col: str = "subject_id",
-                    time_col: str = "duration", event_col: str = "event",
-                    checkpoint_every: int = 5) -> BoostedCox:
-    """GB-1 (min_samples_split is approximated by the per-child minimum ``min_samples_leaf``)."""
+                    max_depth: int = 3, learning_rate: float = 0.1, subsample: float = 0.8, min_samples_split: int = 10,
+                    min_samples_leaf: int = 5, seed: int = 42, id_col: str = "subject_id", bins: int = BINS,
+                    time_col: str = "duration", event_col: str = "event", checkpoint_every: int = 10) -> BoostedCox:
+    """GB-1: boost ``n_estimators`` trees on rows without missing values."""
     features = list(features)
-    base = df.select(id_col, time_col, event_col, *features).dropna()
-    base = VectorAssembler(inputCols=features, outputCol="_fv").transform(base)
-    cur = cut_lineage(base.withColumn("score", F.lit(0.0)))
-    edges = value_edges(cur, time_col, 16)
-    model = BoostedCox(features, learning_rate)
+    base = cut_lineage(df.select(F.col(id_col).alias("id"), F.col(time_col).cast("double").alias("time"),
+                                 (F.col(event_col) > 0).cast("int").alias("event"), *[F.col(f).cast("double") for f in features]).dropna())
+    edges = [value_edges(base, f, bins) for f in features]
+    times = with_position(base.select("time").distinct(), ["time"], "pos")
+    cur = cut_lineage(base.join(times, "time").select(
+        "id", "event", "pos", F.expr(f"pos div {BLOCK_ROWS} AS blk"), F.array(*[bin_of(F.col(f), e) for f, e in zip(features, edges)]).alias("bins"), F.lit(0.0).alias("score")))
+    model, start = BoostedCox(features, learning_rate), 0
     for r in range(n_estimators):
-        res = martingale_residuals(cur, time_col=time_col, event_col=event_col, edges=edges)
-        sample = res.where(uniform_hash(F.col(id_col), seed * 1000 + r) < subsample)
-        tree = DecisionTreeRegressor(featuresCol="_fv", labelCol="residual", predictionCol="_pred",
-                                     maxDepth=max_depth, minInstancesPerNode=min_samples_leaf,
-                                     seed=seed + r).fit(sample)
-        model.trees.append(tree)
-        nxt = tree.transform(cur).withColumn("score", F.col("score") + F.lit(learning_rate) * F.col("_pred"))
-        cur = nxt.drop("_pred")
-        if (r + 1) % checkpoint_every == 0 or r + 1 == n_estimators:
-            cur = cut_lineage(cur)
+        # scores since the last checkpoint are an expression, so that no round's plan holds another's
+        steps = [tree_case(t, lambda f: f"bins[{f}]", lambda k, t=t: t[k].value, cut="bin") for t in model.trees[start:]]
+        scored = cur.withColumn("score", F.expr(f"score + {learning_rate!r}D * ({' + '.join(steps) or '0D'})"))
+        if len(steps) >= checkpoint_every:
+            cur, start = cut_lineage(scored), r
+            scored = cur
+        rows = _with_residual(scored).persist()
+        model.trees.append(_fit_tree(rows.where(uniform_hash(F.col("id"), seed * 1000 + r) < subsample), edges, max_depth,
+                                     min_samples_split, min_samples_leaf))
+        rows.unpersist()
     return model
 
 
+def hazard_at(model: BoostedCox, train: DataFrame, times: Sequence[float], *, time_col: str = "duration",
+              event_col: str = "event") -> list[float]:
+    """Breslow cumulative hazard of ``train`` at a few times, which are clipped to the range of its curve."""
+    h0 = breslow_on_score(model.score(train, "_score"), score_col="_score", time_col=time_col, event_col=event_col)
+    span = train.agg(F.min(F.col(time_col).cast("double")).alias("a"), F.max(F.col(time_col).cast("double")).alias("b")).first()
+    clipped = [min(max(float(t), span["a"]), span["b"]) for t in times]
+    at = h0.agg(*[F.max_by("cum_hazard", F.when(F.col("time") <= t, F.col("time"))).alias(f"h{k}") for k, t in enumerate(clipped)]).first()
+    return [float(at[f"h{k}"] or 0.0) for k in range(len(clipped))]
+
+
 def predict_survival(model: BoostedCox, train: DataFrame, df: DataFrame, times: Sequence[float], *,
                      id_col: str = "subject_id", time_col: str = "duration", event_col: str = "event") -> DataFrame:
     """GB-6: ``(id, time, survival)`` at a few times, ``exp(-H0(t) exp(score))`` with the Breslow hazard of ``train``."""
-    h0 = breslow_on_score(model.score(train), score_col="score", time_col=time_col, event_col=event_col)
-    asked = F.explode(F.array(*[F.lit(float(t)) for t in times])).alias("q")
-    at = {r["q"]: r["h"] or 0.0 for r in h0.select("time", "cum_hazard", asked).groupBy("q").agg(
-        F.max_by("cum_hazard", F.when(F.col("time") <= F.col("q"), F.col("time"))).alias("h")).collect()}
-    rows = F.array(*[F.struct(F.lit(float(t)).alias("time"), F.exp(-F.lit(float(at.get(float(t), 0.0))) * F.exp("score")).alias("survival"))
-                     for t in times])
-    return model.score(df).select(id_col, F.inline(rows))
+    hazards = hazard_at(model, train, times, time_col=time_col, event_col=event_col)
+    rows = F.array(*[F.struct(F.lit(float(t)).alias("time"), F.exp(-F.lit(h) * F.exp("_score")).alias("survival"))
+                     for t, h in zip(times, hazards)])
+    return model.score(df, "_score").select(id_col, F.inline(rows))
 
 
 def tune_and_fit(train: DataFrame, val: DataFrame, features: Sequence[str], grid: Sequence[dict], *,

@@ -1,191 +1,113 @@
-"""Exact Harrell C-index without a pair join (EV-1).
+"""Exact Harrell C-index without a pair join, for one scorer or many at a time (EV-1).
 
 Comparable pair: subject i has the event and j is later (``t_j > t_i``, or ``t_j = t_i`` and j is
-censored). Concordant when ``r_i > r_j``, tied risk counts 1/2. Order rows by the key
-``(t, censored)``: j is comparable to event i exactly when ``key_j > key_i``.
-
-Distinct (time, censored, risk) rows are cut into time blocks ``a`` and risk blocks ``b`` (value
-blocks from quantile edges; an edge value is a block of its own, so a hot value never makes a big
-mixed block). A pair is counted by whichever piece sees it:
-
-* different time block and different risk block: counts of the small (a, b) grid (driver);
-* later time block, same risk block: a local merge-count per risk block (``applyInPandas``);
-  for a single-valued risk block every such pair is a tie, counted from the grid;
-* same time block: a local merge-count per time block; for a single-valued time block the only
-  comparable pairs are event vs censored at that time, counted from the grid across risk blocks
-  and per (a, b) cell within one.
-
-Local groups hold the distinct rows strictly between two neighbouring edges, so no task holds a
-hot value's rows.
+censored). Concordant when ``r_i > r_j``, tied risk counts 1/2. Order rows by the key ``(t, censored)``: j is
+comparable to event i exactly when ``key_j > key_i``.
+
+Distinct (time, censored, risk) rows get dense positions p by (key, risk) and s by (risk, p). Concordant pairs
+are then those with ``p_j > p_i`` and smaller risk: within one key the order by risk rules them out. Positions
+form a tree of fan ``FAN``; two rows meet as different children of exactly one node. In each node, rows in the
+order of s see how many rows of later children came before them: those have smaller risk, as equal risks
+stand in the order of p. Small nodes are one window each; a large node is cut into blocks of s, whose counts
+are added from a table of one row a block. No window holds more than ``block_rows`` rows, whatever is tied.
+
+Pairs of equal risk and all comparable pairs follow from running counts over s and p alone. Counts are exact
+(decimals of 38 digits). Keys (for instance feature and repeat of a permutation) share one run.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardflow.operators.scan import block_of, default_blocks, value_edges
-
-
-# ---------------------------------------------------------------- local kernels (numpy)
-
-def weighted_inversions(rank: np.ndarray, ev: np.ndarray, cnt: np.ndarray) -> float:
-    """``sum_{p<q, rank_q < rank_p} ev_p * cnt_q`` by a bottom-up vectorised merge count."""
-    n = len(rank)
-    if n < 2:
-        return 0.0
-    m = int(rank.max()) + 1
-    idx = np.arange(n, dtype=np.int64)
-    r = rank.astype(np.int64).copy()
-    e = ev.astype(np.float64).copy()
-    c = cnt.astype(np.float64).copy()
-    total = 0.0
-    s = 1
-    while s < n:
-        pair = idx // (2 * s)
-        left = ((idx // s) % 2) == 0
-        lk = pair[left] * m + r[left]
-        cum = np.concatenate([[0.0], np.cumsum(e[left])])
-        right = ~left
-        pq, rq = pair[right], r[right]
-        end = np.searchsorted(lk, pq * m + (m - 1), side="right")
-        upto = np.searchsorted(lk, pq * m + rq, side="right")
-        total += float(np.sum(c[right] * (cum[end] - cum[upto])))
-        order = np.lexsort((r, pair))
-        r, e, c = r[order], e[order], c[order]
-        s *= 2
-    return total
-
-
-def pair_counts(order: np.ndarray, risk: np.ndarray, ev: np.ndarray, cnt: np.ndarray) -> tuple[float, float]:
-    """Pairs (i, j) with ``order_j > order_i``: weights ``ev_i * cnt_j``; returns (r_j < r_i, r_j == r_i)."""
-    if len(order) == 0:
-        return 0.0, 0.0
-    pdf = pd.DataFrame({"o": order, "r": risk, "e": ev, "c": cnt})
-    pdf = pdf.groupby(["o", "r"], as_index=False, sort=True).agg(e=("e", "sum"), c=("c", "sum"))
-    rank = pd.factorize(pdf["r"], sort=True)[0]
-    conc = weighted_inversions(rank, pdf["e"].to_numpy(), pdf["c"].to_numpy())
-    # ties: same risk, later order (rows are unique per (order, risk) and sorted by order)
-    before = pdf.groupby("r", sort=False)["e"].cumsum() - pdf["e"]
-    ties = float((pdf["c"] * before).sum())
-    return conc, ties
-
-
-def _kernel(order_of):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        conc, ties = pair_counts(order_of(pdf), pdf["r"].to_numpy(),
-                                 pdf["ev"].to_numpy(), pdf["cnt"].to_numpy())
-        return pd.DataFrame({"conc": [conc], "ties": [ties]})
-    return run
-
-
-def _by_block(pdf: pd.DataFrame) -> np.ndarray:
-    return pdf["a"].to_numpy()
-
-
-def _by_key(pdf: pd.DataFrame) -> np.ndarray:
-    """Dense rank of the key (t, censored) inside one time block."""
-    return pd.MultiIndex.from_arrays([pdf["t"], pdf["c"]]).factorize(sort=True)[0]
-
-
-def _by_censoring(pdf: pd.DataFrame) -> np.ndarray:
-    return pdf["c"].to_numpy()
-
-
-# ---------------------------------------------------------------- grid (driver, bounded)
-
-def _grid_counts(cells: list, ) -> tuple[float, float]:
-    """Grid part: pairs across time blocks and risk blocks, plus singleton-block cases."""
-    if not cells:
-        return 0.0, 0.0
-    a_ids = sorted({r["a"] for r in cells})
-    b_ids = sorted({r["b"] for r in cells})
-    ai = {a: i for i, a in enumerate(a_ids)}
-    bi = {b: i for i, b in enumerate(b_ids)}
-    G = np.zeros((len(a_ids), len(b_ids)))
-    E = np.zeros_like(G)
-    Cn = np.zeros_like(G)
-    for r in cells:
-        i, j = ai[r["a"]], bi[r["b"]]
-        G[i, j] += r["cnt"]
-        E[i, j] += r["ev"]
-        Cn[i, j] += r["cens"]
-    # S[a, b] = sum over a' > a, b' < b of G
-    later = np.flipud(np.cumsum(np.flipud(G), axis=0)) - G          # a' >= a minus own -> a' > a
-    later_lower = np.cumsum(later, axis=1) - later                    # b' < b
-    conc = float(np.sum(E * later_lower))
-    ties = 0.0
-    a_single = np.array([a % 2 == 1 for a in a_ids])
-    b_single = np.array([b % 2 == 1 for b in b_ids])
-    # later time block, same single-valued risk block: all ties
-    ties += float(np.sum((E * later)[:, b_single]))
-    # single-valued time block: event vs censored at the same time
-    cn_lower = np.cumsum(Cn, axis=1) - Cn
-    conc += float(np.sum((E * cn_lower)[a_single, :]))
-    ties += float(np.sum((E * Cn)[np.ix_(a_single, b_single)]))
-    return conc, ties
-
-
-# ---------------------------------------------------------------- public
+from hazardflow.operators.positions import BLOCK_ROWS, running, with_position
+
+FAN = 4
+_COUNT = "decimal(38,0)"
+
+
+def _times(a: Column, b: Column) -> Column:
+    """Exact product of two counts."""
+    return (a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast(_COUNT)
+
+
+def _later_smaller(rows: DataFrame, keys: Sequence[str], n: int, block_rows: int) -> DataFrame:
+    """(keys, conc): parts of the number of pairs with a later position and a smaller risk."""
+    levels = 1
+    while FAN ** levels < n:
+        levels += 1
+    k = "".join(f"`{c}`, " for c in keys)
+    steps = ", ".join(f"named_struct('level', {v}, 'step', {FAN ** v}L)" for v in range(levels))
+    at = rows.selectExpr(*(f"`{c}`" for c in keys), "p", "s", "cnt", "ev", f"explode(array({steps})) AS l").selectExpr(
+        *(f"`{c}`" for c in keys), "s", "cnt", "ev", "l.level AS level", f"p div (l.step * {FAN}) AS node", f"(p div l.step) % {FAN} AS child",
+        f"IF(l.step * {FAN} <= {block_rows}, 0L, s div {block_rows}) AS block")
+    over = f"OVER (PARTITION BY {k}level, node, block ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    later = " + ".join(f"IF(child < {b}, sum(IF(child = {b}, cnt, 0)) {over}, 0)" for b in range(1, FAN))
+    near = at.select(*keys, "ev", F.expr(f"{later} AS seen")).where("ev > 0").select(*keys, _times(F.col("ev"), F.col("seen")).alias("conc"))
+    # large nodes: rows of earlier blocks
+    totals = at.where(f"power({FAN}, level + 1) > {block_rows}").groupBy(*keys, "level", "node", "block").agg(
+        *[F.expr(f"sum(IF(child = {b}, cnt, 0)) AS c{b}") for b in range(1, FAN)],
+        *[F.expr(f"sum(IF(child = {a}, ev, 0)) AS e{a}") for a in range(FAN - 1)])
+    before = f"OVER (PARTITION BY {k}level, node ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    far = totals.selectExpr("*", *[f"coalesce(sum(c{b}) {before}, 0) AS b{b}" for b in range(1, FAN)])
+    number = lambda e: f"CAST({e} AS DECIMAL(19, 0))"
+    pairs = " + ".join(f"CAST({number(f'e{a}')} * {number(' + '.join(f'b{b}' for b in range(a + 1, FAN)))} AS DECIMAL(38, 0))"
+                       for a in range(FAN - 1))
+    return near.unionByName(far.select(*keys, F.expr(f"CAST({pairs} AS DECIMAL(38, 0)) AS conc"))) if FAN ** levels > block_rows else near
+
+
+def concordance_by(df: DataFrame, keys: Sequence[str] = (), *, time_col: str = "duration", event_col: str = "event",
+                   risk_col: str = "risk", n_blocks: int | None = None) -> DataFrame:
+    """(keys, comparable, concordant, tied_risk, c_index): one row a key; NULL keys are a key of their own.
+
+    Rows with a missing time, event or risk take no part. Without comparable pairs the index is NaN.
+    ``n_blocks`` cuts large nodes into that many blocks; the result doesn't depend on it.
+    """
+    keys = list(keys)
+    t, r = F.col(time_col).cast("double"), F.col(risk_col).cast("double")
+    known = df.where(t.isNotNull() & F.col(event_col).isNotNull() & r.isNotNull() & ~F.isnan(t) & ~F.isnan(r))
+    rows = known.groupBy(*keys, (t + 0.0).alias("t"), (F.col(event_col) <= 0).cast("int").alias("c"), (r + 0.0).alias("r")).agg(
+        F.count(F.lit(1)).alias("cnt")).withColumn("ev", F.when(F.col("c") == 0, F.col("cnt")).otherwise(0))
+    rows = with_position(rows, [*keys, "t", "c", "r"], "p")
+    rows = with_position(rows, [*keys, "r", "p"], "s")  # checkpointed: what follows reads it, not the input
+    n = rows.count()
+    block_rows = -(-n // n_blocks) if n_blocks else BLOCK_ROWS
+    block_rows = max(block_rows, FAN)
+    zero = F.lit(0).cast(_COUNT)
+    pairs = _later_smaller(rows, keys, n, block_rows).select(*keys, "conc", zero.alias("tied"), zero.alias("comp"))
+    # of a risk's rows, those after row i in s: all up to the risk's last row, less those up to i
+    by_s = running(rows, "s", {"upto": "cnt"}, block_rows)
+    last = by_s.groupBy(*keys, "r").agg(F.max("upto").alias("last"), F.sum("ev").alias("ev")).select(
+        *keys, zero.alias("conc"), _times(F.col("last"), F.col("ev")).alias("tied"), zero.alias("comp"))
+    own = by_s.where("ev > 0").select(*keys, zero.alias("conc"), (-_times(F.col("upto"), F.col("ev"))).cast(_COUNT).alias("tied"),
+                                      zero.alias("comp"))
+    # of a key's rows, those after all events of one time
+    by_p = running(rows, "p", {"upto": "cnt"}, block_rows)
+    ends = by_p.groupBy(*keys).agg(F.max("upto").alias("last"), F.sum("ev").alias("ev")).select(
+        *keys, zero.alias("conc"), zero.alias("tied"), _times(F.col("last"), F.col("ev")).alias("comp"))
+    spent = by_p.where("c = 0").groupBy(*keys, "t").agg(F.max("upto").alias("last"), F.sum("ev").alias("ev")).select(
+        *keys, zero.alias("conc"), zero.alias("tied"), (-_times(F.col("last"), F.col("ev"))).cast(_COUNT).alias("comp"))
+    both = pairs.unionByName(last).unionByName(own).unionByName(ends).unionByName(spent)
+    total = both.groupBy(*keys).agg(F.sum("comp").alias("comparable"), F.sum("conc").alias("concordant"),
+                                    F.sum("tied").alias("tied_risk"))
+    index = F.when(F.col("comparable") > 0, (F.col("concordant").cast("double") + 0.5 * F.col("tied_risk").cast("double"))
+                   / F.col("comparable").cast("double")).otherwise(F.lit(float("nan")))
+    out = total.withColumn("c_index", index)
+    if not keys:
+        out = out.select(*[F.coalesce(c, zero).alias(c) for c in ("comparable", "concordant", "tied_risk")],
+                         F.coalesce("c_index", F.lit(float("nan"))).alias("c_index"))
+    return out
+
 
 def concordance(df: DataFrame, *, time_col: str = "duration", event_col: str = "event",
                 risk_col: str = "risk", n_blocks: int | None = None) -> dict:
     """Harrell's C: ``{c_index, concordant, tied_risk, comparable}`` (exact equality for ties)."""
-    t, r = F.col(time_col).cast("double"), F.col(risk_col).cast("double")
-    base = df.where(t.isNotNull() & F.col(event_col).isNotNull() & r.isNotNull() & ~F.isnan(t) & ~F.isnan(r)).select(
-        F.col(time_col).cast("double").alias("t"),
-        (F.col(event_col) > 0).cast("int").alias("e"),
-        F.col(risk_col).cast("double").alias("r"))
-    rows = base.groupBy("t", "e", "r").agg(F.count(F.lit(1)).alias("cnt"))
-    rows = rows.persist()
-    try:
-        nb = n_blocks or default_blocks(df)
-        t_edges = value_edges(rows, "t", nb)
-        r_edges = value_edges(rows, "r", nb)
-        cell = rows.select(
-            "t", "r", (F.lit(1) - F.col("e")).alias("c"),
-            block_of(F.col("t"), t_edges).alias("a"), block_of(F.col("r"), r_edges).alias("b"),
-            F.col("cnt").cast("double").alias("cnt"),
-            (F.col("cnt") * F.col("e")).cast("double").alias("ev"))
-        cells = cell.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.sum("ev").alias("ev"),
-                                           F.sum(F.col("cnt") - F.col("ev")).alias("cens")).collect()
-        conc, ties = _grid_counts(cells)
-        schema = "conc double, ties double"
-        # same risk block (multi-valued), later time block
-        k1 = (cell.where(F.col("b") % 2 == 0).groupBy("b")
-              .applyInPandas(_kernel(_by_block), schema))
-        # same time block (multi-valued): order by the key (t, censored)
-        k2 = cell.where(F.col("a") % 2 == 0).groupBy("a").applyInPandas(_kernel(_by_key), schema)
-        # single-valued time block, multi-valued risk block: event vs censored at one time
-        k3 = (cell.where((F.col("a") % 2 == 1) & (F.col("b") % 2 == 0))
-              .groupBy("a", "b").applyInPandas(_kernel(_by_censoring), schema))
-        loc = k1.unionByName(k2).unionByName(k3).agg(F.sum("conc"), F.sum("ties")).collect()[0]
-        conc += loc[0] or 0.0
-        ties += loc[1] or 0.0
-        comparable = comparable_pairs(rows)
-    finally:
-        rows.unpersist()
-    c = (conc + 0.5 * ties) / comparable if comparable > 0 else float("nan")
-    return {"c_index": c, "concordant": conc, "tied_risk": ties, "comparable": comparable}
-
-
-def comparable_pairs(rows: DataFrame) -> float:
-    """``sum_t d(t) * (#{t_j > t} + censored at t)`` from per-time counts and a descending scan."""
-    from hazardflow.operators.scan import prefix_scan
-
-    per = rows.groupBy("t").agg(F.sum("cnt").alias("n"),
-                                F.sum(F.col("cnt") * F.col("e")).alias("d"))
-    sc = prefix_scan(per, [], "t", {"ge": "n"}, descending=True)
-    d, later = F.col("d").cast("decimal(19,0)"), (F.col("ge") - F.col("d")).cast("decimal(19,0)")
-    return float(sc.agg(F.sum((d * later).cast("decimal(38,0)")))
-                 .collect()[0][0] or 0.0)
+    r = concordance_by(df, time_col=time_col, event_col=event_col, risk_col=risk_col, n_blocks=n_blocks).first()
+    return {"c_index": r["c_index"], **{k: int(r[k]) for k in ("concordant", "tied_risk", "comparable")}}
 
 
 def concordance_table(df: DataFrame, **kw) -> DataFrame:
-    res = concordance(df, **kw)
-    return df.sparkSession.createDataFrame(
-        [(float(res["comparable"]), float(res["concordant"]), float(res["tied_risk"]),
-          float(res["c_index"]))],
-        "comparable double, concordant double, tied_risk double, c_index double")
+    out = concordance_by(df, **kw)
+    return out.select(*[F.col(c).cast("double").alias(c) for c in ("comparable", "concordant", "tied_risk", "c_index")])

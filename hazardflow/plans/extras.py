@@ -142,7 +142,8 @@ def _importance_sql() -> str:
             ctes.append(f"""{f}_{r} AS (SELECT d.duration, d.event, {expr} AS r FROM d JOIN (SELECT {f} AS val,
               row_number() OVER (ORDER BY md5('42:{r}:' || subject_id::VARCHAR)[1:12], subject_id) AS k FROM d) v ON d.k = v.k)""")
     rows = [f"SELECT '{f}' AS feature, {r6(c('base'), 'baseline')}, "
-            f"{r6(f'(2 * {c('base')} - {c(f'{f}_0')} - {c(f'{f}_1')}) / 2', 'importance')}, 2 AS repeats" for f in ("x1", "x2")]
+            f"{r6(f'(2 * {c('base')} - {c(f'{f}_0')} - {c(f'{f}_1')}) / 2', 'importance')}, "
+            f"{r6(f'abs({c(f'{f}_0')} - {c(f'{f}_1')}) / 2', 'importance_std')}, 2 AS repeats" for f in ("x1", "x2")]
     return with_cohort("custlife", " UNION ALL ".join(rows), *ctes)
 
 

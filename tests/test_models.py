@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from hazardflow.operators import cox
-from hazardflow.operators.concordance import concordance, pair_counts, weighted_inversions
+from hazardflow.operators.concordance import concordance, concordance_by
 
 
 def _efron_np(T, E, Z, beta):
@@ -74,17 +74,35 @@ def test_predictions_consistent(cox_data):
         assert med[sid] == expect
 
 
-def test_merge_count_kernel():
-    rng = np.random.default_rng(1)
-    for _ in range(100):
-        n = int(rng.integers(1, 30))
-        rank = rng.integers(0, 5, n); ev = rng.integers(0, 3, n); cnt = rng.integers(1, 4, n)
-        bf = sum(ev[p] * cnt[q] for p in range(n) for q in range(p + 1, n) if rank[q] < rank[p])
-        assert weighted_inversions(rank, ev, cnt) == pytest.approx(bf)
-        o = rng.integers(0, 4, n); r = rng.integers(0, 3, n).astype(float)
-        c = sum(ev[i] * cnt[j] for i in range(n) for j in range(n) if o[j] > o[i] and r[j] < r[i])
-        t = sum(ev[i] * cnt[j] for i in range(n) for j in range(n) if o[j] > o[i] and r[j] == r[i])
-        assert pair_counts(o, r, ev, cnt) == pytest.approx((c, t))
+def _pairs(t, e, r):
+    conc = ties = comp = 0
+    for i in range(len(t)):
+        if e[i]:
+            later = (t > t[i]) | ((t == t[i]) & (e == 0))
+            comp += int(later.sum()); conc += int((later & (r < r[i])).sum()); ties += int((later & (r == r[i])).sum())
+    return conc, ties, comp
+
+
+@pytest.mark.parametrize("blocks", [None, 4, 64, 1024])
+def test_keyed_cindex_does_not_depend_on_blocks(spark, blocks):
+    rng = np.random.default_rng(3)
+    n = 400
+    t = rng.integers(0, 30, n).astype(float); r = rng.integers(-5, 6, n).astype(float); e = (rng.uniform(size=n) < 0.5).astype(int)
+    k = np.where(np.arange(n) % 4 == 3, None, (np.arange(n) % 4).astype(object))
+    df = spark.createDataFrame([(x if x is None else int(x), float(a), int(b), float(c)) for x, a, b, c in zip(k, t, e, r)],
+                               "k int, duration double, event int, risk double")
+    got = {row.k: (int(row.concordant), int(row.tied_risk), int(row.comparable)) for row in concordance_by(df, ["k"], n_blocks=blocks).collect()}
+    for key in (0, 1, 2, None):
+        m = np.array([x == key for x in k])
+        assert got[key] == _pairs(t[m], e[m], r[m])
+
+
+def test_cindex_without_rows_or_pairs(spark):
+    empty = spark.createDataFrame([], "duration double, event int, risk double")
+    one = spark.createDataFrame([(1.0, 1, 2.0), (float("nan"), 1, 2.0), (2.0, None, 1.0)], "duration double, event int, risk double")
+    for df in (empty, one):
+        got = concordance(df)
+        assert got["comparable"] == got["concordant"] == got["tied_risk"] == 0 and np.isnan(got["c_index"])
 
 
 def test_cindex_hot_values_equals_brute_force(spark):
