@@ -49,7 +49,7 @@ def permutation_importance(df: DataFrame, features: Sequence[str], risk_of: Call
     Importance is the mean loss of the C-index over the repeats, its deviation the population one. The risk
     comes from ``risk_of`` (a column of a frame) or from a ``scorer`` (see ``plans.scorers``).
     """
-    data = df.select(id_col, time_col, event_col, *features)
+    data = df if scorer is None else df.select(*dict.fromkeys([id_col, time_col, event_col, *features, *scorer.features]))
     base = data.withColumn("_feature", F.lit(BASE)).withColumn("_repeat", F.lit(0))
     rows = base.unionByName(permuted(data, features, id_col=id_col, seed=seed, repeats=repeats))
     if scorer is None:
