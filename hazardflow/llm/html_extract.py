@@ -7,6 +7,11 @@ standing in the main text, counted on labelled pages: pages that mark their main
 ``<article>`` or ``<main>``. One linear scan per page finds the run with the greatest sum; within the run,
 text of elements that are never main text (menus, asides, forms, adverts, comments..) is left out.
 
+An element is taken for such a part by its name, or by a class, id or role that consists of such words and
+generic ones only (``site-footer``, not ``has-sidebar`` or ``share-price``). A wrapper is spared, and all around
+it: an element that holds the page's main ``<article>`` or ``<main>`` (one with at least as many plain words as
+stand outside all such parts), or, comments, adverts, footers and the like apart, nearly all of its plain words.
+
 Text: character references are decoded, white space inside a block is one space, blocks are trimmed and
 joined by one ``\\n`` in page order; nothing else is dropped or capped. ``<br>`` is white space.
 
@@ -56,29 +61,171 @@ MARKED_SHARE = 0.5
 #: Score of a tag or word that is left out anyway, inside a content element of a page that isn't marked.
 SKIPPED = -0.001
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*(?:/>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
-    r"|<[!?][^>]*>", re.S | re.I)
+#: Words that say nothing about an element's part by themselves.
+GENERIC = frozenset("area articles aside bar block body bottom box btn button buttons center col column container content default desktop "
+                    "div element entry fixed floating form global google group holder icon icons id inner inline item items js left link links "
+                    "list main mobile module outer page pages panel post posts primary reader region right root row secondary section "
+                    "site slot small sticky stories text title top trail unit user users view wrap wrapper".split())
+#: Parts that are left out however much of the page they hold.
+ALWAYS_OUT = frozenset("footer aside title button select option dialog iframe object head ad ads adv advert advertisement advertising "
+                       "comment comments replies reply respond disqus cookie cookies consent gdpr copyright newsletter related recommended "
+                       "sponsor sponsored popup modal".split())
+#: Least number of plain words, and how many times those outside, that spare a wrapper without article or main.
+WRAPPED_WORDS, WRAPPED_TIMES = 20, 9
+
+_RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in "script style noscript template textarea svg math".split()}
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _never_main(name: str, attributes: str) -> bool:
-    if name in BOILERPLATE:
-        return True
-    if name in ("html", "body", "article", "main"):
-        return False
+def tokens(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """(text before, tag name, is a closing tag, attributes) of each tag; one more of the text after the last.
+
+    Comments, declarations and raw elements (script, style ..) are left out. One forward pass: a quote that is never
+    closed doesn't hide the ``>`` after it, and is met once; without a further ``>`` the rest is text.
+    """
+    at = begin = 0
+    parts: list[str] = []
+    while True:
+        begin = page.find("<", begin)
+        if begin < 0:
+            break
+        if page.startswith(("<!", "<?"), begin):
+            comment = page.startswith("<!--", begin)
+            end = page.find("-->" if comment else ">", begin + 4 if comment else begin)
+            if end < 0 and not comment:
+                break
+            parts.append(page[at:begin])
+            at = begin = len(page) if end < 0 else end + (3 if comment else 1)
+            continue
+        named = _NAME.match(page, begin + 1)
+        if not named:
+            begin += 1
+            continue
+        end = named.end()
+        while True:
+            stop = _STOP.search(page, end)
+            if not stop or stop[0] == ">":
+                break
+            closed = page.find(stop[0], stop.end())
+            end = closed + 1 if closed >= 0 else stop.end()
+        if not stop:
+            break
+        parts.append(page[at:begin])
+        name, inner = named[1].lower(), page[named.end(): stop.start()]
+        closing = page[begin + 1] == "/"
+        at = begin = stop.end()
+        if name in _RAW and not closing:
+            if not inner.endswith("/"):
+                ended = _RAW[name].search(page, at)
+                at = begin = ended.end() if ended else len(page)
+            continue
+        yield "".join(parts), name, closing, inner
+        parts = []
+    parts.append(page[at:])
+    yield "".join(parts), "", False, ""
+
+
+#: What an element is by name and attributes: main text possible, a part apart, one that is always out, or hidden.
+OPEN, APART, OUT, HIDDEN = range(4)
+
+
+def _kind(name: str, attributes: str) -> int:
+    kind = (OUT if name in ALWAYS_OUT else APART) if name in BOILERPLATE else OPEN
+    if name in ("html", "body"):
+        return kind
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id", "role"):
-            if any(part.lower() in HINTS for part in _PART.findall(value)):
-                return True
+            for token in value.split():
+                words = {w.lower() for w in _PART.findall(token)}
+                known = words & HINTS
+                if known and all(w in HINTS or w in GENERIC or len(w) == 1 for w in words):
+                    kind = max(kind, OUT if known & ALWAYS_OUT else APART)
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (
                 key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            return True
-    return False
+            return HIDDEN
+    return kind if name not in ("article", "main") or kind == OUT else OPEN
+
+
+class Page:
+    """Elements of a page in order of opening (0: the page), and its tags and texts with the element they stand in."""
+
+    def __init__(self, page: str):
+        self.names, self.parents, self.kinds = [""], [0], [OPEN]
+        self.items: list[tuple[int, str, str, int]] = []  # element, tag name or empty, text, words
+        stack = [0]
+        for text, name, closing, attributes in tokens(page):
+            if text:
+                decoded = html.unescape(text)
+                self.items.append((stack[-1], "", decoded, len(decoded.split())))
+            if not name:
+                continue
+            if closing:
+                self.items.append((stack[-1], name, name, 0))
+                for depth in range(len(stack) - 1, 0, -1):
+                    if self.names[stack[depth]] == name:
+                        del stack[depth:]
+                        break
+                continue
+            if name not in VOID and not attributes.endswith("/"):
+                if name == "body":
+                    stack = [e for e in stack if e == 0 or self.names[e] == "html"]
+                elif name in BLOCKS:  # a new block ends open paragraphs; an item or cell the one before it
+                    while len(stack) > 1:
+                        last = self.names[stack[-1]]
+                        if not (last == "p" or last in INLINE or last in HEADINGS or (
+                                last == name and name in ("li", "td", "th", "tr", "dt", "dd", "option"))):
+                            break
+                        stack.pop()
+                self.names.append(name)
+                self.parents.append(stack[-1])
+                self.kinds.append(_kind(name, attributes))
+                stack.append(len(self.names) - 1)
+            self.items.append((stack[-1], name, name, 0))
+
+    def plain(self, e: int) -> bool:
+        return self.names[e] not in HEADINGS and self.names[e] != "a"
+
+    def never_main(self) -> list[bool]:
+        """For each element whether it is, or stands in, what is never main text, wrappers spared."""
+        n = len(self.names)
+        host, words, inner, hidden = [-1] * n, [0] * n, [0] * n, [False] * n  # host: the next part apart around an element
+        for e in range(1, n):
+            host[e] = e if self.kinds[e] != OPEN else host[self.parents[e]]
+            hidden[e] = hidden[self.parents[e]] or self.kinds[e] == HIDDEN
+        outside = 0
+        for e, tag, _, count in self.items:
+            if not tag and self.plain(e):
+                words[e] += count
+                if host[e] >= 0:
+                    inner[host[e]] += count
+                else:
+                    outside += count
+        for e in range(n - 1, 0, -1):  # words of an element's host reach its own host only
+            if host[e] != e:
+                words[self.parents[e]] += words[e]
+        marked = max((e for e in range(1, n) if self.names[e] in ("article", "main") and self.kinds[e] == OPEN and not hidden[e]),
+                     key=lambda e: words[e], default=0)
+        spared: set[int] = set()
+        keep = -1
+        if marked and host[marked] >= 0 and words[marked] > outside:
+            keep = host[marked]
+        else:
+            best = max((e for e in range(1, n) if self.kinds[e] == APART and not hidden[e]), key=lambda e: inner[e], default=-1)
+            if best >= 0 and inner[best] >= max(WRAPPED_WORDS, WRAPPED_TIMES * outside):
+                keep = best
+        while keep > 0:
+            spared.add(keep)
+            keep = host[self.parents[keep]]
+        if any(self.kinds[e] != APART for e in spared):
+            spared.clear()
+        never = [False] * n
+        for e in range(1, n):
+            never[e] = never[self.parents[e]] or (self.kinds[e] != OPEN and e not in spared)
+        return never
 
 
 def events(page: str) -> tuple[list[tuple[str, bool, str, int, bool]], bool, int]:
@@ -88,83 +235,47 @@ def events(page: str) -> tuple[list[tuple[str, bool, str, int, bool]], bool, int
     Skipped is what stands in a never-main element inside a content element: one that holds at least half of the
     plain words under it itself, in text blocks, or in child groups without blocks of their own.
     """
+    read = Page(page)
+    names, parents, never = read.names, read.parents, read.never_main()
+    inside, group = [False] * len(names), [0] * len(names)
+    parent, own, parted = [0], [0], [True]  # of each group: the group around it, plain words, holds blocks
+    marks = 0
+    for e in range(1, len(names)):
+        up, name = parents[e], names[e]
+        inside[e], group[e] = inside[up], group[up]
+        if name in ("article", "main") and not never[e]:
+            inside[e] = True
+            marks += 1
+        if not never[e] and (name in BLOCKS or "-" in name):
+            parted[group[up]] = True
+            if name in GROUPS or "-" in name:
+                parent.append(group[up])
+                own.append(0)
+                parted.append(False)
+                group[e] = len(own) - 1
     out: list[tuple[str, bool, str, int]] = []
     hosts: list[int] = []  # of each event in a never-main element the group around that element, else -1
-    stack: list[tuple[str, bool, bool, int]] = []  # name, inside never-main, inside article or main, group
-    parent, own, parted = [0], [0], [True]  # of each group: the group around it, plain words, holds blocks
-    at = marks = 0
-
-    def state() -> tuple[str, bool, bool, int]:
-        return stack[-1] if stack else ("", False, False, 0)
-
-    def add(event: tuple[str, bool, str, int], never: bool, group: int) -> None:
-        out.append(event)
-        hosts.append(group if never else -1)
-
-    def text(piece: str) -> None:
-        if not piece:
-            return
-        name, never, inside, group = state()
-        kind = "never" if never else ("heading" if name in HEADINGS else "link" if name == "a" else "plain")
-        decoded = html.unescape(piece)
-        n = len(decoded.split())
-        if kind == "plain":
-            own[group] += n
-        add((f"word {kind}", inside, decoded, n), never, group)
-
-    for m in _TOKEN.finditer(page):
-        text(page[at: m.start()])
-        at = m.end()
-        name = (m.group(3) or "").lower()
-        if not name:
-            continue
-        known = name if name in BLOCKS or name in VOID or name in INLINE else "other"
-        closing = bool(m.group(2))
-        if closing:
-            _, never, inside, group = state()
-            add((f"tag {known}", inside, name, 0), never, group)
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
-                    break
-            continue
-        if name not in VOID and not m.group(4).endswith("/"):
-            if name == "body":
-                stack = [s for s in stack if s[0] == "html"]
-            elif name in BLOCKS:  # a new block ends open paragraphs; an item or cell the one before it
-                while stack and (stack[-1][0] == "p" or stack[-1][0] in INLINE or stack[-1][0] in HEADINGS or (
-                        stack[-1][0] == name and name in ("li", "td", "th", "tr", "dt", "dd", "option"))):
-                    stack.pop()
-            _, never, inside, group = state()
-            if name in ("article", "main") and not never:
-                inside = True
-                marks += 1
-            never = never or _never_main(name, m.group(4))
-            if not never and (name in BLOCKS or "-" in name):
-                parted[group] = True
-                if name in GROUPS or "-" in name:
-                    parent.append(group)
-                    own.append(0)
-                    parted.append(False)
-                    group = len(own) - 1
-            stack.append((name, never, inside, group))
-        _, never, inside, group = state()
-        add((f"tag {known}", inside, name, 0), never, group)
-    text(page[at:])
+    for e, tag, piece, n in read.items:
+        if tag:
+            known = tag if tag in BLOCKS or tag in VOID or tag in INLINE else "other"
+            out.append((f"tag {known}", inside[e], piece, 0))
+        else:
+            kind = "never" if never[e] else "heading" if names[e] in HEADINGS else "link" if names[e] == "a" else "plain"
+            if kind == "plain":
+                own[group[e]] += n
+            out.append((f"word {kind}", inside[e], piece, n))
+        hosts.append(group[e] if never[e] else -1)
 
     total, near = list(own), list(own)
     for g in range(len(own) - 1, 0, -1):
         total[parent[g]] += total[g]
         near[parent[g]] += 0 if parted[g] else own[g]
-
-    def in_content(group: int) -> bool:
-        while group and not total[group]:
-            group = parent[group]
-        return 0 < total[group] <= 2 * near[group]
-
-    within = {g: in_content(g) for g in set(hosts) if g >= 0}
-    share = [sum(n for kind, inside, _, n in out if kind == "word plain" and inside == side) for side in (False, True)]
-    holds = any(n and inside and kind.startswith("word") and kind != "word never" for kind, inside, _, n in out)
+    filled = [0] * len(own)  # the next group around that has plain words
+    for g in range(len(own)):
+        filled[g] = g if total[g] or not g else filled[parent[g]]
+    within = {g: 0 < total[filled[g]] <= 2 * near[filled[g]] for g in set(hosts) if g >= 0}
+    share = [sum(n for kind, side, _, n in out if kind == "word plain" and side == wanted) for wanted in (False, True)]
+    holds = any(n and side and kind.startswith("word") and kind != "word never" for kind, side, _, n in out)
     marked = holds and share[True] >= MARKED_SHARE * sum(share)
     return [(*e, within.get(g, False)) for e, g in zip(out, hosts)], marked, marks
 
@@ -245,8 +356,8 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     inside: Counter[str] = Counter()
     outside: Counter[str] = Counter()
     for batch in batches:
-        for page in batch.column(0).to_pylist():
-            seen, marked, marks = events(page)
+        for page in batch.column(0):
+            seen, marked, marks = events(page.as_py())
             if not marked or marks != 1:
                 continue
             for kind, within, _, n, _ in seen:
@@ -261,7 +372,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _labelled_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the pages that mark their main text with exactly one article or main element."""
     for batch in batches:
-        parsed = (events(page)[1:] for page in batch.column(0).to_pylist())
+        parsed = (events(page.as_py())[1:] for page in batch.column(0))
         yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array([marked and marks == 1 for marked, marks in parsed], pa.bool_()))], names=["_o"])
 
 
@@ -293,7 +404,7 @@ def extract_text(pages: DataFrame, *, key: str = "page_id", url: str = "url", co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page or "", weights) for page in batch.column(2).to_pylist()]
+            texts = [main_text(page.as_py() or "", weights) for page in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["_key", "_url", "text", "n_chars"])

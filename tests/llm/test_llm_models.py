@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -258,6 +259,53 @@ def test_long_boxes_do_not_cut_short_paragraphs_off_unmarked_pages(page, text):
     assert html_extract.main_text(page, {}) == text
 
 
+ARTICLE = f"<article><h1>Head</h1><p>{P}</p><p>{SHORT}</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<div id="page" class="right-sidebar"><main><h1>Head</h1><p>{P}</p><p>{SHORT}</p></main><div class="sidebar">{Q}</div></div>',
+    *[f'<body class="{c}"><div class="{c}"><nav><a>x</a> menu</nav>{ARTICLE}<div id="comments">{Q} {Q}</div></div>'
+      for c in ("has-sidebar", "no-sidebar", "site cookies-accepted", "wrap menu-closed", "left sidebar", "page header-banner")],
+    f'<form id="aspnet" action="/"><div class="menu">{SHORT}</div>{ARTICLE}<input name=q></form>',
+    f"<form id=f><div class=post><h1>Head</h1><p>{P}</p><p>{SHORT}</p></div></form>",
+    f"<nav><a href=/>Home</a><a href=/n>News</a>{ARTICLE}<footer>{Q}</footer>",
+    f"<header><a href=/>Logo</a>{ARTICLE}<aside>{Q}</aside>",
+    f'<header><nav><div class="top-menu"><a>Home</a>{ARTICLE}',
+    f'<div class="modal-open page-wrap"><div class="sidebar-left container">{ARTICLE}</div></div>',
+])
+def test_wrappers_do_not_veto_the_page(page):
+    for weights in ({}, html_extract.fitted_weights({"word plain in": 900, "word plain none": 900, "tag p in": 50},
+                                                    {"word plain out": 300, "word never none": 300, "word link out": 90})):
+        assert html_extract.main_text(page, weights) == f"Head\n{P}\n{SHORT}"
+
+
+def test_paragraphs_named_like_boxes_stay_and_boxes_go():
+    page = (f'<article><section id="related-work"><p>{P}</p></section><p class="share-price">{SHORT}</p><div class="related-posts">{Q}</div>'
+            f'<div class="share-buttons">a b</div><p id="ad-1">buy</p><div role="complementary">{Q}</div><p class="no-comment">last words</p></article>')
+    assert html_extract.main_text(page, {}) == f"{P}\n{SHORT}\nlast words"
+
+
+@pytest.mark.parametrize("page", [f"<div class=comments><p>{P} {Q}</p></div><div class=post><p>{SHORT}</p></div>",
+                                  f"<p>{SHORT}</p><section id=comments>{f'<article><p>{Q}</p></article>' * 5}</section>"])
+def test_comments_go_even_where_they_are_most_of_the_page(page):
+    assert html_extract.main_text(page, {}) == SHORT
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<a '", "<", "</", "<!-", "<a b='\"'>", "<p", '<a ">', "<div class='x", "<script>", "<svg>", "<!x"])
+def test_long_pages_of_broken_tags_take_linear_time(piece):
+    begin = time.perf_counter()
+    html_extract.main_text(piece * (2_000_000 // len(piece)), {})
+    assert time.perf_counter() - begin < 40
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<p>a <b title="x>y">b</b> c</p>', "a b c"), ("<p>a < b and 3<4 > 2</p>", "a < b and 3<4 > 2"), ("<p>one<a href='x>two</p><p>three", "onetwo\nthree"),
+    ("<p>one</p><p title=\"open>two</p>", "one\ntwo"), ("a<script>b</SCRIPT >c<svg/>d<style>e", "acd"), ("x <? y > z <!doctype q> w", "x z w"),
+])
+def test_scanner_of_odd_markup(page, text):
+    assert html_extract.main_text(page, {}) == text
+
+
 def test_best_run_is_the_maximum():
     rng = random.Random(8)
     for _ in range(300):
