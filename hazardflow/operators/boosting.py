@@ -222,12 +222,10 @@ def fit_boosted_cox(df: DataFrame, features: Sequence[str], *, n_estimators: int
 
 def hazard_at(model: BoostedCox, train: DataFrame, times: Sequence[float], *, time_col: str = "duration",
               event_col: str = "event") -> list[float]:
-    """Breslow cumulative hazard of ``train`` at a few times, which are clipped to the range of its curve."""
+    """Breslow cumulative hazard of ``train`` at a few times: 0 before its first time, constant after its last."""
     h0 = breslow_on_score(model.score(train, "_score"), score_col="_score", time_col=time_col, event_col=event_col)
-    span = train.agg(F.min(F.col(time_col).cast("double")).alias("a"), F.max(F.col(time_col).cast("double")).alias("b")).first()
-    clipped = [min(max(float(t), span["a"]), span["b"]) for t in times]
-    at = h0.agg(*[F.max_by("cum_hazard", F.when(F.col("time") <= t, F.col("time"))).alias(f"h{k}") for k, t in enumerate(clipped)]).first()
-    return [float(at[f"h{k}"] or 0.0) for k in range(len(clipped))]
+    at = h0.agg(*[F.max_by("cum_hazard", F.when(F.col("time") <= float(t), F.col("time"))).alias(f"h{k}") for k, t in enumerate(times)]).first()
+    return [float(at[f"h{k}"] or 0.0) for k in range(len(times))]
 
 
 def predict_survival(model: BoostedCox, train: DataFrame, df: DataFrame, times: Sequence[float], *,

@@ -12,9 +12,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazardflow.session import cut_lineage
+
 BLOCK = "_blk"
 
 
@@ -61,13 +64,34 @@ def block_of(col: Column, edges: Sequence[float]) -> Column:
     return F.when(col.isNotNull(), block)
 
 
+def with_block(df: DataFrame, col: str, edges: Sequence[float], name: str = BLOCK) -> DataFrame:
+    """``df`` with the block id of ``col`` (see ``block_of``): NULL for NULL, NaN in a block above all others.
+
+    A ``Bucketizer`` finds the place among the edges by binary search on the JVM; an array look-up tells edge values.
+    """
+    edges = list(edges)
+    if not edges:
+        return df.withColumn(name, F.when(F.col(col).isNotNull(), F.lit(0)))
+    infinite = math.inf
+    inner = [e for e in edges if not math.isinf(e)]
+    bucket = Bucketizer(splits=[-infinite, *inner, infinite], inputCol="_cut", outputCol="_bucket", handleInvalid="keep") if inner else None
+    if bucket is None or len(inner) < len(edges):
+        return df.withColumn(name, block_of(F.col(col), edges))
+    values = F.split(F.lit(",".join(repr(float(e)) for e in edges)), ",").cast("array<double>")  # folded to a literal
+    placed = bucket.transform(df.withColumn("_cut", F.col(col).cast("double")))
+    at = F.col("_bucket").cast("int")  # edges at or below the value; past the last one for NaN
+    block = 2 * at - F.coalesce((F.get(values, at - 1) == F.col("_cut")).cast("int"), F.lit(0))
+    return placed.withColumn(name, F.when(F.col("_cut").isNotNull(), block)).drop("_cut", "_bucket")
+
+
 def null_safe_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on ``on`` in which NULL keys match each other; ``other`` adds its remaining columns."""
     renamed = other.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[c for c in other.columns if c not in on])
     cond = F.lit(True)
     for c in on:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
-    return df.join(renamed, cond, how).drop(*[f"_on_{c}" for c in on])
+    joined = df.join(renamed, cond, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_on_{c}" for c in on])
 
 
 def _offset_join(df: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -102,7 +126,7 @@ def prefix_scan(
         edges = value_edges(df, order_col, n_blocks or default_blocks(df))
     exprs = {k: (F.col(v) if isinstance(v, str) else v) for k, v in sums.items()}
     tmp = {k: f"_inc_{k}" for k in exprs}
-    base = df.withColumn(BLOCK, block_of(F.col(order_col), edges))
+    base = with_block(df, order_col, edges)
     base = base.select("*", *[e.alias(tmp[k]) for k, e in exprs.items()])
 
     blk_order = F.col(BLOCK).desc() if descending else F.col(BLOCK).asc()
@@ -124,6 +148,10 @@ def prefix_scan(
     return joined.select(*df.columns, *[combine(k).alias(k) for k in exprs])
 
 
+#: A key with more rows is scanned in blocks; the window of any other key holds this many rows at most.
+KEY_ROWS = 100_000
+
+
 def bucketed_lead(
     df: DataFrame,
     keys: Sequence[str],
@@ -132,15 +160,32 @@ def bucketed_lead(
     values: Mapping[str, str],
     *,
     n_blocks: int | None = None,
+    key_rows: int | None = None,
 ) -> DataFrame:
-    """``lead(value) over (partition by keys order by order_num, tiebreak)`` without one task per key.
+    """``lead(value) over (partition by keys order by order_num, tiebreak)`` without one large task per key.
 
-    Leads are taken inside (key, value block); the last row of a block takes the first row of
-    the key's next non-empty block, found on the small (key, block) summary.
+    Keys of at most ``key_rows`` counted rows take the plain window; the rows of larger ones are cut into
+    value blocks. Both give the same rows.
     """
     keys = list(keys)
+    limit = KEY_ROWS if key_rows is None else key_rows
+    large = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys))
+    plain = Window.partitionBy(*keys).orderBy(F.col(order_num), F.col(tiebreak))
+
+    def simple(rows: DataFrame) -> DataFrame:
+        return rows.select("*", *[F.lead(src).over(plain).alias(out) for out, src in values.items()])
+
+    if large.isEmpty():
+        return simple(df)
+    rest = null_safe_join(df, large, keys, "left_anti")
+    return simple(rest).unionByName(_blocked_lead(null_safe_join(df, large, keys, "left_semi"), keys, order_num, tiebreak, values, n_blocks))
+
+
+def _blocked_lead(df: DataFrame, keys: Sequence[str], order_num: str, tiebreak: str, values: Mapping[str, str],
+                  n_blocks: int | None) -> DataFrame:
+    """Leads inside (key, value block); the last row of a block takes the first row of the key's next block."""
     edges = value_edges(df, order_num, n_blocks or default_blocks(df))
-    base = df.withColumn(BLOCK, block_of(F.col(order_num), edges))
+    base = with_block(df, order_num, edges)
     w = Window.partitionBy(*keys, BLOCK).orderBy(F.col(order_num), F.col(tiebreak))
     first = F.min(F.struct(F.col(order_num).alias("o"), F.col(tiebreak).alias("t"),
                            *[F.col(src).alias(f"v{i}") for i, src in enumerate(values.values())]))

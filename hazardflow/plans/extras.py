@@ -13,7 +13,7 @@ from hazardflow.operators.competing import cause_indicator
 from hazardflow.operators.importance import permutation_importance
 from hazardflow.plans.catalog import finish, register
 from hazardflow.plans.comparison import crude_table
-from hazardflow.plans.oracles import SQL, r6, with_cohort
+from hazardflow.plans.oracles import _BASELINE, SQL, cox_ctes, r6, with_cohort
 from hazardflow.session import read_table
 from hazardflow.sources.cohorts import custlife, gap, reorder
 
@@ -188,3 +188,13 @@ def _crude_sql() -> str:
 
 
 SQL["crude_table_custlife"] = _crude_sql()
+
+
+_CHECKS = """concat_ws(',', CASE WHEN subject_id % 120 < 18 OR subject_id % 120 > 110 THEN 'age' END, CASE WHEN subject_id % 30 = 0 THEN 'los' END,
+    CASE WHEN subject_id % 9 > 0 AND subject_id % 103 > 100 THEN 'spo2' END, CASE WHEN subject_id % 5 IN (1, 2, 3) THEN 'diabetes' END)"""
+SQL["score_batch_reorder"] = with_cohort(
+    "reorder",
+    f"""SELECT subject_id, CASE WHEN errors = '' THEN 'cox_fixed' END AS model,
+      {', '.join(f"CASE WHEN errors = '' THEN round(exp(-(SELECT max(cum_hazard) FROM bl WHERE time <= {t}) * w), 4) END AS survival_{t}d" for t in (30, 90, 180, 365))},
+      CASE WHEN errors <> '' THEN NULL WHEN round(eta, 4) = 0 THEN 0.0 ELSE round(eta, 4) END AS risk_score, errors FROM (SELECT *, {_CHECKS} AS errors FROM e)""",
+    *cox_ctes(), *_BASELINE)

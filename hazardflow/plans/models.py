@@ -268,6 +268,6 @@ def q_boosting_survival(spark, sf):
 SQL["boosting_survival_custlife"] = with_cohort(
     "custlife",
     f"""SELECT subject_id, q AS time, {r6('exp(-h * exp(score))', 'survival')} FROM s,
-      (SELECT q, coalesce((SELECT max(cum) FROM hazard WHERE duration <= least(greatest(q, (SELECT min(duration) FROM d)), (SELECT max(duration) FROM d))), 0) AS h
+      (SELECT q, coalesce((SELECT max(cum) FROM hazard WHERE duration <= q), 0) AS h
        FROM (VALUES {', '.join(f'({t}::DOUBLE)' for t in CURVE_TIMES)}) v(q))""",
     SUBJECTS, f"s AS (SELECT *, ({_SCORE})::DOUBLE AS score FROM d)", _RESIDUAL.format("exp(score)", "s"))

@@ -54,7 +54,7 @@ class CoxScorer:
 
 @dataclass
 class BoostedScorer:
-    """A boosted model with the Breslow hazard of its training rows; times are clipped to the curve's range."""
+    """A boosted model with the Breslow hazard of its training rows."""
 
     model: boosting.BoostedCox
     train: DataFrame = field(repr=False)
