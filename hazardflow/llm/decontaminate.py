@@ -179,7 +179,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
     bad = find_contamination(docs, benchmark, key=key, text=text, **options).where(F.size("hits") > 0).select("_id", "_h").distinct()
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_k"),
                          F.xxhash64(text_of(F.col(text))).alias("_g"))
-    kept = packed.join(bad.hint("shuffle_hash"), F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_g") == F.col("_h")), "left_anti")
+    kept = packed.join(bad, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_g") == F.col("_h")), "left_anti")
     return kept.select("_row.*")
 
 

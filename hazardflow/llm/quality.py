@@ -248,11 +248,11 @@ def judge_quality(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", te
     shares, left = kneser_ney(count_grams(
         _with_trusted(rows, ids, "left_semi").withColumn("_fold", fold_of(F.col("_h"))), order), order)
     scores = written(perplexities(rows, shares, left, order=order, block_bytes=block_bytes), "scores")
-    limits = {r["_lang"]: r["threshold"] for r in thresholds(scores, ids, quantile).collect()}  # a row a language
-    limit = F.lit(limits.pop(None, math.inf))
-    for name, value in sorted(limits.items()):
-        limit = F.when(F.coalesce(F.col("lang").cast("string"), F.lit("(none)")) == name, value).otherwise(limit)
-    return scores.withColumn("threshold", limit).withColumn(
+    limits = written(thresholds(scores, ids, quantile), "thresholds")  # a row a language
+    overall = limits.where(F.col("_lang").isNull()).first()
+    language = F.coalesce(F.col("lang").cast("string"), F.lit("(none)"))
+    judged = scores.join(limits.where(F.col("_lang").isNotNull()), language == F.col("_lang"), "left").drop("_lang")
+    return judged.withColumn("threshold", F.coalesce("threshold", F.lit(overall["threshold"] if overall else math.inf))).withColumn(
         "keep", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
 
 
@@ -261,7 +261,7 @@ def drop_poor(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
     kept = judge_quality(docs, labels, key=key, text=text, **options).where("keep").select("_id", "_h").distinct()
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_k"),
                          F.xxhash64(text_of(F.col(text))).alias("_g"))
-    return packed.join(kept.hint("shuffle_hash"), F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_g") == F.col("_h")),
+    return packed.join(kept, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_g") == F.col("_h")),
                        "left_semi").select("_row.*")
 
 
