@@ -131,8 +131,8 @@ def q_logrank_pairwise_reorder(spark, sf):
 
 @register("logrank_reorder_by_priority")
 def q_logrank_reorder(spark, sf):
-    """k-sample statistic solved on the driver from a k x k matrix: rows-only check."""
-    return np_ops.logrank_summary(once(reorder(spark, sf)), ["grp"])
+    """NP-11/12: k-sample statistic solved on the driver from a k x k matrix."""
+    return finish(np_ops.logrank_summary(once(reorder(spark, sf)), ["grp"]))
 
 
 # ---------------------------------------------------------------- competing risks (CR-1/2)
@@ -219,9 +219,10 @@ def q_cox_median_reorder(spark, sf):
 
 @register("cox_fit_reorder")
 def q_cox_fit_reorder(spark, sf):
-    """COX-1/3: penalised fit (0.1) and its hazard-ratio table (Newton on the driver: rows-only)."""
+    """COX-1/3: penalised fit (0.1) and its hazard-ratio table (Newton on the driver)."""
     m = cox.fit_cox(once(reorder(spark, sf)), COX_FEATURES, penalizer=0.1)
-    return finish(cox.hazard_ratio_table(m, spark))
+    table = finish(cox.hazard_ratio_table(m, spark), 10)  # a unit of x1 changes the hazard in the 7th place
+    return table.withColumn("p_value", F.round("p_value", DIGITS))
 
 
 @register("cox_ph_test_reorder")
