@@ -49,6 +49,39 @@ def test_license_templates_meet_their_threshold_only(spark):
     assert got == {1: "apache", 2: "", 3: "cc-by-nc"}
 
 
+MIT = license_scan.TEMPLATES[1][1]
+
+
+def test_license_notices_may_be_wrapped_and_need_their_names(spark):
+    df = docs(spark, [
+        (1, "# " + MIT.replace(", ", ",\n#   ").replace(" copy ", "\n# copy ")), (2, "Released under the\nMIT\n\nLicense"),
+        (3, "Released under the BSD License."), (4, "This work is licensed under the MIT License, version 3, general terms"),
+        (5, "released " + "x " * 40 + "under the mit license"), (6, "q " * 5_000 + MIT + " q" * 5_000), (7, MIT[: len(MIT) // 2])])
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan_licenses(df).collect()}
+    assert {i: v[0] for i, v in got.items()} == {1: "mit", 2: "mit", 3: "", 4: "mit", 5: "mit", 6: "mit", 7: ""}
+    assert got[1][1] == got[6][1] == 1.0
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1024])
+def test_license_blocks_equal_brute_force(spark, piece):
+    rng = random.Random(8)
+    templates = [("a", "one two three four five", ["two"]), ("b", "two six six seven", []), ("c", "one eight nine ten eleven twelve one", ["nine", "ten"])]
+    bag = "one two three four five six seven eight nine ten eleven twelve x y".split()
+    rows = [(i, " ".join(rng.choice(bag[: rng.choice([6, 12, 14])]) + rng.choice(["", "\n", ","]) for _ in range(rng.randrange(0, 40)))) for i in range(120)]
+    want = {}
+    for i, text in rows:
+        w = license_scan._word_list(text)
+        for label, t, named in templates:
+            tokens, size = set(t.split()), license_scan.block_words(t, 0.75)
+            for s in range(len(w)):
+                held = tokens & set(w[s: s + size])
+                if len(held) >= 0.75 * len(tokens) and held >= set(named):
+                    want[i, label] = max(want.get((i, label), 0), len(held) / len(tokens))
+    got = license_scan.template_matches(docs(spark, rows), templates, 0.75, piece=piece)
+    best = got.groupBy("doc_id", "label").agg(F.max("containment").alias("c")).collect()
+    assert len(want) > 60 and {(r.doc_id, r.label): r.c for r in best} == want
+
+
 def test_line_dedup_equals_sql(spark):
     df = docs(spark, EDGES)
     assert spark_rows(line_dedup.drop_repeated_lines(df, report=True)) == duck(line_dedup.SQL, documents=df.select("doc_id", "text"))
