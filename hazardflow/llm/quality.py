@@ -19,7 +19,8 @@ bytes of the raw text, so that no vocabulary has to be cut and upper case, marku
 
 Defined results: null and empty texts have no perplexity and are rejected; null languages form a language
 of their own; without any trusted text every non-empty text is kept; repeated rows are judged alike; labels
-are matched by id (several labels for an id: trusted only if all say so), null ids are never trusted.
+are matched by id (several labels for an id: trusted only if all say so), null ids are never trusted. A task works
+on slices of about ``SLICE_BYTES`` of text, or one longer text, with some 60 bytes of arrays a byte of the slice.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ BINS = 1000  # a factor of e
 BROADCAST_IDS = 2_000_000
 #: Bit of an n-gram's code that tells the two cross-fitted models apart; bytes take the lower 48.
 FOLD_BIT = 56
-_HELD = 4_000_000  # distinct n-grams that a task gathers before it passes them on
+_HELD = 2_000_000  # distinct n-grams that a task gathers before it passes them on
 
 
 def byte_codes(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +81,7 @@ def _count_batches(order: int):
 
         for batch in batches:
             texts, folds = batch.column(0), batch.column(1).to_numpy()
-            for lo, hi in slices(texts, 4 << 20):
+            for lo, hi in slices(texts):
                 doc, code = byte_codes(texts.slice(lo, hi - lo), order)
                 code, count = np.unique(code | (folds[lo:hi].astype(np.int64) << FOLD_BIT)[doc], return_counts=True)
                 codes.append(code)
@@ -168,7 +169,7 @@ def _other_model(block: int) -> int:
 def _ask(order: int):
     def run(group: pa.Table) -> pa.Table:
         texts, block = group.column("_text").combine_chunks(), group.column("_block")[0].as_py()
-        found = [np.unique(byte_codes(texts.slice(lo, hi - lo), order)[1]) for lo, hi in slices(texts, 4 << 20)]
+        found = [np.unique(byte_codes(texts.slice(lo, hi - lo), order)[1]) for lo, hi in slices(texts)]
         code = np.unique(np.concatenate(found)) | _other_model(block)
         return pa.table({"_block": pa.array(np.full(len(code), block, np.int32)), "code": pa.array(code)})
     return run
@@ -181,7 +182,7 @@ def _add_up(order: int):
         code, logp = code[by], logp[by]
         texts, sums, sizes = docs.column("_text").combine_chunks(), [], []
         model = _other_model(docs.column("_block")[0].as_py())
-        for lo, hi in slices(texts, 4 << 20):
+        for lo, hi in slices(texts):
             doc, codes = byte_codes(texts.slice(lo, hi - lo), order)
             sums.append(np.bincount(doc, weights=logp[np.searchsorted(code, codes | model)] if len(codes) else None, minlength=hi - lo))
             sizes.append(np.bincount(doc, minlength=hi - lo))
