@@ -13,9 +13,11 @@ bytes of the raw text, so that no vocabulary has to be cut and upper case, marku
    probabilities per document. What is shuffled is the texts once and one row per block and distinct n-gram.
    Models are cross-fitted: texts fall in two folds by their hash, and every text is scored by the model
    of the other fold, so trusted texts are as unseen as all others and their perplexities compare.
-3. A document is rejected if its perplexity per byte is above its language's threshold: the ``QUANTILE`` of
-   trusted documents' perplexities in that language, counted exactly over bins of 0.1 % width; a language
-   without trusted documents takes the quantile over all of them.
+3. A document is rejected if its perplexity per byte is above the threshold of its language and length band
+   (bands grow by a factor of four): the ``QUANTILE`` of the perplexities of trusted texts there, every different
+   text once, counted exactly over bins of 0.1 % width. Short texts scatter widely, so a threshold over all lengths
+   would let long junk pass. A band of fewer than ``BAND_TEXTS`` trusted texts takes the language's threshold over all
+   lengths; a language without trusted documents takes the quantile over all of them.
 
 Defined results: null and empty texts have no perplexity and are rejected; null languages form a language
 of their own; without any trusted text every non-empty text is kept; repeated rows are judged alike; labels
@@ -42,6 +44,8 @@ ORDER = 4
 QUANTILE = 0.995
 BLOCK_BYTES = 16 << 20
 BINS = 1000  # a factor of e
+#: Trusted texts that a length band of a language needs for a threshold of its own.
+BAND_TEXTS = 100
 #: Ids that may be broadcast (8 bytes each); beyond, the labels are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: Bit of an n-gram's code that tells the two cross-fitted models apart; bytes take the lower 48.
@@ -225,23 +229,39 @@ def _with_trusted(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return rows.join(ids, F.col("_id") == F.col("_trusted"), how)
 
 
-def thresholds(scores: DataFrame, ids: DataFrame, quantile: float) -> DataFrame:
-    """(_lang, threshold) per language, and one row with a null ``_lang`` over all."""
+def length_band(n_bytes: Column) -> Column:
+    """Class of a text's length: each is four times as long as the one below."""
+    return F.floor((F.length(F.bin(n_bytes)) - 1) / 2).cast("int")
+
+
+def thresholds(scores: DataFrame, ids: DataFrame, quantile: float, band_texts: int = BAND_TEXTS) -> DataFrame:
+    """(_lang, _band, threshold) of every language and length band, and one row with a null ``_lang`` over all."""
     language = F.coalesce(F.col("lang").cast("string"), F.lit("(none)"))
     trusted = _with_trusted(scores.where(F.col("perplexity").isNotNull()), ids, "inner").select(
-        language.alias("_lang"), F.floor(F.log("perplexity") * BINS).alias("bin"))
-    bins = trusted.groupBy("_lang", "bin").count()
-    bins = bins.unionByName(bins.groupBy("bin").agg(F.sum("count").alias("count")).select(
-        F.lit(None).cast("string").alias("_lang"), "bin", "count"))
-    run = Window.partitionBy("_lang").orderBy("bin")  # a few thousand bins a language
-    up_to = bins.select("_lang", "bin", F.sum("count").over(run).alias("up_to"),
-                        F.sum("count").over(Window.partitionBy("_lang")).alias("all"))
-    return up_to.where(F.col("up_to") >= F.col("all") * quantile).groupBy("_lang").agg(
-        F.exp((F.min("bin") + 1) / F.lit(float(BINS))).alias("threshold"))
+        language.alias("_lang"), length_band(F.col("n_bytes")).alias("_band"), F.floor(F.log("perplexity") * BINS).alias("bin"), "_h").distinct()
+    bins = trusted.groupBy("_lang", "_band", "bin").count()
+
+    def up_to_quantile(over: list[str]) -> DataFrame:
+        """(*over, texts, threshold)."""
+        parts = Window.partitionBy(*[F.col(c) for c in over] or [F.lit(0)])
+        run = parts.orderBy("bin")  # a few thousand bins a part
+        counted = bins.groupBy(*over, "bin").agg(F.sum("count").alias("count")).select(
+            *over, "bin", F.sum("count").over(run).alias("up_to"), F.sum("count").over(parts).alias("texts"))
+        return counted.where(F.col("up_to") >= F.col("texts") * quantile).groupBy(*over).agg(
+            F.max("texts").alias("texts"), F.exp((F.min("bin") + 1) / F.lit(float(BINS))).alias("threshold"))
+
+    bands = up_to_quantile(["_lang", "_band"]).where(F.col("texts") >= band_texts).select(
+        "_lang", "_band", F.col("threshold").alias("_own"))
+    languages = up_to_quantile(["_lang"]).select("_lang", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("_band"), "threshold")
+    return languages.join(bands, ["_lang", "_band"], "left").select(
+        "_lang", "_band", F.coalesce("_own", "threshold").alias("threshold")).unionByName(
+        up_to_quantile([]).where(F.col("threshold").isNotNull()).select(
+            F.lit(None).cast("string").alias("_lang"), F.lit(None).cast("int").alias("_band"), "threshold"))
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang",
-                  order: int = ORDER, quantile: float = QUANTILE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  order: int = ORDER, quantile: float = QUANTILE, band_texts: int = BAND_TEXTS,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(_id, _h, lang, n_bytes, perplexity, threshold, keep) of every row of ``docs``."""
     ids = written(trusted_ids(labels, key), "trusted")
     rows = docs.select(F.col(key).alias("_id"), F.xxhash64(text_of(F.col(text))).alias("_h"), F.col(lang).alias("lang"),
@@ -249,10 +269,11 @@ def judge_quality(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", te
     shares, left = kneser_ney(count_grams(
         _with_trusted(rows, ids, "left_semi").withColumn("_fold", fold_of(F.col("_h"))), order), order)
     scores = written(perplexities(rows, shares, left, order=order, block_bytes=block_bytes), "scores")
-    limits = written(thresholds(scores, ids, quantile), "thresholds")  # a row a language
+    limits = written(thresholds(scores, ids, quantile, band_texts), "thresholds")  # 32 rows a language
     overall = limits.where(F.col("_lang").isNull()).first()
     language = F.coalesce(F.col("lang").cast("string"), F.lit("(none)"))
-    judged = scores.join(limits.where(F.col("_lang").isNotNull()), language == F.col("_lang"), "left").drop("_lang")
+    own = limits.where(F.col("_lang").isNotNull())
+    judged = scores.join(own, (language == F.col("_lang")) & (length_band(F.col("n_bytes")) == F.col("_band")), "left").drop("_lang", "_band")
     return judged.withColumn("threshold", F.coalesce("threshold", F.lit(overall["threshold"] if overall else math.inf))).withColumn(
         "keep", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
 

@@ -198,6 +198,43 @@ def test_classifier_drops_noise_and_keeps_clean_text(spark):
     assert quality.drop_poor(df.limit(0), labels).count() == 0
 
 
+def test_quality_thresholds_by_length_band_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        lang = [None, "en", "de", "fr"][i % 4] if i % 9 else "en"
+        rows.append((i, i % 350, lang, int(4 ** rng.uniform(0, 6)), float(np.exp(rng.normal(2, 0.5)))))  # texts repeat
+    rows = [(i, h, lang, *rows[h][3:]) for i, h, lang, _, _ in rows] + [(900, 900, "xx", 0, None)]
+    scores = spark.createDataFrame(rows, "_id long, _h long, lang string, n_bytes long, perplexity double")
+    ids = spark.range(300).select(F.col("id").alias("_trusted")).unionByName(spark.createDataFrame([(900,)], "_trusted long"))
+    parts: dict = {}
+    for lang, n, h, b in {(lang or "(none)", n, h, math.floor(math.log(p) * quality.BINS)) for i, h, lang, n, p in rows if i < 300}:
+        for key in ((lang, (n.bit_length() - 1) // 2), (lang, None), (None, None)):
+            parts.setdefault(key, []).append(b)
+    limit = {k: math.exp((sorted(v)[math.ceil(len(v) * 0.9 - 1e-9) - 1] + 1) / quality.BINS) for k, v in parts.items()}
+    got = {(r["_lang"], r["_band"]): r["threshold"] for r in quality.thresholds(scores, ids, 0.9, 12).collect()}
+    assert {k[0] for k in got} == {"(none)", "en", "de", "fr", None} and len(got) == 4 * 32 + 1
+    assert any(len(v) >= 12 for k, v in parts.items() if k[1] is not None)
+    for (lang, band), threshold in got.items():
+        own = band is not None and len(parts.get((lang, band), [])) >= 12
+        assert threshold == pytest.approx(limit[lang, band if own else None])
+
+
+def test_long_texts_are_held_against_long_ones(spark):
+    rng = np.random.default_rng(6)
+    words = "the of and to in is was for with that".split() + ["".join(rng.choice(["th", "er", "an", "in", "on", "re"], 3)) for _ in range(60)]
+    short = [" ".join(rng.choice(words, 2)) if i % 10 else f"{rng.integers(1 << 40):X}#" for i in range(600)]
+    prose = short + [" ".join(rng.choice(words, 120)) for _ in range(600)]
+    junk = [" ".join(w if i % 3 else w.upper() + "$" for i, w in enumerate(rng.choice(words, 120))) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(prose + junk)), "doc_id long, text string").withColumn("lang", F.lit("en"))
+    labels = spark.range(1200).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    judged = {r["_id"]: r for r in quality.judge_quality(df, labels).collect()}
+    assert not any(judged[i].keep for i in range(1200, 1220))
+    assert sum(judged[i].keep for i in range(1200)) >= 0.98 * 1200
+    one = {r["_id"]: r.threshold for r in quality.judge_quality(df, labels, band_texts=10 ** 9).collect()}
+    assert len(set(one.values())) == 1 and all(judged[i].threshold < one[i] for i in range(600, 1220))
+
+
 # ---------------------------------------------------------------- html
 
 
