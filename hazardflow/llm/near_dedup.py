@@ -47,6 +47,8 @@ M = BANDS * ROWS
 AGREEMENT = 0.62
 #: Buckets of up to SMALL members are compared pair by pair, larger ones in chunks of texts.
 SMALL, CHUNK = 64, 512
+#: Drawn points (about 1,400 a text) that are held before they are put into the signatures.
+POINTS = 1 << 17
 #: Nodes whose texts are looked up by a broadcast of keys (16 bytes each); beyond, by a shuffle of the texts.
 BROADCAST_KEYS = 2_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -80,24 +82,31 @@ def bag_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs
 
 def _fill(first, value, doc, element, weight, horizon, m) -> None:
     cells, times, marks = [], [], []
+
+    def put() -> None:
+        """The points gathered so far; the earliest of a component over all calls stays."""
+        if cells:
+            cell, time, mark = np.concatenate(cells), np.concatenate(times), np.concatenate(marks)
+            np.minimum.at(first.reshape(-1), cell, time)
+            won = time == first.reshape(-1)[cell]
+            value.reshape(-1)[cell[won]] = mark[won]
+            for held in (cells, times, marks):
+                held.clear()
+
     low, strip = 0, 0
     while len(doc):
         high = 1 << strip
-        _strip_points(doc, element, weight, low, high, strip, horizon, m, cells, times, marks)
+        _strip_points(doc, element, weight, low, high, strip, horizon, m, cells, times, marks, put)
         more = weight > high
         doc, element, weight = doc[more], element[more], weight[more]
         low, strip = high, strip + 1
-    if cells:
-        cell, time, mark = np.concatenate(cells), np.concatenate(times), np.concatenate(marks)
-        np.minimum.at(first.reshape(-1), cell, time)
-        won = time == first.reshape(-1)[cell]
-        value.reshape(-1)[cell[won]] = mark[won]
+    put()
 
 
-def _strip_points(doc, element, weight, low, high, strip, horizon, m, cells, times, marks) -> None:
+def _strip_points(doc, element, weight, low, high, strip, horizon, m, cells, times, marks, put) -> None:
     seed = mix(element + _times(strip + 1))
     rate = float(m * (high - low))
-    until, at, nth = horizon[doc], np.zeros(len(doc)), 0
+    until, at, nth, held = horizon[doc], np.zeros(len(doc)), 0, 0
     while len(doc):
         nth += 1
         bits = mix(seed + _times(nth))
@@ -111,6 +120,10 @@ def _strip_points(doc, element, weight, low, high, strip, horizon, m, cells, tim
         cells.append(doc[used] * m + component[used])
         times.append(at[used])
         marks.append(bits[used])
+        held += len(marks[-1])
+        if held > POINTS:
+            put()
+            held = 0
 
 
 def _bags(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -291,8 +304,8 @@ def near_duplicate_classes(docs: DataFrame, *, key: str = "doc_id", text: str =
     rows = nodes.select("node", F.explode("bands").alias("bkey"))
     shared = rows.groupBy("bkey").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = cut_lineage(rows.join(shared, "bkey"))
-    central = members.groupBy("node").agg(F.sum("size").alias("central"))
-    ranked = members.join(central, "node")
+    central = members.groupBy("node").agg(F.sum("size").alias("central"), F.collect_list("bkey").alias("bkeys"))  # BANDS keys or fewer
+    ranked = central.select("node", "central", F.explode("bkeys").alias("bkey"))
     pivots = ranked.groupBy("bkey").agg(F.max(F.struct("central", "node")).getField("node").alias("u"))
     pairs = cut_lineage(members.join(pivots, "bkey").where("node <> u").select("u", F.col("node").alias("v")).distinct())
 

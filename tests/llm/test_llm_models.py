@@ -466,6 +466,28 @@ def test_beam_is_doubled_until_the_probes_find_their_neighbours(spark):
     assert share(ann.sure_search(asking, graph, nodes, 20, beam=24, expand=8)) >= 0.9
 
 
+def test_signatures_do_not_depend_on_the_points_held(monkeypatch):
+    rng = np.random.default_rng(15)
+    doc = np.repeat(np.arange(40), 30)
+    element, weight = rng.integers(0, 1 << 44, len(doc)).astype(np.uint64), rng.integers(1, 9, len(doc))
+    whole = near_dedup.bag_minhash(doc, element, weight, 40)
+    sizes, at = [], near_dedup.np.minimum.at
+    monkeypatch.setattr(near_dedup, "POINTS", 500)
+    monkeypatch.setattr(near_dedup, "np", Counted(near_dedup.np, lambda first, cell, time: (sizes.append(len(cell)), at(first, cell, time))))
+    assert (near_dedup.bag_minhash(doc, element, weight, 40) == whole).all()
+    assert len(sizes) > 10 and max(sizes) < 3000  # 500 and what one draw of all shingles gives
+
+
+class Counted:
+    """numpy with another ``minimum.at``."""
+
+    def __init__(self, module, at):
+        self._module, self.minimum = module, type("minimum", (), {"at": staticmethod(at)})
+
+    def __getattr__(self, name):
+        return getattr(self._module, name)
+
+
 def test_nearest_neighbours_of_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in ann.nearest(df, F.col("id") % 20 == 0).collect()]
