@@ -4,27 +4,33 @@ Each round: the negative gradient of the Cox partial likelihood at the current s
 martingale residual ``event - exp(F) * H0(T)`` (Breslow H0 with weights exp(F)); a depth-limited regression
 tree is fitted to it on a hashed subsample, and ``F += lr * tree``.
 
-Rows are binned once, and times get dense positions once, as their order never changes. A round holds its
-residuals in a persisted table; all cuts of one level of a tree come from one ``groupBy(node, feature, bin)``,
-and the best cut of each node (at most 2^depth rows) goes to the driver. A fitted tree is some numbers there;
-scores and attributions are column expressions of them. Lineage is cut by a checkpoint every few rounds.
+Rows are binned once and laid out once in the order of (time, id), in partitions of about ``PART_ROWS`` rows, as
+that order never changes. A round is five passes over those partitions without moving a row: totals of exp(F), of
+which each partition learns what is at risk behind it; totals of the hazards, of which it learns the hazard
+before it; and one pass a level, which makes the residuals and adds them up by (node, feature, bin). Totals are a
+row a partition; the best cut of each node (at most 2^depth rows) goes to the driver. A fitted tree is some numbers
+there; scores and attributions are column expressions of them. Scores are checkpointed every few rounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardflow.functions.columns import uniform_hash
 from hazardflow.operators.forest import bin_of
-from hazardflow.operators.positions import BLOCK_ROWS, with_position
+from hazardflow.operators.positions import with_position
 from hazardflow.operators.scan import prefix_scan, value_edges
-from hazardflow.session import cut_lineage
+from hazardflow.session import cut_lineage, ship_package
 
 BINS = 64
+#: Rows of a partition while boosting: what a task holds.
+PART_ROWS = 1 << 16
 
 
 def breslow_on_score(df: DataFrame, *, score_col: str = "score", time_col: str = "duration",
@@ -135,8 +141,13 @@ def best_mean_splits(rows: DataFrame, *, min_split: int = 10, min_leaf: int = 5)
     ``rows``: (node, bins, residual). Ties go to the lesser feature, then the lesser bin. Nodes of fewer than
     ``min_split`` rows, and cuts with fewer than ``min_leaf`` rows on a side, are left out.
     """
-    cells = rows.select("node", "residual", F.posexplode("bins").alias("feature", "bin")).groupBy("node", "feature", "bin").agg(
-        F.count(F.lit(1)).alias("c"), F.sum("residual").alias("r")).coalesce(1)  # nodes x features x bins rows, by parameters
+    each = rows.select("node", F.posexplode("bins").alias("feature", "bin"), F.lit(1).alias("c"), F.col("residual").alias("r"))
+    return _best_cuts(each, min_split, min_leaf)
+
+
+def _best_cuts(counted: DataFrame, min_split: int, min_leaf: int) -> DataFrame:
+    """``best_mean_splits`` of rows (node, feature, bin, c, r) that count ``c`` rows with the residual sum ``r``."""
+    cells = counted.groupBy("node", "feature", "bin").agg(F.sum("c").alias("c"), F.sum("r").alias("r")).coalesce(1)  # nodes x features x bins rows, by parameters
     whole = "OVER (PARTITION BY node, feature)"
     upto = "OVER (PARTITION BY node, feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     cuts = cells.selectExpr("node", "feature", "bin", f"sum(c) {whole} AS n", f"sum(r) {whole} AS s",
@@ -149,14 +160,119 @@ def best_mean_splits(rows: DataFrame, *, min_split: int = 10, min_leaf: int = 5)
                            "m.n_left AS n_left", "m.s_left AS s_left")
 
 
-def _fit_tree(rows: DataFrame, edges: Sequence[Sequence[float]], max_depth: int, min_split: int, min_leaf: int) -> Tree:
-    """A regression tree on (bins, residual) rows: one job a level."""
-    at = rows.select(F.lit(1).cast("long").alias("node"), "bins", "residual")
+def _values(tree: Tree, bins: Sequence[np.ndarray], value: Callable[[int], float], at: int = 1) -> np.ndarray:
+    """``value`` of the leaf of each row by its bins."""
+    node = tree[at]
+    if node.feature < 0:
+        return np.full(len(bins[0]), value(at))
+    return np.where(bins[node.feature] > node.bin, _values(tree, bins, value, 2 * at + 1), _values(tree, bins, value, 2 * at))
+
+
+@dataclass
+class _Offsets:
+    """What a partition needs to know of the others: weight at risk behind it and hazard before it; if its first time
+    began in an earlier one (``carried``), its weight there."""
+
+    behind: float = 0.0
+    carry: float = 0.0
+    carried: bool = False
+    before: float = 0.0
+
+
+class _Part:
+    """Rows of a partition, in the order of time, with their scores. ``runs``: first rows of the times."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], steps: Sequence[Tree], rate: float):
+        self.table = t = pa.Table.from_batches(list(batches))
+        column = lambda c: t.column(c).to_numpy()
+        self.bins = [column(c) for c in t.column_names if c.startswith("b_")]
+        self.part, self.pos, self.event, self.deaths, self.used = (column(c) for c in ("part", "pos", "event", "d", "used"))
+        self.score = column("score") + rate * sum((_values(s, self.bins, lambda k, s=s: s[k].value) for s in steps), np.zeros(len(t)))
+        self.weight = np.exp(self.score)
+        self.runs = np.flatnonzero(np.concatenate([[True], self.pos[1:] != self.pos[:-1]]))
+
+    def hazards(self, o: _Offsets) -> np.ndarray:
+        """Hazard of each time here."""
+        at_risk = o.behind + np.cumsum(self.weight[::-1])[::-1][self.runs]
+        at_risk[0] += o.carry
+        return self.deaths[self.runs] / np.maximum(at_risk, 1e-300)
+
+    def residuals(self, o: _Offsets) -> np.ndarray:
+        h = self.hazards(o)
+        h[0] = 0.0 if o.carried else h[0]  # counted where its time begins
+        sizes = np.diff(np.append(self.runs, len(self.pos)))
+        return self.event - self.weight * np.repeat(o.before + np.cumsum(h), sizes)
+
+
+def _per_part(laid: DataFrame, steps: Sequence[Tree], rate: float, work: Callable[[_Part], dict], schema: str) -> DataFrame:
+    """Rows that ``work`` makes of each partition of ``laid``, without moving any."""
+    steps = list(steps)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in batches if b.num_rows]
+        if batches:
+            yield pa.RecordBatch.from_pydict(work(_Part(batches, steps, rate)))
+    return laid.mapInArrow(run, schema)
+
+
+def _totals(p: _Part) -> dict:
+    return {"part": p.part[:1], "w": [float(p.weight.sum())], "first": p.pos[:1], "last": p.pos[-1:],
+            "w_last": [float(p.weight[p.runs[-1]:].sum())]}
+
+
+def _offsets(laid: DataFrame, steps: Sequence[Tree], rate: float) -> dict[int, _Offsets]:
+    """By partition, from a row each: two passes, as the hazards need the weights at risk."""
+    rows = sorted(_per_part(laid, steps, rate, _totals, "part int, w double, first long, last long, w_last double").collect())
+    out = {r["part"]: _Offsets() for r in rows}
+    behind = 0.0
+    for r in reversed(rows):
+        out[r["part"]].behind = behind
+        behind += r["w"]
+    for a, b in zip(rows, rows[1:]):
+        if a["last"] == b["first"]:
+            out[b["part"]].carried = True
+            out[b["part"]].carry = a["w_last"] + (out[a["part"]].carry if a["first"] == a["last"] else 0.0)
+
+    def summed(p: _Part) -> dict:
+        o = out[int(p.part[0])]
+        return {"part": p.part[:1], "h": [float(p.hazards(o)[1 if o.carried else 0:].sum())]}
+
+    before = 0.0
+    for r in sorted(_per_part(laid, steps, rate, summed, "part int, h double").collect()) if len(rows) > 1 else []:
+        out[r["part"]].before = before
+        before += r["h"]
+    return out
+
+
+def _cells(offsets: dict[int, _Offsets], tree: Tree, wanted: Sequence[int]):
+    """(node, feature, bin, c, r): rows and residual sums of the sampled rows in the nodes ``wanted`` of a growing tree."""
+    def work(p: _Part) -> dict:
+        residual = p.residuals(offsets[int(p.part[0])])
+        node = _values(tree, p.bins, lambda k: k).astype(np.int64) if tree else np.ones(len(residual), np.int64)
+        rows = np.flatnonzero(p.used & np.isin(node, wanted))
+        node, residual = node[rows], residual[rows]
+        parts = []
+        for f, b in enumerate(p.bins):
+            width = int(b.max()) + 1
+            key, at = np.unique(node * width + b[rows], return_inverse=True)
+            parts.append((key // width, np.full(len(key), f), key % width, np.bincount(at, minlength=len(key)),
+                          np.bincount(at, weights=residual, minlength=len(key))))
+        return dict(zip(("node", "feature", "bin", "c", "r"), (np.concatenate(x) for x in zip(*parts))))
+    return work
+
+
+def _fit_tree(laid: DataFrame, steps: Sequence[Tree], rate: float, edges: Sequence[Sequence[float]], max_depth: int, min_split: int,
+              min_leaf: int) -> Tree:
+    """A regression tree on the residuals of the rows ``used``: one job a level."""
+    offsets = _offsets(laid, steps, rate)
     tree: Tree = {}
+    wanted = [1]
     for level in range(max_depth):
-        found = best_mean_splits(at, min_split=min_split, min_leaf=min_leaf).collect()  # at most 2^level rows
+        cells = _per_part(laid, steps, rate, _cells(offsets, dict(tree), wanted), "node long, feature long, bin long, c long, r double")
+        found = _best_cuts(cells, min_split, min_leaf).collect()  # at most 2^level rows
         if not found:
             break
+        wanted = []
         for r in found:
             k, right = r["node"], r["n"] - r["n_left"]
             tree.setdefault(k, Node(r["s"] / r["n"], r["n"]))
@@ -164,59 +280,43 @@ def _fit_tree(rows: DataFrame, edges: Sequence[Sequence[float]], max_depth: int,
             tree[k].threshold = float(edges[r["feature"]][r["bin"]])
             tree[2 * k] = Node(r["s_left"] / r["n_left"], r["n_left"])
             tree[2 * k + 1] = Node((r["s"] - r["s_left"]) / right, right)
-        move = " ".join(f"WHEN {r['node']} THEN {2 * r['node']} + int(bins[{r['feature']}] > {r['bin']})" for r in found)
-        at = at.where(F.col("node").isin([r["node"] for r in found])).withColumn("node", F.expr(f"bigint(CASE node {move} END)"))
+            wanted += [2 * k, 2 * k + 1]
     if not tree:
-        total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("residual").alias("s")).first()
-        tree[1] = Node((total["s"] or 0.0) / max(total["n"], 1), total["n"])
+        total = _per_part(laid, steps, rate, _cells(offsets, {}, [1]), "node long, feature long, bin long, c long, r double").where(
+            "feature = 0").agg(F.sum("c").alias("n"), F.sum("r").alias("s")).first()
+        tree[1] = Node((total["s"] or 0.0) / max(total["n"] or 0, 1), total["n"] or 0)
     return tree
 
 
-def _with_residual(rows: DataFrame) -> DataFrame:
-    """Martingale residuals of (event, pos, blk, score) rows: ``pos`` is the dense position of the time, ``blk`` its block.
-
-    At risk is a sum over later positions, the hazard one over earlier ones; both are windows inside a block
-    plus the totals of the blocks on one side, on one partitioning by block.
-    """
-    per = rows.groupBy("blk", "pos").agg(F.sum(F.exp("score")).alias("w"), F.sum("event").alias("d"))
-    beyond = "OVER (ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"  # over one row a block
-
-    def block_offsets(df: DataFrame, col: str, order: str) -> DataFrame:
-        return df.groupBy("blk").agg(F.sum(col).alias("t")).coalesce(1).selectExpr("blk", f"coalesce(sum(t) {beyond.format(order)}, 0D) AS off")
-
-    inside = "OVER (PARTITION BY blk ORDER BY pos {} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    hazard = per.join(block_offsets(per, "w", "blk DESC"), "blk").selectExpr(
-        "blk", "pos", f"d / greatest(off + sum(w) {inside.format('DESC')}, 1e-300D) AS h")
-    summed = hazard.join(block_offsets(hazard, "h", "blk"), "blk").selectExpr(
-        "pos AS _pos", f"off + sum(h) {inside.format('ASC')} AS cum_hazard")
-    return rows.join(summed, F.col("pos") == F.col("_pos")).withColumn(
-        "residual", F.col("event") - F.exp("score") * F.col("cum_hazard")).drop("cum_hazard", "_pos")
+def _rescored(p: _Part) -> dict:
+    return {c: pa.array(p.score) if c == "score" else p.table.column(c).combine_chunks() for c in p.table.column_names}
 
 
 def fit_boosted_cox(df: DataFrame, features: Sequence[str], *, n_estimators: int = 100,
                     max_depth: int = 3, learning_rate: float = 0.1, subsample: float = 0.8, min_samples_split: int = 10,
                     min_samples_leaf: int = 5, seed: int = 42, id_col: str = "subject_id", bins: int = BINS,
-                    time_col: str = "duration", event_col: str = "event", checkpoint_every: int = 10) -> BoostedCox:
+                    time_col: str = "duration", event_col: str = "event", checkpoint_every: int = 10,
+                    part_rows: int = PART_ROWS) -> BoostedCox:
     """GB-1: boost ``n_estimators`` trees on rows without missing values."""
     features = list(features)
+    ship_package(df.sparkSession)
     base = cut_lineage(df.select(F.col(id_col).alias("id"), F.col(time_col).cast("double").alias("time"),
                                  (F.col(event_col) > 0).cast("int").alias("event"), *[F.col(f).cast("double") for f in features]).dropna())
     edges = [value_edges(base, f, bins) for f in features]
-    times = with_position(base.select("time").distinct(), ["time"], "pos")
-    cur = cut_lineage(base.join(times, "time").select(
-        "id", "event", "pos", F.expr(f"pos div {BLOCK_ROWS} AS blk"), F.array(*[bin_of(F.col(f), e) for f, e in zip(features, edges)]).alias("bins"), F.lit(0.0).alias("score")))
+    times = with_position(base.groupBy("time").agg(F.sum("event").alias("d")), ["time"], "pos")
+    binned = [bin_of(F.col(f), e).alias(f"b_{i}") for i, (f, e) in enumerate(zip(features, edges))]
+    placed = base.join(times, "time").select("id", "pos", "event", "d", F.lit(0.0).alias("score"), *binned)
+    laid = cut_lineage(placed.repartitionByRange(max(1, -(-base.count() // part_rows)), "pos", "id").sortWithinPartitions("pos", "id")
+                       .withColumn("part", F.spark_partition_id()))
     model, start = BoostedCox(features, learning_rate), 0
     for r in range(n_estimators):
-        # scores since the last checkpoint are an expression, so that no round's plan holds another's
-        steps = [tree_case(t, lambda f: f"bins[{f}]", lambda k, t=t: t[k].value, cut="bin") for t in model.trees[start:]]
-        scored = cur.withColumn("score", F.expr(f"score + {learning_rate!r}D * ({' + '.join(steps) or '0D'})"))
+        steps = model.trees[start:]
         if len(steps) >= checkpoint_every:
-            cur, start = cut_lineage(scored), r
-            scored = cur
-        rows = _with_residual(scored).persist()
-        model.trees.append(_fit_tree(rows.where(uniform_hash(F.col("id"), seed * 1000 + r) < subsample), edges, max_depth,
-                                     min_samples_split, min_samples_leaf))
-        rows.unpersist()
+            kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in laid.schema)
+            laid = cut_lineage(_per_part(laid.withColumn("used", F.lit(True)), steps, learning_rate, _rescored, f"{kinds}, used boolean").drop("used"))
+            start, steps = r, []
+        sampled = laid.withColumn("used", uniform_hash(F.col("id"), seed * 1000 + r) < subsample)
+        model.trees.append(_fit_tree(sampled, steps, learning_rate, edges, max_depth, min_samples_split, min_samples_leaf))
     return model
 
 

@@ -144,6 +144,26 @@ def test_boosting_learns_and_attributions_add_up(frame, data):
     assert all(tree[k].rows >= 10 for tree in model.trees for k in tree if tree[k].feature >= 0)
 
 
+def test_boosting_is_the_same_over_many_partitions_and_moves_no_rows_in_a_round(spark, frame, monkeypatch):
+    tied = spark.createDataFrame(frame.assign(duration=np.minimum(frame.duration, 6.0)))  # times that reach over several partitions
+    fit = lambda **k: boosting.fit_boosted_cox(tied, ["a", "b"], n_estimators=4, bins=16, checkpoint_every=2, **k)
+    plans, made = [], boosting._per_part
+    monkeypatch.setattr(boosting, "_per_part", lambda *a: plans.append(made(*a)) or plans[-1])
+    one, many = fit(), fit(part_rows=9)
+    assert plans and all("Exchange" not in p._jdf.queryExecution().toString() for p in plans)
+    for x, y in zip(one.trees, many.trees):
+        assert {k: (n.feature, n.bin, n.rows) for k, n in x.items()} == {k: (n.feature, n.bin, n.rows) for k, n in y.items()}
+        assert [n.value for _, n in sorted(x.items())] == pytest.approx([n.value for _, n in sorted(y.items())], abs=1e-9)
+    # residuals of the second tree's sample come from the score after the first
+    t, e = tied.toPandas().duration.to_numpy(), frame.event.to_numpy()
+    first = one.trees[0]
+    boosted = boosting.BoostedCox(["a", "b"], 0.1, [first]).score(tied).toPandas().score.to_numpy()
+    w = np.exp(boosted)
+    hazard = sum(np.where(t >= s, e[t == s].sum() / w[t >= s].sum(), 0.0) for s in np.unique(t))
+    used = tied.select(boosting.uniform_hash(F.col("subject_id"), 42 * 1000 + 1).alias("u")).toPandas().u.to_numpy() < 0.8
+    assert one.trees[1][1].value == pytest.approx((e - w * hazard)[used].mean(), abs=1e-9)
+
+
 @pytest.fixture(scope="module")
 def models(data, fitted):
     return {"cox": scorers.CoxScorer(cox.fit_cox(data, ["a", "b", "c"], penalizer=0.1)),
