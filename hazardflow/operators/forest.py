@@ -8,34 +8,44 @@ One level: every in-bag row gives one record for each feature of its node; one `
 bin)`` counts rows, weights at risk and deaths by time bin (time bins are columns); a running sum over the at most
 ``bins`` rows of a node's feature gives every cut's left side, and the log-rank statistic of the cut is an
 expression over the time bins; the best cut of each node is an aggregate. The split table, one row a split
-node, is joined back to move the rows one level down. Nothing reaches the driver but the number of splits; the
-number of jobs depends on the depth, not on trees or nodes.
+node, is joined back to move the rows one level down. Nothing reaches the driver but the number of splits. Only
+nodes of more than ``NODE_ROWS`` rows are split that way: the rows of a smaller one are grouped by (tree, node), and
+its task makes all cuts below, level by level, by the same rules on arrays. So the number of jobs grows with the
+logarithm of rows over ``NODE_ROWS``, not with depth, trees or nodes.
 
 Leaves hold exact curves of their in-bag rows: hazards at all their times, at risk from running sums over
 positions. The mortality of a leaf is its cumulative hazard summed over all event times of the training
 rows: each hazard counts once for every event time from its own on, so it is one number a leaf.
 
-Scoring moves (row, tree) pairs down the split tables by equi-joins on (tree, node) and averages leaf values
-over trees. A missing feature value goes left; training rows with missing values are left out.
+Scoring moves (row, tree) pairs down the split tables: blocks of ``NODE_ROWS`` pairs of a tree meet its splits in a
+cogroup; of trees of more splits than that, the upper levels are equi-joins on (tree, node), and what meets is a
+subtree. Leaf values are averaged over trees. A missing feature value goes left; training rows with missing values are left out.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardflow.operators.concordance import concordance_by
 from hazardflow.operators.positions import running, with_position
 from hazardflow.operators.scan import value_edges
-from hazardflow.session import cut_lineage
+from hazardflow.session import cut_lineage, ship_package
 
 MAX_DEPTH = 60
 BINS, TIME_BINS = 32, 16
 UNITS = 1e9
+#: Rows of a node that one task can split on; pairs of a block and splits of a subtree when scoring.
+NODE_ROWS = 1 << 16
 SPLITS = "tree int, node long, feature int, bin int, threshold double, statistic double, n_left long, n_right long"
 
 
@@ -57,8 +67,9 @@ def poisson_steps() -> list[int]:
 
 def bootstrap_weight(seed: int, tree: Column, row: Column) -> Column:
     """Poisson(1) weight of a row in a tree."""
-    u = draw(f"bag:{seed}", tree, row)
-    return sum(((u >= F.lit(float(s))).cast("int") for s in poisson_steps()[1:]), (u >= F.lit(float(poisson_steps()[0]))).cast("int"))
+    once = F.array(draw(f"bag:{seed}", tree, row))  # bound to a name, so that it is drawn once a row
+    steps = [float(x) for x in poisson_steps()]
+    return F.get(F.transform(once, lambda u: sum(((u >= F.lit(x)).cast("int") for x in steps[1:]), (u >= F.lit(steps[0])).cast("int"))), F.lit(0))
 
 
 def node_features(seed: int, tree: Column, node: Column, p: int, m: int) -> Column:
@@ -143,7 +154,7 @@ def moved(state: DataFrame, splits: DataFrame, p: int, s: GrowthSettings) -> Dat
     size = F.when(right, F.col("n_right")).otherwise(F.col("n_left"))
     return rows.where(size >= max(s.min_split, 2 * s.min_leaf)).select(
         "tree", (F.col("node") * 2 + right.cast("long")).alias("node"), F.when(right, F.col("rf")).otherwise(F.col("lf")).alias("feats"),
-        "id", "w", "event", "tbin", "bins")
+        "id", "w", "event", "tbin", "bins", size.alias("size"))
 
 
 def with_threshold(splits: DataFrame, edges: Sequence[Sequence[float]]) -> DataFrame:
@@ -152,31 +163,167 @@ def with_threshold(splits: DataFrame, edges: Sequence[Sequence[float]]) -> DataF
     return splits.withColumn("threshold", F.get(F.get(flat, F.col("feature")), F.col("bin")))
 
 
-def grow(binned: DataFrame, edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings) -> list[DataFrame]:
+def _tried(seed: int, tree: int, node: int, p: int, m: int) -> list[int]:
+    """``node_features`` of one node."""
+    drawn = sorted((int(hashlib.md5(f"feature:{seed}:{tree}:{node}:{f}".encode()).hexdigest()[:12], 16), f) for f in range(p))
+    return [f for _, f in drawn[:m]]
+
+
+def _best_cuts(slot: np.ndarray, tried: np.ndarray, bins: np.ndarray, w: np.ndarray, event: np.ndarray, tbin: np.ndarray,
+               n_bins: int, n_times: int, s: GrowthSettings) -> list[tuple]:
+    """(node, statistic, feature, bin, n_left, n) of the best cut of each node that has one, as ``best_logrank_splits``.
+
+    ``slot`` tells each row's node, ``tried`` (nodes x m) the features of the nodes.
+    """
+    k, found = len(tried), []
+    for feature in tried.T:
+        cell = slot * n_bins + bins[np.arange(len(slot)), feature[slot]]
+        shape = (k, n_bins, n_times)
+        count = np.bincount(cell, minlength=k * n_bins).reshape(k, n_bins)
+        key = cell * n_times + tbin
+        weights, deaths = (np.bincount(key, weights=x, minlength=k * n_bins * n_times).reshape(shape) for x in (w, w * event))
+        at_risk = weights[:, :, ::-1].cumsum(axis=2)[:, :, ::-1]
+        left = count.cumsum(axis=1)
+        whole = left[:, -1:]
+        node, cut = np.nonzero((count > 0) & (whole >= s.min_split) & (left >= s.min_leaf) & (whole - left >= s.min_leaf))
+        r, d, l = at_risk.sum(axis=1)[node], deaths.sum(axis=1)[node], at_risk.cumsum(axis=1)[node, cut]
+        e, v = np.zeros(len(node)), np.zeros(len(node))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for t in range(n_times):
+                rt, dt, lt = r[:, t], d[:, t], l[:, t]
+                e += np.where(rt > 0, dt * lt / rt, 0.0)
+                v += np.where(rt > 1, dt * (rt - dt) / (rt - 1) * (lt / rt) * (1 - lt / rt), 0.0)
+            u = deaths.sum(axis=2).cumsum(axis=1)[node, cut] - e
+            raw = np.where(v > 1e-12, u * u / v, -1.0)
+        found.append((node, raw, feature[node], cut, left[node, cut], whole[node, 0]))
+    node, raw, feature, cut, n_left, n = (np.concatenate(x) for x in zip(*found))
+    most = np.full(k, -np.inf)
+    np.maximum.at(most, node, raw)
+    best: dict[int, tuple] = {}
+    for i in np.flatnonzero((raw >= most[node] - 2e-9) & (raw > 0)):  # rounding may make ties of these
+        stat = float(Decimal(repr(float(raw[i]))).quantize(Decimal("1e-9"), ROUND_HALF_UP))
+        rank = (-stat, int(feature[i]), int(cut[i]))
+        if stat > 0 and (int(node[i]) not in best or rank < best[int(node[i])][0]):
+            best[int(node[i])] = rank, (int(node[i]), stat, int(feature[i]), int(cut[i]), int(n_left[i]), int(n[i]))
+    return [x for _, x in best.values()]
+
+
+def _grow_below(edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings):
+    """All splits below one node from its rows, which are ``NODE_ROWS`` or fewer."""
+    p, n_bins = len(edges), max((len(e) for e in edges), default=0) + 1
+    deepest, least = min(s.max_depth, MAX_DEPTH), max(s.min_split, 2 * s.min_leaf)
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        tree, nodes, out = key[0].as_py(), [key[1].as_py()], []
+        bins = rows.column("bins").combine_chunks().flatten().to_numpy().reshape(-1, p)
+        w, event, tbin = (rows.column(c).to_numpy() for c in ("w", "event", "tbin"))
+        slot = np.zeros(len(w), np.int64)
+        while nodes and nodes[0].bit_length() <= deepest:
+            following, moved_to = [], np.full(len(slot), -1)
+            step = max(1, (1 << 18) // (n_bins * n_times))
+            order = np.argsort(slot, kind="stable")
+            first = np.searchsorted(slot[order], np.arange(len(nodes) + 1))
+            for a in range(0, len(nodes), step):
+                some, here = nodes[a: a + step], order[first[a]: first[min(a + step, len(nodes))]]
+                tried = np.array([_tried(s.seed, tree, x, p, s.tried(p)) for x in some])
+                child = np.full((len(some), 2), -1)
+                feature, cut = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
+                for i, stat, f, b, n_left, n in _best_cuts(slot[here] - a, tried, bins[here], w[here], event[here], tbin[here], n_bins, n_times, s):
+                    feature[i], cut[i] = f, b
+                    out.append((tree, some[i], f, b, float(edges[f][b]) if b < len(edges[f]) else None, stat, n_left, n - n_left))
+                    for side, size in enumerate((n_left, n - n_left)):
+                        if size >= least:
+                            child[i, side] = len(following)
+                            following.append(2 * some[i] + side)
+                at = slot[here] - a
+                moved_to[here] = child[at, (bins[here, feature[at]] > cut[at]).astype(np.int64)]
+            stay = moved_to >= 0
+            bins, w, event, tbin, slot, nodes = bins[stay], w[stay], event[stay], tbin[stay], moved_to[stay], following
+        kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+        names = [c.split() for c in SPLITS.split(", ")]
+        return pa.table({c: pa.array([x[i] for x in out], kinds[kind]) for i, (c, kind) in enumerate(names)})
+    return run
+
+
+def grow(binned: DataFrame, edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings, node_rows: int | None = None) -> list[DataFrame]:
     """RSF-1: split tables (``SPLITS``), one a level, from (id, event, tbin, bins) rows."""
-    p = len(edges)
-    state = cut_lineage(first_level(binned, p, s))
-    levels: list[DataFrame] = []
-    while len(levels) < min(s.max_depth, MAX_DEPTH):
-        found = best_logrank_splits(state, n_times, s)
-        found = cut_lineage(with_threshold(found, edges).select(*[c.split()[0] for c in SPLITS.split(", ")]))
+    ship_package(binned.sparkSession)
+    p, limit, names = len(edges), node_rows or NODE_ROWS, [c.split()[0] for c in SPLITS.split(", ")]
+    n = binned.count()
+    state = first_level(binned, p, s).withColumn("size", F.lit(n))
+    upper: list[DataFrame] = []
+    below: list[DataFrame] = []
+    while True:
+        small = state.where(F.col("size") <= limit).select("tree", "node", "w", "event", "tbin", "bins")
+        below.append(small.groupBy("tree", "node").applyInArrow(_grow_below(edges, n_times, s), SPLITS))
+        if n <= limit or len(upper) == min(s.max_depth, MAX_DEPTH):
+            break
+        large = state.where(F.col("size") > limit)
+        found = cut_lineage(with_threshold(best_logrank_splits(large, n_times, s), edges).select(*names))
         if found.isEmpty():
             break
-        levels.append(found)
-        state = cut_lineage(moved(state, found, p, s))
+        upper.append(found)
+        state = cut_lineage(moved(large.drop("size"), found, p, s))
+    rest = below[0]
+    for part in below[1:]:
+        rest = rest.unionByName(part)
+    level = F.length(F.bin("node")) - 1
+    rest = cut_lineage(rest.withColumn("_level", level))
+    deepest = rest.agg(F.max("_level")).first()[0]
+    levels = []
+    for i in range(max(len(upper), -1 if deepest is None else deepest + 1)):
+        here = rest.where(F.col("_level") == i).select(*names)
+        levels.append(upper[i].unionByName(here) if i < len(upper) else here)
     return levels
 
 
-def leaf_of(rows: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
+def _descend(schema: Sequence[str]):
+    """Rows of a block with their leaves, by the splits of their (sub)tree."""
+    def run(rows: pa.Table, splits: pa.Table) -> pa.Table:
+        node, ids = rows.column("node").to_numpy().copy(), splits.column("_n").to_numpy()
+        if len(node) and len(ids):
+            by = np.argsort(ids)
+            ids, feature, threshold = ids[by], splits.column("feature").to_numpy()[by], splits.column("threshold").to_numpy()[by]
+            flat = rows.column("x").combine_chunks().flatten()
+            x = pc.fill_null(flat, -math.inf).to_numpy(zero_copy_only=False).reshape(len(node), -1)  # missing: left
+            live = np.arange(len(node))
+            while len(live):
+                at = np.minimum(np.searchsorted(ids, node[live]), len(ids) - 1)
+                hit = ids[at] == node[live]
+                live, at = live[hit], at[hit]
+                value = x[live, feature[at]]
+                node[live] = 2 * node[live] + ((value > threshold[at]) | np.isnan(value))  # NaN is above all numbers
+        return pa.table({c: pa.array(node) if c == "node" else rows.column(c) for c in schema})
+    return run
+
+
+def leaf_of(rows: DataFrame, levels: Sequence[DataFrame], limit: int | None = None) -> DataFrame:
     """``rows`` (tree, x array, ..) with ``node``, the leaf of each row in its tree."""
+    limit = limit or NODE_ROWS
     out = rows.withColumn("node", F.lit(1).cast("long"))
-    for level in levels:
+    if not levels:
+        return out
+    ship_package(rows.sparkSession)
+    splits = None
+    for i, level in enumerate(levels):
+        part = level.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), "feature", "threshold", F.lit(i).alias("_level"))
+        splits = part if splits is None else splits.unionByName(part)
+    most = splits.groupBy("_t").count().agg(F.max("count")).first()[0] or 0
+    pairs = rows.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    top = min(len(levels), max(0, math.ceil(math.log2(max(most, 1) / limit))))
+    for level in levels[:top]:
         at = level.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), "feature", "threshold")
         right = F.coalesce(F.get("x", F.col("feature")) > F.col("threshold"), F.lit(False))
         out = out.join(at, (F.col("tree") == F.col("_t")) & (F.col("node") == F.col("_n")), "left").withColumn(
             "node", F.when(F.col("_n").isNull(), F.col("node")).otherwise(F.col("node") * 2 + right.cast("long"))
         ).drop("_t", "_n", "feature", "threshold")
-    return out
+    blocks = max(1, -(-pairs // (limit << top)))
+    dealt = out.withColumn("_sub", F.col("node")).withColumn("_blk", F.pmod(F.xxhash64(*rows.columns), F.lit(blocks)))
+    lower = splits.where(F.col("_level") >= top).select(
+        "_t", F.expr(f"shiftright(_n, _level - {top})").alias("_s"), "_n", "feature", "threshold",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_b"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
+    return dealt.groupBy("tree", "_sub", "_blk").cogroup(lower.groupBy("_t", "_s", "_b")).applyInArrow(_descend(out.columns), schema)
 
 
 def mean_mortality() -> Column:

@@ -83,6 +83,25 @@ def test_every_split_is_the_best_logrank_cut_of_its_node(spark, frame, data, fit
             inside[2 * node], inside[2 * node + 1] = here & left, here & ~left
 
 
+def test_nodes_of_few_rows_are_split_in_one_job_and_alike(spark, frame, data):
+    times = sorted(set(frame.duration))
+    edges = [sorted({float(v) for v in np.quantile(frame[f], np.linspace(0, 1, 9)[1:-1], method="lower")}) for f in "abc"]
+    binned = data.select(F.col("subject_id").alias("id"), "event", forest.bin_of(F.col("duration"), times).alias("tbin"),
+                         F.array(*[forest.bin_of(F.col(f), e) for f, e in zip("abc", edges)]).alias("bins"))
+    tables = [[sorted(map(tuple, level.collect())) for level in forest.grow(binned, edges, len(times) + 1, SETTINGS, node_rows=n)]
+              for n in (1, 40, 1000)]  # all by joins, the upper ones by joins, none by joins
+    assert len(tables[0]) > 3 and tables[0] == tables[1] == tables[2]
+
+
+def test_leaves_by_subtrees_and_blocks_are_those_of_the_joins(spark, frame, data, fitted):
+    odd = frame.assign(a=[None, math.nan, math.inf, -math.inf, *frame.a[4:]]).astype({"a": object})
+    rows = spark.createDataFrame([tuple(r) for r in odd[["subject_id", "a", "b", "c"]].itertuples(index=False)],
+                                 "subject_id long, a double, b double, c double")
+    pairs = rows.select("subject_id", F.array("a", "b", "c").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("tree"))
+    got = [sorted((r.subject_id, r.tree, r.node) for r in forest.leaf_of(pairs, fitted.levels, n).collect()) for n in (1, 3, 50, 1 << 16)]
+    assert len(got[0]) == 800 and got[0] == got[1] == got[2] == got[3]
+
+
 def walk(fitted, row):
     tables = {(r.tree, r.node): r for level in fitted.levels for r in level.collect()}
     out = {}
