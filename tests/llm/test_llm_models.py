@@ -466,6 +466,36 @@ def test_beam_is_doubled_until_the_probes_find_their_neighbours(spark):
     assert share(ann.sure_search(asking, graph, nodes, 20, beam=24, expand=8)) >= 0.9
 
 
+def test_only_the_probes_are_searched_again_with_a_larger_beam(spark, monkeypatch):
+    x = np.random.default_rng(16).standard_normal((1500, 32))
+    nodes = node_vectors(spark, x)
+    asked = []
+
+    def searched(queries, graph, nodes, *, beam, expand):
+        asked.append((queries.count(), beam))
+        unit = _units(x)
+        rows = [(r.node, [int(i) for i in order[:beam]], [float(unit[r.node] @ unit[i]) for i in order[:beam]])
+                for r in queries.collect() for order in [np.argsort(-(unit @ unit[r.node]), kind="stable")]]
+        return spark.createDataFrame(rows, "node long, ids array<long>, scores array<float>")
+
+    monkeypatch.setattr(ann, "search", searched)
+    monkeypatch.setattr(ann, "SAME", np.float32(1e-3))
+    beams = ann.sure_search(nodes.where("node % 5 = 0").withColumn("starts", F.array("node")), None, nodes, 20, beam=8, expand=4)
+    assert sorted(r.node for r in beams.collect()) == list(range(0, 1500, 5))
+    assert asked == [(ann.PROBES, 8), (ann.PROBES, 16), (ann.PROBES, 32), (300 - ann.PROBES, 32)]
+
+
+def _units(x):
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float16).astype(np.float64)
+
+
+def test_length_of_a_vector_binds_its_largest_component_once(spark):
+    rows = spark.createDataFrame([(1, [3.0, 4.0]), (2, [3e200, -4e200]), (3, [0.0, 5e-200])], "id long, x array<double>")
+    assert [r.n for r in rows.select(ann._length(F.col("x")).alias("n")).collect()] == pytest.approx([5.0, 5e200, 5e-200])
+    plan = rows.select(ann._length(F.col("x")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_max") == 1
+
+
 def test_signatures_do_not_depend_on_the_points_held(monkeypatch):
     rng = np.random.default_rng(15)
     doc = np.repeat(np.arange(40), 30)
