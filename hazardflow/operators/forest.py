@@ -304,9 +304,10 @@ def leaf_of(rows: DataFrame, levels: Sequence[DataFrame], limit: int | None = No
     if not levels:
         return out
     ship_package(rows.sparkSession)
-    splits = None
+    splits, tree = None, rows.schema["tree"].dataType
     for i, level in enumerate(levels):
-        part = level.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), "feature", "threshold", F.lit(i).alias("_level"))
+        part = level.select(F.col("tree").cast(tree).alias("_t"), F.col("node").cast("long").alias("_n"), F.col("feature").cast("int").alias("feature"),
+                            F.col("threshold").cast("double").alias("threshold"), F.lit(i).alias("_level"))
         splits = part if splits is None else splits.unionByName(part)
     most = splits.groupBy("_t").count().agg(F.max("count")).first()[0] or 0
     pairs = rows.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
