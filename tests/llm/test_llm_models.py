@@ -489,6 +489,46 @@ def _units(x):
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float16).astype(np.float64)
 
 
+def test_nodes_that_met_do_not_meet_again():
+    rng = np.random.default_rng(17)
+    x = _units(rng.standard_normal((60, 16)))
+    last = rng.uniform(-0.2, 0.2, 60).astype(np.float32)
+    answers = pa.table({"at": [0] * 60, "id": np.arange(60), "home": np.arange(60) % 3, "last": last, "vec": pa.array([v.astype(np.float16).tobytes() for v in x])})
+    both = [[int(i) for i in rng.choice(np.setdiff1d(np.arange(60), [u]), 12, replace=False)] for u in range(20)]
+    for fresh in (0, 5, 12):
+        state = pa.table({"block": [0] * 20, "node": np.arange(20), "both": pa.array(both, pa.list_(pa.int64())), "fresh": [fresh] * 20})
+        want = collections.defaultdict(dict)
+        for u in range(20):
+            met, new = [u, *both[u][: 12 - fresh]], both[u][12 - fresh:]
+            for i in met + new:
+                for j in met + new:
+                    if i != j and (i in new or j in new) and x[i] @ x[j] > last[i]:
+                        want[i][j] = x[i] @ x[j]
+        got = {r["id"]: r for r in ann._local_join(state, answers).to_pylist()}
+        assert set(got) == set(want)
+        for i, r in got.items():
+            assert r["home"] == i % 3 and r["nbrs"] == sorted(want[i], key=lambda j: -want[i][j])[: ann.K]
+            assert r["sims"] == pytest.approx([want[i][j] for j in r["nbrs"]], abs=1e-5)
+
+
+def test_a_hop_scores_each_candidate_once_and_sends_what_beats_the_beam():
+    rng = np.random.default_rng(18)
+    x, q = _units(rng.standard_normal((200, 16))), _units(rng.standard_normal((5, 16)))
+    table = pa.table({"home": [0] * 200, "node": np.arange(200), "vec": pa.array([v.astype(np.float16).tobytes() for v in x])})
+    asker, ids, least = rng.integers(0, 5, 900), rng.integers(0, 200, 900), rng.uniform(-0.1, 0.1, 5).astype(np.float32)
+    names = [c.split()[0] for c in ann._MAIL.split(", ")]
+    rows = [r for a in range(0, 900, 300) for r in ann._mail(1, asker[a: a + 300], ids[a: a + 300], np.arange(1000, 1005), q.astype(np.float16), least)]
+    assert len(rows) == 3
+    got = collections.defaultdict(list)
+    for r in ann._scores_of(2, 8)(ann._packed(rows, names), table).to_pylist():
+        for a, i, s in zip(*(np.frombuffer(r[c], k) for c, k in (("asker", np.int64), ("id", np.int64), ("score", np.float32)))):
+            assert s == pytest.approx(q[a - 1000] @ x[i], abs=1e-5) and ann._home(np.array([a]), 2)[0] == r["block"]
+            got[a - 1000].append(i)
+    for a in range(5):
+        some = {int(i) for i in ids[asker == a] if q[a] @ x[i] > least[a]}
+        assert got[a] == sorted(some, key=lambda i: -(q[a] @ x[i]))[:8]
+
+
 def test_length_of_a_vector_binds_its_largest_component_once(spark):
     rows = spark.createDataFrame([(1, [3.0, 4.0]), (2, [3e200, -4e200]), (3, [0.0, 5e-200])], "id long, x array<double>")
     assert [r.n for r in rows.select(ann._length(F.col("x")).alias("n")).collect()] == pytest.approx([5.0, 5e200, 5e-200])
