@@ -4,6 +4,10 @@ Rows are binned once: features by quantile edges, time by quantile edges. A row'
 is Poisson(1), read from a hash of (seed, tree, id), so in-bag and out-of-bag rows can be told again at any time
 without storing them. The features a node may split on come from a hash of (seed, tree, node).
 
+Rows of the same bins, time bin and event are one cell to a tree, with their number and their weight: rows are sorted by
+cell, and each block of them is counted for all trees at once on arrays. If there are ``TREE_CELLS`` cells or fewer
+(bins bound them, not rows), a tree grows from its cells in one task, by the rules below; otherwise it grows from rows.
+
 One level: every in-bag row gives one record for each feature of its node; one ``groupBy(tree, node, feature,
 bin)`` counts rows, weights at risk and deaths by time bin (time bins are columns); a running sum over the at most
 ``bins`` rows of a node's feature gives every cut's left side, and the log-rank statistic of the cut is an
@@ -17,16 +21,22 @@ Leaves hold exact curves of their in-bag rows: hazards at all their times, at ri
 positions. The mortality of a leaf is its cumulative hazard summed over all event times of the training
 rows: each hazard counts once for every event time from its own on, so it is one number a leaf.
 
-Scoring moves (row, tree) pairs down the split tables: blocks of ``NODE_ROWS`` pairs of a tree meet its splits in a
+Rows that are on the same side of all thresholds (or have the same values, where a feature has many thresholds) have the
+same leaves. Leaves are searched once for each such set of rows; mortalities and out-of-bag risks are then made of blocks of
+``BLOCK`` rows that meet the leaves of their sets, all trees at once, and what the trees need of a block is sent packed.
+A task that sums up leaves holds about ``LEAF_ROWS`` in-bag rows of a tree, fewer if they fall into the same leaf and time.
+
+The search of leaves moves (row, tree) pairs down the split tables: blocks of ``NODE_ROWS`` pairs of a tree meet its splits in a
 cogroup; of trees of more splits than that, the upper levels are equi-joins on (tree, node), and what meets is a
 subtree. Leaf values are averaged over trees. A missing feature value goes left; training rows with missing values are left out.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -36,6 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hazardflow.operators import bags
 from hazardflow.operators.concordance import concordance_by
 from hazardflow.operators.positions import running, with_position
 from hazardflow.operators.scan import value_edges
@@ -46,6 +57,13 @@ BINS, TIME_BINS = 32, 16
 UNITS = 1e9
 #: Rows of a node that one task can split on; pairs of a block and splits of a subtree when scoring.
 NODE_ROWS = 1 << 16
+#: Cells (times features) a tree may grow from in one task; rows of a block that is counted for all trees at once.
+TREE_CELLS = 1 << 23
+BLOCK = 1 << 16
+#: Sets of rows whose leaves meet a block; in-bag rows of a tree that one task sums up by leaf.
+SETS, LEAF_ROWS = 1 << 14, 1 << 20
+#: Features of more thresholds tell sets of rows by their values.
+MOST_THRESHOLDS = 128
 SPLITS = "tree int, node long, feature int, bin int, threshold double, statistic double, n_left long, n_right long"
 
 
@@ -72,6 +90,11 @@ def bootstrap_weight(seed: int, tree: Column, row: Column) -> Column:
     return F.get(F.transform(once, lambda u: sum(((u >= F.lit(x)).cast("int") for x in steps[1:]), (u >= F.lit(steps[0])).cast("int"))), F.lit(0))
 
 
+def tail_of(row: Column) -> Column:
+    """The end of the text whose hash is a row's draw, for ``bags.weights``."""
+    return F.concat_ws(":", F.lit(""), row.cast("string"))
+
+
 def node_features(seed: int, tree: Column, node: Column, p: int, m: int) -> Column:
     """The ``m`` features (of ``p``) that a node may split on: those of least draw."""
     drawn = F.array_sort(F.array(*[F.struct(draw(f"feature:{seed}", tree, node, F.lit(f)).alias("u"), F.lit(f).alias("f"))
@@ -169,17 +192,17 @@ def _tried(seed: int, tree: int, node: int, p: int, m: int) -> list[int]:
     return [f for _, f in drawn[:m]]
 
 
-def _best_cuts(slot: np.ndarray, tried: np.ndarray, bins: np.ndarray, w: np.ndarray, event: np.ndarray, tbin: np.ndarray,
+def _best_cuts(slot: np.ndarray, tried: np.ndarray, bins: np.ndarray, c: np.ndarray, w: np.ndarray, event: np.ndarray, tbin: np.ndarray,
                n_bins: int, n_times: int, s: GrowthSettings) -> list[tuple]:
     """(node, statistic, feature, bin, n_left, n) of the best cut of each node that has one, as ``best_logrank_splits``.
 
-    ``slot`` tells each row's node, ``tried`` (nodes x m) the features of the nodes.
+    ``slot`` tells the node of each cell of ``c`` rows of weight ``w``, ``tried`` (nodes x m) the features of the nodes.
     """
     k, found = len(tried), []
     for feature in tried.T:
         cell = slot * n_bins + bins[np.arange(len(slot)), feature[slot]]
         shape = (k, n_bins, n_times)
-        count = np.bincount(cell, minlength=k * n_bins).reshape(k, n_bins)
+        count = np.bincount(cell, weights=c, minlength=k * n_bins).astype(np.int64).reshape(k, n_bins)
         key = cell * n_times + tbin
         weights, deaths = (np.bincount(key, weights=x, minlength=k * n_bins * n_times).reshape(shape) for x in (w, w * event))
         at_risk = weights[:, :, ::-1].cumsum(axis=2)[:, :, ::-1]
@@ -208,15 +231,13 @@ def _best_cuts(slot: np.ndarray, tried: np.ndarray, bins: np.ndarray, w: np.ndar
     return [x for _, x in best.values()]
 
 
-def _grow_below(edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings):
-    """All splits below one node from its rows, which are ``NODE_ROWS`` or fewer."""
+def _grow_node(edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings):
+    """All splits below one node from its cells (bins, rows, weight, event, time bin)."""
     p, n_bins = len(edges), max((len(e) for e in edges), default=0) + 1
     deepest, least = min(s.max_depth, MAX_DEPTH), max(s.min_split, 2 * s.min_leaf)
 
-    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        tree, nodes, out = key[0].as_py(), [key[1].as_py()], []
-        bins = rows.column("bins").combine_chunks().flatten().to_numpy().reshape(-1, p)
-        w, event, tbin = (rows.column(c).to_numpy() for c in ("w", "event", "tbin"))
+    def run(tree: int, node: int, bins: np.ndarray, c: np.ndarray, w: np.ndarray, event: np.ndarray, tbin: np.ndarray) -> pa.Table:
+        nodes, out = [node], []
         slot = np.zeros(len(w), np.int64)
         while nodes and nodes[0].bit_length() <= deepest:
             following, moved_to = [], np.full(len(slot), -1)
@@ -228,7 +249,7 @@ def _grow_below(edges: Sequence[Sequence[float]], n_times: int, s: GrowthSetting
                 tried = np.array([_tried(s.seed, tree, x, p, s.tried(p)) for x in some])
                 child = np.full((len(some), 2), -1)
                 feature, cut = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
-                for i, stat, f, b, n_left, n in _best_cuts(slot[here] - a, tried, bins[here], w[here], event[here], tbin[here], n_bins, n_times, s):
+                for i, stat, f, b, n_left, n in _best_cuts(slot[here] - a, tried, bins[here], c[here], w[here], event[here], tbin[here], n_bins, n_times, s):
                     feature[i], cut[i] = f, b
                     out.append((tree, some[i], f, b, float(edges[f][b]) if b < len(edges[f]) else None, stat, n_left, n - n_left))
                     for side, size in enumerate((n_left, n - n_left)):
@@ -238,18 +259,103 @@ def _grow_below(edges: Sequence[Sequence[float]], n_times: int, s: GrowthSetting
                 at = slot[here] - a
                 moved_to[here] = child[at, (bins[here, feature[at]] > cut[at]).astype(np.int64)]
             stay = moved_to >= 0
-            bins, w, event, tbin, slot, nodes = bins[stay], w[stay], event[stay], tbin[stay], moved_to[stay], following
+            bins, c, w, event, tbin, slot, nodes = bins[stay], c[stay], w[stay], event[stay], tbin[stay], moved_to[stay], following
         kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
-        names = [c.split() for c in SPLITS.split(", ")]
-        return pa.table({c: pa.array([x[i] for x in out], kinds[kind]) for i, (c, kind) in enumerate(names)})
+        names = [x.split() for x in SPLITS.split(", ")]
+        return pa.table({x: pa.array([r[i] for r in out], kinds[kind]) for i, (x, kind) in enumerate(names)})
     return run
 
 
+def _grow_below(edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings):
+    """All splits below one node from its rows, which are ``NODE_ROWS`` or fewer."""
+    grown = _grow_node(edges, n_times, s)
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        bins = rows.column("bins").combine_chunks().flatten().to_numpy().reshape(-1, len(edges))
+        w, event, tbin = (rows.column(x).to_numpy() for x in ("w", "event", "tbin"))
+        return grown(key[0].as_py(), key[1].as_py(), bins, np.ones(len(w)), w, event, tbin)
+    return run
+
+
+def _joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The rows of a partition in tables of ``size``, the last one smaller."""
+    held, n = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, size - n)
+            held.append(part)
+            n, batch = n + part.num_rows, batch.slice(part.num_rows)
+            if n == size:
+                yield pa.Table.from_batches(held)
+                held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+
+
+def _bytes(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _cells_by_tree(s: GrowthSettings):
+    """(tree, cells, c, w), packed: cells (bins, time bin, event) of the in-bag rows of a block, their rows and weights."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _joined(batches, BLOCK):
+            key = np.concatenate([_matrix(rows.column("bins"), rows.num_rows), rows.column("tbin").to_numpy()[:, None],
+                                  rows.column("event").to_numpy()[:, None]], axis=1).astype(np.int32)
+            by = np.lexsort(key.T)
+            first = np.concatenate([[True], (key[by][1:] != key[by][:-1]).any(axis=1)])
+            cells, cell = key[by][first], np.empty(len(by), np.int64)
+            cell[by] = np.cumsum(first) - 1
+            drawn = bags.weights(s.seed, s.n_trees, rows.column("tail"), poisson_steps())
+            out = []
+            for tree, w in enumerate(drawn):
+                c = np.bincount(cell, weights=w > 0, minlength=len(cells)).astype(np.int32)
+                some = np.flatnonzero(c)
+                weight = np.bincount(cell, weights=w, minlength=len(cells)).astype(np.int32)
+                out.append((tree, cells[some].tobytes(), c[some].tobytes(), weight[some].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), (pa.int32(), *[pa.binary()] * 3))], names=["tree", "cells", "c", "w"])
+    return run
+
+
+def _grow_tree(edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings):
+    """All splits of a tree from the cells of all blocks."""
+    grown, p = _grow_node(edges, n_times, s), len(edges)
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        cells = _bytes(rows.column("cells"), np.int32).reshape(-1, p + 2)
+        c, w = (_bytes(rows.column(x), np.int32).astype(np.float64) for x in ("c", "w"))
+        return grown(key[0].as_py(), 1, cells[:, :p], c, w, cells[:, p + 1], cells[:, p].astype(np.int64))
+    return run
+
+
+def _grow_from_cells(binned: DataFrame, n: int, edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings) -> DataFrame:
+    """The splits of all trees, each grown in one task."""
+    parts = max(binned.sparkSession.sparkContext.defaultParallelism, -(-n // BLOCK))
+    order = [*[F.get("bins", F.lit(f)) for f in range(len(edges))], F.col("tbin"), F.col("event"), F.col("tail")]
+    rows = binned.select("bins", "tbin", "event", tail_of(F.col("id")).alias("tail"))
+    near = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)  # rows of a cell: in one block, if they fit
+    packed = near.mapInArrow(_cells_by_tree(s), "tree int, cells binary, c binary, w binary")
+    return packed.groupBy("tree").applyInArrow(_grow_tree(edges, n_times, s), SPLITS)
+
+
+def _few_cells(binned: DataFrame, n: int, edges: Sequence[Sequence[float]], n_times: int, limit: int) -> bool:
+    bound = 2 * n_times
+    for e in edges:
+        bound *= len(e) + 1
+    return min(n, bound) <= limit or binned.select("bins", "tbin", "event").distinct().count() <= limit
+
+
 def grow(binned: DataFrame, edges: Sequence[Sequence[float]], n_times: int, s: GrowthSettings, node_rows: int | None = None) -> list[DataFrame]:
     """RSF-1: split tables (``SPLITS``), one a level, from (id, event, tbin, bins) rows."""
     ship_package(binned.sparkSession)
     p, limit, names = len(edges), node_rows or NODE_ROWS, [c.split()[0] for c in SPLITS.split(", ")]
     n = binned.count()
+    if _few_cells(binned, n, edges, n_times, node_rows or max(NODE_ROWS, TREE_CELLS // max(1, p))):
+        return _by_level([], _grow_from_cells(binned, n, edges, n_times, s))
     state = first_level(binned, p, s).withColumn("size", F.lit(n))
     upper: list[DataFrame] = []
     below: list[DataFrame] = []
@@ -267,7 +373,11 @@ def grow(binned: DataFrame, edges: Sequence[Sequence[float]], n_times: int, s: G
     rest = below[0]
     for part in below[1:]:
         rest = rest.unionByName(part)
-    level = F.length(F.bin("node")) - 1
+    return _by_level(upper, rest)
+
+
+def _by_level(upper: Sequence[DataFrame], rest: DataFrame) -> list[DataFrame]:
+    names, level = [c.split()[0] for c in SPLITS.split(", ")], F.length(F.bin("node")) - 1
     rest = cut_lineage(rest.withColumn("_level", level))
     deepest = rest.agg(F.max("_level")).first()[0]
     levels = []
@@ -327,9 +437,152 @@ def leaf_of(rows: DataFrame, levels: Sequence[DataFrame], limit: int | None = No
     return dealt.groupBy("tree", "_sub", "_blk").cogroup(lower.groupBy("_t", "_s", "_b")).applyInArrow(_descend(out.columns), schema)
 
 
+def thresholds_of(levels: Sequence[DataFrame], p: int) -> list[list[float] | None]:
+    """The thresholds of each feature, or None for a feature of more than ``MOST_THRESHOLDS``."""
+    if not levels:
+        return [[] for _ in range(p)]
+    every = levels[0].select("feature", "threshold")
+    for level in levels[1:]:
+        every = every.unionByName(level.select("feature", "threshold"))
+    some = F.slice(F.sort_array(F.collect_set("threshold")), 1, MOST_THRESHOLDS + 1)
+    at = {r["feature"]: r["t"] for r in every.where("threshold IS NOT NULL").select(F.col("feature").cast("int").alias("feature"), F.col("threshold").cast("double").alias(
+        "threshold")).distinct().groupBy("feature").agg(some.alias("t")).collect()}  # at most 129 numbers a feature
+    return [None if len(at.get(f, [])) > MOST_THRESHOLDS else at.get(f, []) for f in range(p)]
+
+
+def with_sets(rows: DataFrame, thresholds: Sequence[Sequence[float] | None]) -> DataFrame:
+    """``rows`` (x, ..) with ``set``: bytes that rows share only if they have the same leaf in all trees."""
+    steps = [None if t is None else np.array(t, np.float64) for t in thresholds]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = pc.fill_null(batch.column("x").flatten(), -math.inf).to_numpy(zero_copy_only=False)  # missing: left
+            x = flat.reshape(batch.num_rows, len(steps))
+            parts = [np.zeros((batch.num_rows, 0), np.uint8)]
+            for f, t in enumerate(steps):  # NaN is above all numbers
+                code = np.ascontiguousarray(x[:, f]) if t is None else np.searchsorted(t, x[:, f]).astype(np.uint8)
+                parts.append(code.view(np.uint8).reshape(batch.num_rows, -1))
+            keys = np.concatenate(parts, axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([k.tobytes() for k in keys], pa.binary())], names=[*batch.schema.names, "set"])
+
+    ship_package(rows.sparkSession)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return cut_lineage(rows.mapInArrow(run, schema + ", `set` binary"))
+
+
+def sets_of(rows: DataFrame) -> DataFrame:
+    """(set, x, n): one row a set, with a row's values and the number of rows."""
+    return cut_lineage(rows.groupBy("set").agg(F.any_value("x").alias("x"), F.count(F.lit(1)).alias("n")))
+
+
+def leaves_of_sets(sets: DataFrame, levels: Sequence[DataFrame], n_trees: int) -> DataFrame:
+    """(set, n, nodes): the leaves of each set in the order of the trees."""
+    pairs = sets.select("set", "x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
+    at = leaf_of(pairs, levels).groupBy("set").agg(F.sort_array(F.collect_list(F.struct("tree", "node"))).alias("at"))  # one a tree
+    return cut_lineage(sets.select("set", "n").join(at, "set").select("set", "n", F.col("at.node").alias("nodes")))
+
+
+def mortality_of_sets(leaves: DataFrame, mortality: DataFrame) -> DataFrame:
+    """(set, values): the leaf mortalities of each set in the order of the trees."""
+    each = leaves.select("set", F.posexplode("nodes").alias("tree", "node")).join(mortality, ["tree", "node"], "left")
+    by_tree = F.sort_array(F.collect_list(F.struct("tree", "mortality")))
+    return each.groupBy("set").agg(by_tree.alias("at")).select("set", F.col("at.mortality").alias("values"))
+
+
+def _meet(rows: DataFrame, sets: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` on blocks of ``rows`` (set, ..) with the rows of ``sets`` (set, n, ..) that they need."""
+    group = F.pmod(F.xxhash64("set"), F.lit(max(1, -(-sets.count() // SETS))))
+    sizes = [(r["g"], -(-r["n"] // BLOCK)) for r in sets.groupBy(group.alias("g")).agg(F.sum("n").alias("n")).collect()]  # one row for SETS sets
+    blocks = F.broadcast(rows.sparkSession.createDataFrame(sizes, "_g long, _blocks long"))
+    tasks = min(2 * sum(b for _, b in sizes) + 1, 10_000)  # blocks are dealt to tasks by a hash
+    dealt = rows.withColumn("_g", group).join(blocks, "_g").withColumn("_b", F.pmod(F.xxhash64(*rows.columns), "_blocks")).drop("_blocks")
+    own = sets.select(*[F.col(c).alias(c) for c in sets.columns])  # columns of its own, where it is made of ``rows``
+    copies = own.withColumn("_g", group).join(blocks, "_g").withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")
+    left, right = (t.repartition(tasks, "_g", "_b") for t in (dealt, copies))
+    return left.groupBy("_g", "_b").cogroup(right.groupBy("_g", "_b")).applyInArrow(run, schema)
+
+
+def _in_set(rows: pa.Table, sets: pa.Table) -> np.ndarray:
+    """The place of each row's set."""
+    return pc.index_in(rows.column("set"), value_set=sets.column("set").combine_chunks()).to_numpy().astype(np.int64)
+
+
+def _to_leaves(s: GrowthSettings, parts: int):
+    """(tree, part, leaves, leaf, key, we), packed: in-bag rows of a block by the place of their leaf, time and weight with event."""
+    def run(rows: pa.Table, sets: pa.Table) -> pa.Table:
+        out = []
+        if rows.num_rows:
+            at, nodes = _in_set(rows, sets), _matrix(sets.column("nodes"), sets.num_rows)
+            key, event = rows.column("key").to_numpy().astype(np.int64), rows.column("event").to_numpy()
+            for tree, w in enumerate(bags.weights(s.seed, s.n_trees, rows.column("tail"), poisson_steps())):
+                leaves, leaf = np.unique(nodes[:, tree], return_inverse=True)
+                some = np.flatnonzero(w)
+                place, when, heavy = leaf[at[some]], key[some], (w[some] << 1 | event[some]).astype(np.uint8)
+                for part in range(parts):
+                    mine = np.flatnonzero(leaves % parts == part) if parts > 1 else np.arange(len(leaves))
+                    code = np.full(len(leaves), -1, np.int64)
+                    code[mine] = np.arange(len(mine))
+                    here = np.flatnonzero(code[place] >= 0) if parts > 1 else slice(None)
+                    if len(place[here]):
+                        out.append((tree, part, leaves[mine].tobytes(), code[place[here]].astype(np.uint16).tobytes(),
+                                    when[here].astype(np.int32).tobytes(), heavy[here].tobytes()))
+        kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
+        return pa.table({x: pa.array([r[i] for r in out], kinds[i]) for i, x in enumerate(("tree", "part", "leaves", "leaf", "key", "we"))})
+    return run
+
+
+def _mortality_of(n_keys: int):
+    """(tree, node, mortality) of the leaves of a part of a tree; keys number the event times from 1."""
+    def summed(code, n, d):
+        by = np.argsort(code, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], code[by][1:] != code[by][:-1]])[: len(by)])
+        return code[by][first], np.add.reduceat(n[by], first), np.add.reduceat(d[by], first)
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        every = np.unique(_bytes(rows.column("leaves"), np.int64))
+        columns = zip(*(rows.column(x).to_pylist() for x in ("leaves", "leaf", "key", "we")))
+        held, new, waiting = [np.zeros(0, np.int64)] * 3, [], 0
+        for leaves, leaf, when, we in columns:
+            place = np.searchsorted(every, np.frombuffer(leaves, np.int64))[np.frombuffer(leaf, np.uint16)]
+            heavy = np.frombuffer(we, np.uint8).astype(np.int64)
+            new.append((place * (n_keys + 1) + np.frombuffer(when, np.int32), heavy >> 1, (heavy >> 1) * (heavy & 1)))
+            waiting += len(place)
+            if waiting > LEAF_ROWS:
+                held, new, waiting = summed(*(np.concatenate([a, *b]) for a, b in zip(held, zip(*new)))), [], 0
+        code, n, d = summed(*(np.concatenate([a, *b]) for a, b in zip(held, zip(*new)))) if new else held
+        leaf, when = code // (n_keys + 1), code % (n_keys + 1)
+        upto = np.cumsum(n)
+        last = upto[np.searchsorted(leaf, leaf, side="right") - 1]
+        parts = d / (last - upto + n) * (n_keys + 1 - when)  # once for each event time from this one on
+        total = np.bincount(leaf, weights=np.where(d > 0, parts, 0.0), minlength=len(every))
+        # whole units of 1e-9, so that rows of the same leaves have the same sum in any order
+        return pa.table({"tree": pa.array(np.full(len(every), key[0].as_py()), pa.int32()), "node": pa.array(every),
+                         "mortality": pa.array(np.floor(total * UNITS + 0.5).astype(np.int64))})
+    return run
+
+
+def _out_of_bag(s: GrowthSettings, schema: Sequence[str]):
+    """Rows with the sum and number of the mortalities in trees whose bag they aren't in; rows in all bags are left out."""
+    def run(rows: pa.Table, sets: pa.Table) -> pa.Table:
+        n = rows.num_rows
+        total, known, outside = (np.zeros(n, np.int64) for _ in range(3))
+        if n:
+            at, flat = _in_set(rows, sets), sets.column("values").combine_chunks().flatten()
+            has = flat.is_valid().to_numpy(zero_copy_only=False).reshape(sets.num_rows, -1)
+            values = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False).reshape(sets.num_rows, -1)
+            for tree, w in enumerate(bags.weights(s.seed, s.n_trees, rows.column("tail"), poisson_steps())):
+                out = w == 0
+                total += np.where(out, values[at, tree], 0)
+                known += out & has[at, tree]
+                outside += out
+        made = {"total": pa.array(total), "known": pa.array(known)}
+        return pa.table({c: made[c] if c in made else rows.column(c) for c in schema}).filter(pa.array(outside > 0))
+    return run
+
+
 def mean_mortality() -> Column:
-    """Mean of a group's leaf mortalities; leaves without in-bag rows don't count."""
-    return (F.sum("mortality").cast("double") / F.lit(UNITS) / F.when(F.count("mortality") > 0, F.count("mortality"))).alias("risk")
+    """Mean of the leaf mortalities of a group's rows, from their sums and numbers; leaves without in-bag rows don't count."""
+    return (F.sum("total").cast("double") / F.lit(UNITS) / F.when(F.sum("known") > 0, F.sum("known"))).alias("risk")
 
 
 @dataclass
@@ -339,14 +592,21 @@ class SurvivalForest:
     features: list[str]
     levels: list[DataFrame]
     settings: GrowthSettings
-    hazards: DataFrame = field(repr=False)
+    train: DataFrame = field(repr=False)
     mortality: DataFrame = field(repr=False)
+    thresholds: list[list[float] | None] = field(repr=False)
+    known: DataFrame = field(repr=False)
     first_time: float = 0.0
     last_time: float = 0.0
     id_col: str = "subject_id"
     time_col: str = "duration"
     event_col: str = "event"
 
+    @functools.cached_property
+    def hazards(self) -> DataFrame:
+        """(tree, node, time, h, ends) of all leaves' times."""
+        return leaf_hazards(self.train, self.levels, self.features, self.settings, id_col=self.id_col, time_col=self.time_col, event_col=self.event_col)
+
     def _pairs(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         x = F.array(*[F.col(f).cast("double") for f in self.features])
         return df.select(*keep, x.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(self.settings.n_trees - 1))).alias("tree"))
@@ -354,8 +614,22 @@ class SurvivalForest:
     def risk(self, df: DataFrame, id_cols: Sequence[str] | None = None) -> DataFrame:
         """RSF-3: (ids, risk), the mean over trees of the mortality of a row's leaf."""
         ids = list(id_cols or [self.id_col])
-        at = leaf_of(self._pairs(df, ids), self.levels)
-        return at.join(self.mortality, ["tree", "node"], "left").groupBy(*ids).agg(mean_mortality())
+        rows = self._in_sets(df, ids)
+        values = self._values(rows).select(F.col("set").alias("_set"), F.aggregate("values", F.lit(0).cast("long"), lambda s, v: s + F.coalesce(v, F.lit(0))).alias("total"),
+                                           F.size(F.filter("values", lambda v: v.isNotNull())).alias("known"))
+        return rows.join(values, F.col("set") == F.col("_set")).groupBy(*ids).agg(mean_mortality())
+
+    def _in_sets(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        return with_sets(df.select(*keep, F.array(*[F.col(f).cast("double") for f in self.features]).alias("x")), self.thresholds)
+
+    def _values(self, rows: DataFrame) -> DataFrame:
+        """(set, n, values): the leaf mortalities of each set in the order of the trees; leaves are searched for sets that training rows don't have."""
+        sets = sets_of(rows)
+        other = sets.join(self.known, "set", "left_anti")
+        found = self.known
+        if not other.isEmpty():
+            found = found.unionByName(mortality_of_sets(leaves_of_sets(other, self.levels, self.settings.n_trees), self.mortality))
+        return cut_lineage(sets.select("set", "n").join(found, "set"))
 
     def survival(self, df: DataFrame, times: Sequence[float], id_cols: Sequence[str] | None = None) -> DataFrame:
         """RSF-2: (ids, time, survival), the mean over trees of the leaf curves; times are clipped to the training times."""
@@ -373,9 +647,11 @@ class SurvivalForest:
 
     def out_of_bag_risk(self, train: DataFrame) -> DataFrame:
         """(id, risk): for each training row the mean over the trees whose bag it is not in; rows in every bag have none."""
-        pairs = self._pairs(train, [self.id_col]).where(bootstrap_weight(self.settings.seed, F.col("tree"), F.col(self.id_col)) == 0)
-        return leaf_of(pairs, self.levels).join(self.mortality, ["tree", "node"], "left").groupBy(self.id_col).agg(
-            mean_mortality())
+        rows = self._in_sets(train, [self.id_col])
+        kind = rows.schema[self.id_col].dataType.simpleString()
+        found = _meet(rows.select(F.col(self.id_col).alias("id"), "set", tail_of(F.col(self.id_col)).alias("tail")), self._values(rows),
+                      _out_of_bag(self.settings, ["id", "total", "known"]), f"id {kind}, total long, known long")
+        return found.groupBy(F.col("id").alias(self.id_col)).agg(mean_mortality())
 
     def c_index(self, df: DataFrame, risk: DataFrame | None = None) -> DataFrame:
         """RSF-4 (or RSF-5 with ``out_of_bag_risk``): the row of ``concordance_by``."""
@@ -383,9 +659,9 @@ class SurvivalForest:
         return concordance_by(scored, time_col=self.time_col, event_col=self.event_col)
 
 
-def leaf_tables(train: DataFrame, levels: Sequence[DataFrame], features: Sequence[str], s: GrowthSettings, *, id_col: str,
-                time_col: str, event_col: str) -> tuple[DataFrame, DataFrame]:
-    """Hazards (tree, node, time, h, ends) of all leaves' times, and (tree, node, mortality)."""
+def leaf_hazards(train: DataFrame, levels: Sequence[DataFrame], features: Sequence[str], s: GrowthSettings, *, id_col: str,
+                 time_col: str, event_col: str) -> DataFrame:
+    """Hazards (tree, node, time, h, ends) of all leaves' times."""
     x = F.array(*[F.col(f).cast("double") for f in features])
     rows = train.select(F.col(id_col).alias("id"), F.col(time_col).cast("double").alias("time"),
                         (F.col(event_col) > 0).cast("long").alias("event"), x.alias("x"),
@@ -394,23 +670,35 @@ def leaf_tables(train: DataFrame, levels: Sequence[DataFrame], features: Sequenc
     at = leaf_of(rows, levels).groupBy("tree", "node", "time").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("event")).alias("d"))
     upto = running(with_position(at, ["tree", "node", "time"], "p"), "p", {"upto": "n"})
     last = upto.groupBy("tree", "node").agg(F.max("upto").alias("last"))
-    hazards = cut_lineage(upto.join(last, ["tree", "node"]).withColumn("risk", F.col("last") - F.col("upto") + F.col("n")).select(
+    return cut_lineage(upto.join(last, ["tree", "node"]).withColumn("risk", F.col("last") - F.col("upto") + F.col("n")).select(
         "tree", "node", "time", (F.col("d").cast("double") / F.col("risk")).alias("h"), (F.col("d") == F.col("risk")).alias("ends")))
-    events = train.where(F.col(event_col) > 0).select(F.col(time_col).cast("double").alias("time")).distinct()
-    ranked = with_position(events, ["time"], "k")
-    after = ranked.select("time", (F.lit(ranked.count()) - F.col("k")).alias("after"))
-    # whole units of 1e-9, so that rows of the same leaves have the same sum in any order
-    summed = hazards.join(after, "time", "left").groupBy("tree", "node").agg(
-        F.round(F.sum(F.col("h") * F.coalesce("after", F.lit(0))) * UNITS).cast("long").alias("mortality"))
-    return hazards, cut_lineage(summed)
+
+
+def leaf_mortality(train: DataFrame, levels: Sequence[DataFrame], features: Sequence[str], s: GrowthSettings,
+                   thresholds: Sequence[Sequence[float] | None], *, id_col: str, time_col: str, event_col: str) -> tuple[DataFrame, DataFrame]:
+    """(tree, node, mortality), the cumulative hazard of a leaf summed over all event times of ``train``, and (set, values), the same by set of rows."""
+    rows = with_sets(train.select(
+        tail_of(F.col(id_col)).alias("tail"), F.col(time_col).cast("double").alias("time"), F.coalesce((F.col(event_col) > 0).cast("int"), F.lit(0)).alias("event"),
+        F.array(*[F.col(f).cast("double") for f in features]).alias("x")), thresholds)
+    # a time counts as the last event time up to it: hazards are 0 between event times
+    times = with_position(rows.groupBy("time").agg(F.max("event").alias("any")), ["time"], "k")
+    keyed = cut_lineage(running(times, "k", {"key": "any"}).select(F.col("time").alias("_time"), F.col("key").cast("int").alias("key")))
+    n_keys = keyed.agg(F.max("key")).first()[0] or 0
+    sets = leaves_of_sets(sets_of(rows), levels, s.n_trees)
+    n = sets.agg(F.sum("n")).first()[0] or 0
+    there = rows.join(keyed, F.col("time").eqNullSafe(F.col("_time"))).select("tail", "set", "event", "key")
+    sent = _meet(there, sets, _to_leaves(s, max(1, -(-n * 2 // (3 * LEAF_ROWS)))), "tree int, part int, leaves binary, leaf binary, key binary, we binary")
+    mortality = cut_lineage(sent.groupBy("tree", "part").applyInArrow(_mortality_of(n_keys), "tree int, node long, mortality long"))
+    return mortality, cut_lineage(mortality_of_sets(sets, mortality))
 
 
 def forest_from_splits(train: DataFrame, levels: Sequence[DataFrame], features: Sequence[str], s: GrowthSettings, *,
                        id_col: str = "subject_id", time_col: str = "duration", event_col: str = "event") -> SurvivalForest:
     """Leaf tables for given split tables (tree, node, feature, threshold), one table a level."""
-    hazards, mortality = leaf_tables(train, levels, features, s, id_col=id_col, time_col=time_col, event_col=event_col)
+    thresholds = thresholds_of(levels, len(features))
+    mortality, known = leaf_mortality(train, levels, features, s, thresholds, id_col=id_col, time_col=time_col, event_col=event_col)
     span = train.agg(F.min(F.col(time_col).cast("double")).alias("a"), F.max(F.col(time_col).cast("double")).alias("b")).first()
-    return SurvivalForest(list(features), list(levels), s, hazards, mortality, span["a"] or 0.0, span["b"] or 0.0,
+    return SurvivalForest(list(features), list(levels), s, train, mortality, thresholds, known, span["a"] or 0.0, span["b"] or 0.0,
                           id_col, time_col, event_col)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hazardflow.operators import boosting, forest
 from hazardflow.operators.importance import normalised, permutation_importance
 from hazardflow.plans import scorers
-from hazardflow.plans.catalog import CURVE_TIMES, finish, register
+from hazardflow.plans.catalog import CURVE_TIMES, finish, once, register
 from hazardflow.plans.oracles import SQL, r6, with_cohort
 from hazardflow.sources.cohorts import custlife
 
@@ -93,7 +93,7 @@ SQL["forest_root_splits_custlife"] = _ROOT
 @register("forest_custlife")
 def q_forest(spark, sf):
     """RSF-1, 4, 5: 100 trees with the defaults; splits by level, train and out-of-bag C-index (rows only)."""
-    data = subjects(spark, sf)
+    data = once(subjects(spark, sf))
     model = forest.fit_forest(data, FEATURES)
     spread = [level.agg(F.lit(f"splits_level_{i}").alias("metric"), F.count(F.lit(1)).cast("double").alias("value"))
               for i, level in enumerate(model.levels)]

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from hazardflow.operators import boosting, cox, forest
+from hazardflow.operators import bags, boosting, cox, forest
 from hazardflow.operators.importance import normalised, permutation_importance
 from hazardflow.plans import scorers
 
@@ -146,6 +146,77 @@ def test_forest_of_constant_features_is_one_leaf_a_tree(spark, frame):
     assert model.levels == [] and model.risk(flat).select("risk").distinct().count() == 1
 
 
+def test_weights_on_arrays_are_those_of_the_column(spark):
+    ids = [None, "", "7", "-12", "123456789012", "x" * 44, "x" * 45, "x" * 46, "x" * 90, "\u00e9" * 9, "0"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "i int, id string")
+    tails = rows.select("i", forest.tail_of(F.col("id")).alias("tail")).orderBy("i").toArrow().column("tail")
+    got = bags.weights(42, 120, tails, forest.poisson_steps())
+    want = rows.select("i", F.explode(F.sequence(F.lit(0), F.lit(119))).alias("tree"), "id").withColumn(
+        "w", forest.bootstrap_weight(42, F.col("tree"), F.col("id"))).toPandas().pivot(index="tree", columns="i", values="w")
+    assert (got == want.to_numpy()).all() and got.max() >= 4
+
+
+def test_rows_of_the_same_bins_are_one_cell_and_one_set(spark, frame, monkeypatch):
+    """Growth and scores of many equal rows search the leaves of a few sets, make no row a tree, and are those of all rows."""
+    few = frame.assign(a=frame.a.clip(-1, 1).round(), b=frame.b.clip(-1, 1).round(), c=0.0, duration=frame.duration.clip(upper=9))
+    many = pd.concat([few.assign(subject_id=few.subject_id + 1000 * k) for k in range(6)], ignore_index=True)
+    rows = spark.createDataFrame(many)
+    monkeypatch.setattr(forest, "first_level", None)
+    searched, search = [], forest.leaf_of
+    monkeypatch.setattr(forest, "leaf_of", lambda pairs, *a: searched.append(pairs.count()) or search(pairs, *a))
+    results = []
+    for limits in ({}, {"SETS": 2, "BLOCK": 50, "LEAF_ROWS": 99}):
+        for name, value in limits.items():
+            monkeypatch.setattr(forest, name, value)
+        model = forest.fit_forest(rows, ["a", "b", "c"], SETTINGS, bins=8)
+        splits = sorted(tuple(r) for level in model.levels for r in level.collect())
+        risk = dict(model.risk(rows).collect())
+        held = dict(model.out_of_bag_risk(rows).collect())
+        results.append((splits, risk, held))
+    assert len(results[0][0]) >= 5 and results[0] == results[1] and 0 < max(searched) <= 9 * 5
+    # brute force: weights by the column, leaves by walking, hazards of leaves at all event times
+    bag = rows.select("subject_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("tree")).withColumn(
+        "w", forest.bootstrap_weight(3, F.col("tree"), F.col("subject_id"))).toPandas().pivot(index="subject_id", columns="tree", values="w")
+    w, t, e = bag.reindex(many.subject_id).to_numpy(), many.duration.to_numpy(), many.event.to_numpy()
+    at = {}
+    tables = {(r[0], r[1]): r for r in splits}
+    leaf, value = np.ones((len(many), 5), int), np.zeros((len(many), 5))
+    for tree in range(5):
+        for i in range(len(many)):
+            while (tree, leaf[i, tree]) in tables:
+                r = tables[tree, leaf[i, tree]]
+                leaf[i, tree] = 2 * leaf[i, tree] + int(many.loc[i, "abc"[r[2]]] > r[4])
+        for node in np.unique(leaf[:, tree]):
+            here = leaf[:, tree] == node
+            h = {s: w[here & (t == s) & (e == 1), tree].sum() / max(1, w[here & (t >= s), tree].sum()) for s in set(t[e == 1])}
+            value[here, tree] = sum(sum(x for s, x in h.items() if s <= u) for u in h)
+        at[tree] = (w[:, tree] > 0).sum()
+        assert (tree, 1) not in tables or sum(tables[tree, 1][6:8]) == at[tree]
+    np.testing.assert_allclose([results[0][1][i] for i in many.subject_id], value.mean(axis=1), atol=1e-8)
+    outside = (w == 0).any(axis=1)
+    assert sorted(results[0][2]) == sorted(many.subject_id[outside])
+    mean = np.where(w == 0, value, 0).sum(axis=1)[outside] / (w == 0).sum(axis=1)[outside]
+    np.testing.assert_allclose([results[0][2][i] for i in many.subject_id[outside]], mean, atol=1e-8)
+
+
+def test_cells_of_many_features_and_thresholds_match_the_joins(spark, frame):
+    """More thresholds than codes of a set have: values tell the sets; odd values go where the search sends them."""
+    levels = [spark.createDataFrame([(0, 1, 0, 0.0), (1, 1, 1, 0.5)], "tree int, node long, feature int, threshold double"),
+              spark.createDataFrame([(0, 2, 0, -1.0), (0, 3, 2, 0.3)], "tree int, node long, feature int, threshold double")]
+    wide = spark.createDataFrame([(t, 1, 0, t / 7.0) for t in range(140)], "tree int, node long, feature int, threshold double")
+    odd = frame.assign(a=[None, math.nan, math.inf, -math.inf, -0.0, 0.0, *frame.a[6:]]).astype({"a": object})
+    rows = spark.createDataFrame([tuple(r) for r in odd[["subject_id", "a", "b", "c"]].itertuples(index=False)], "subject_id long, a double, b double, c double")
+    for given, trees in ((levels, 2), ([wide], 140)):
+        thresholds = forest.thresholds_of(given, 3)
+        assert [t is None for t in thresholds] == [trees == 140, False, False]
+        x = rows.select("subject_id", F.array("a", "b", "c").alias("x"))
+        keyed = forest.with_sets(x, thresholds)
+        leaves = {bytes(r.set): list(r.nodes) for r in forest.leaves_of_sets(forest.sets_of(keyed), given, trees).collect()}
+        want = forest.leaf_of(x.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))), given)
+        nodes = {(r.subject_id, r.tree): r.node for r in want.collect()}
+        assert all(leaves[bytes(r.set)] == [nodes[r.subject_id, k] for k in range(trees)] for r in keyed.collect())
+
+
 def test_boosting_learns_and_attributions_add_up(frame, data):
     model = boosting.fit_boosted_cox(data, ["a", "b"], n_estimators=5, subsample=1.0, bins=16)
     assert len(model.trees) == 5 and model.feature_importance()[0][0] == "a"
