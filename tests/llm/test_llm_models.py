@@ -511,6 +511,31 @@ def test_nodes_that_met_do_not_meet_again():
             assert r["sims"] == pytest.approx([want[i][j] for j in r["nbrs"]], abs=1e-5)
 
 
+def test_a_round_sends_packed_arcs_and_vectors_between_blocks(spark, monkeypatch):
+    """Neighbours both ways with their blocks as by hand; no window, no join and no row an arc in a round."""
+    frames = []
+    monkeypatch.setattr(ann, "written", lambda df, name, write=ann.written: frames.append((name, df, write(df, name))) or frames[-1][2])
+    nodes = node_vectors(spark, np.random.default_rng(19).standard_normal((1200, 24)))
+    ann.build_graph(nodes, 1200)
+    plans = [df._jdf.queryExecution().toString() for name, df, _ in frames if name != "start"]
+    assert len(plans) > 4 and not any("Window" in p or "Join" in p or "Generate" in p for p in plans)
+    tables = [(name, {r.node: r for r in out.collect()}) for name, _, out in frames if name != "start"]
+    block = {u: r.block for u, r in tables[0][1].items()}
+    assert len(block) == 1200 and len(set(block.values())) > 1
+    for (kind, lists), (_, graph) in zip(tables[1:], tables[2:]):
+        if kind == "lists":
+            back = collections.defaultdict(list)
+            for u, r in lists.items():
+                assert r.block == block[u] and list(r.homes) == [block[v] for v in r.nbrs] and u not in r.nbrs and len(set(r.nbrs)) == ann.K
+                for v, x in zip(r.nbrs, r.sims):
+                    back[v].append((-x, u))
+            for u, r in graph.items():
+                both = set(lists[u].nbrs) | {v for _, v in sorted(back[u])[: ann.K]}
+                assert set(r.both) == both and len(r.both) == len(both) and list(r.places) == [block[v] for v in r.both]
+                new = both - set(lists[u].met)
+                assert r.fresh == len(new) and set(r.both[len(both) - r.fresh:]) == new
+
+
 def test_a_hop_scores_each_candidate_once_and_sends_what_beats_the_beam():
     rng = np.random.default_rng(18)
     x, q = _units(rng.standard_normal((200, 16))), _units(rng.standard_normal((5, 16)))
